@@ -45,18 +45,40 @@ def binary_entropy(k, n) -> Column:
     return neg_xlog2x(ratio(k, n)) + neg_xlog2x(ratio(n - k, n))
 
 
+def xlog2x(x) -> Column:
+    """L(x) = x * log2(x), with L(0) = 0. Entropies in count form use only L."""
+    x = _d(x)
+    return F.when(x > 0, x * F.log2(x)).otherwise(F.lit(0.0))
+
+
+def _sum_l(*terms) -> Column:
+    """Sum of signed L(.) terms: each item is (sign, column)."""
+    out = None
+    for sign, c in terms:
+        part = xlog2x(c) if sign > 0 else -xlog2x(c)
+        out = part if out is None else out + part
+    return out
+
+
 def info_side(nv, kv, n) -> Column:
-    """Weighted entropy of one side: nv/n * H(kv, nv)."""
-    return ratio(nv, n) * binary_entropy(kv, nv)
+    """Weighted entropy of one side, nv/n * H(kv, nv) = (L(nv) - L(kv) - L(nv-kv)) / n."""
+    nv, kv, n = _d(nv), _d(kv), _d(n)
+    num = _sum_l((1, nv), (-1, kv), (-1, nv - kv))
+    return F.when(n != 0, num / n).otherwise(F.lit(0.0))
 
 
 def gain_ratio(n, k, n1, k1) -> Column:
-    """M4: C4.5 gain ratio of a binary term split (NULL when one side is empty)."""
+    """M4: C4.5 gain ratio of a binary term split (NULL when one side is empty).
+
+    (H(k,n) - info) / splitInfo with every entropy in count form:
+    numerator   L(n) - L(k) - L(n-k) - [L(n1) - L(k1) - L(n1-k1)] - [L(n0) - L(k0) - L(n0-k0)]
+    denominator L(n) - L(n1) - L(n0)        (the common factor 1/n cancels)
+    """
     n, k, n1, k1 = _d(n), _d(k), _d(n1), _d(k1)
     n0, k0 = n - n1, k - k1
-    info = info_side(n1, k1, n) + info_side(n0, k0, n)
-    split_info = neg_xlog2x(ratio(n1, n)) + neg_xlog2x(ratio(n0, n))
-    return F.when((n1 > 0) & (n0 > 0) & (split_info > 0), (binary_entropy(k, n) - info) / split_info)
+    num = _sum_l((1, n), (-1, k), (-1, n - k), (-1, n1), (1, k1), (1, n1 - k1), (-1, n0), (1, k0), (1, n0 - k0))
+    den = _sum_l((1, n), (-1, n1), (-1, n0))
+    return F.when((n1 > 0) & (n0 > 0) & (den > 0), num / den)
 
 
 def score_c45(n, k, n1, k1) -> Column:
@@ -76,11 +98,8 @@ def score_mr(n, k, n1, k1) -> Column:
     n0, k0 = n - n1, k - k1
     has1 = (n1 - k1) > 0
     has0 = (n0 - k0) > 0
-    both = (binary_entropy(k, n) - (info_side(n1, k1, n) + info_side(n0, k0, n))) / (
-        neg_xlog2x(ratio(n1, n)) + neg_xlog2x(ratio(n0, n))
-    )
     return (
-        F.when(has1 & has0, both)
+        F.when(has1 & has0, gain_ratio(n, k, n1, k1))
         .when(has1, info_side(n1, k1, n))
         .when(has0, info_side(n0, k0, n))
     )

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sylvan.functions import text as T
-from sylvan.session import MAX_BROADCAST_ROWS, shuffle_partitions
+from sylvan.session import MAX_BROADCAST_ROWS, shuffle_partitions, write_table
 
 # Upper bound on the number of one-vs-rest trees (= labels); the label list is the
 # only thing besides counts that the driver holds.
@@ -198,10 +198,17 @@ def build_features(
     stop_words: bool = False,
     split: bool = True,
 ) -> Features:
-    """From cleaned token rows to the training inputs of the forest."""
-    train = train_part(tokens_df) if split else tokens_df
-    test = test_part(tokens_df) if split else tokens_df
-    posts = postings(train, stem=stem, stop_words=stop_words)
+    """From cleaned token rows to the training inputs of the forest.
+
+    The cleaned, split token rows and the training postings are written once (shared
+    checkpoint folder): the regex cleaning then runs a single time, and the base rows,
+    vocabulary, term sets and test rows all read the written tables.
+    """
+    marked = with_split(tokens_df) if split else tokens_df.withColumn("is_train", F.lit(True))
+    marked = write_table(marked, "tokens")
+    train = marked.filter("is_train").drop("is_train")
+    test = marked.filter(~F.col("is_train")).drop("is_train") if split else train
+    posts = write_table(postings(train, stem=stem, stop_words=stop_words), "postings")
     base = doc_base(posts)
     vocab = vocabulary(posts, min_df)
     vocab_size = vocab.count()

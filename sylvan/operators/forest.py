@@ -18,6 +18,8 @@ the lexicographic order of paths is the pre-order of the tree.
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,7 +29,9 @@ from sylvan.functions import entropy as E
 from sylvan.functions.text import STOP_ENTROPY
 from sylvan.operators.features import maybe_broadcast, trees_column
 from sylvan.operators.splits import best_splits, level_stats, scored_candidates
-from sylvan.session import materialize, shuffle_partitions, write_bucketed
+from sylvan.session import shuffle_partitions, write_bucketed, write_table
+
+log = logging.getLogger("sylvan.forest")
 
 NODE_COLUMNS = ["tree", "node", "depth", "term", "score", "n", "k", "is_leaf", "label"]
 # Node-level tables get one partition per this many rows (they are unions of small parts;
@@ -181,22 +185,24 @@ def grow_forest(
     )
     if n_all == 0:
         raise ValueError("empty training set")
-    frontier = materialize(frontier)
     frontier_rows = len(labels)
     levels: list[DataFrame] = []
     total_rows = 0
     depth = 0
     while frontier_rows > 0:
+        t0 = time.time()
         total_rows += frontier_rows
         level = decide_level(frontier, assign, terms, frontier_rows, rule, vocab_size, max_depth, stop_entropy)
-        nodes = materialize(level.repartition(node_partitions(spark, frontier_rows)))
+        nodes = write_table(level.repartition(node_partitions(spark, frontier_rows)), f"nodes{depth}")
         levels.append(nodes)
         n_split = nodes.filter(~F.col("is_leaf")).count()
+        log.info("level %d: frontier %d, splits %d, %.2fs", depth, frontier_rows, n_split, time.time() - t0)
         if n_split == 0:
             break
         splits = maybe_broadcast(nodes.filter(~F.col("is_leaf")), n_split)
         assign = write_bucketed(route(assign, terms, splits), f"assign{depth + 1}", buckets=parts, prepartitioned=True)
-        frontier = materialize(children(nodes).repartition(node_partitions(spark, 2 * n_split)))
+        # the next frontier is a projection of the written node table (not written again)
+        frontier = children(nodes)
         frontier_rows = 2 * n_split
         depth += 1
     out = levels[0].select(*NODE_COLUMNS)

@@ -100,26 +100,30 @@ def entropy_sql(k: str, n: str) -> str:
     return f"({_h(_ratio(k, n))} + {_h(_ratio(f'({n}) - ({k})', n))})"
 
 
+def _l(x: str) -> str:
+    return f"(CASE WHEN ({x}) > 0 THEN CAST({x} AS DOUBLE) * log2({x}) ELSE 0.0 END)"
+
+
 def info_sql(nv: str, kv: str, n: str) -> str:
-    return f"({_ratio(nv, n)} * {entropy_sql(kv, nv)})"
+    num = f"({_l(nv)} - {_l(kv)} - {_l(f'({nv}) - ({kv})')})"
+    return f"(CASE WHEN ({n}) <> 0 THEN {num} / ({n}) ELSE 0.0 END)"
 
 
 def gain_ratio_sql(n: str, k: str, n1: str, k1: str) -> str:
     n0, k0 = f"(({n}) - ({n1}))", f"(({k}) - ({k1}))"
-    info = f"({info_sql(n1, k1, n)} + {info_sql(n0, k0, n)})"
-    split = f"({_h(_ratio(n1, n))} + {_h(_ratio(n0, n))})"
-    return f"(CASE WHEN ({n1}) > 0 AND {n0} > 0 AND {split} > 0 THEN ({entropy_sql(k, n)} - {info}) / {split} END)"
+    num = (
+        f"({_l(n)} - {_l(k)} - {_l(f'({n}) - ({k})')} - {_l(n1)} + {_l(k1)} + {_l(f'({n1}) - ({k1})')} "
+        f"- {_l(n0)} + {_l(k0)} + {_l(f'{n0} - {k0}')})"
+    )
+    den = f"({_l(n)} - {_l(n1)} - {_l(n0)})"
+    return f"(CASE WHEN ({n1}) > 0 AND {n0} > 0 AND {den} > 0 THEN {num} / {den} END)"
 
 
 def mr_score_sql(n: str, k: str, n1: str, k1: str) -> str:
     n0, k0 = f"(({n}) - ({n1}))", f"(({k}) - ({k1}))"
     has1, has0 = f"(({n1}) - ({k1}) > 0)", f"({n0} - {k0} > 0)"
-    both = (
-        f"(({entropy_sql(k, n)} - ({info_sql(n1, k1, n)} + {info_sql(n0, k0, n)})) / "
-        f"({_h(_ratio(n1, n))} + {_h(_ratio(n0, n))}))"
-    )
     return (
-        f"(CASE WHEN {has1} AND {has0} THEN {both} WHEN {has1} THEN {info_sql(n1, k1, n)} "
+        f"(CASE WHEN {has1} AND {has0} THEN {gain_ratio_sql(n, k, n1, k1)} WHEN {has1} THEN {info_sql(n1, k1, n)} "
         f"WHEN {has0} THEN {info_sql(n0, k0, n)} END)"
     )
 

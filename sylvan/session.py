@@ -71,6 +71,17 @@ def materialize(df: DataFrame) -> DataFrame:
     return out
 
 
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing parquet to a fresh folder of the shared checkpoint folder.
+
+    One job (a reliable ``checkpoint`` needs a second pass or a cache), columnar and
+    compressed; read back with the known schema, so no inference job.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
