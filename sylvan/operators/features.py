@@ -47,9 +47,11 @@ def postings(tokens_df: DataFrame, stem: bool = False, stop_words: bool = False,
         return words
     from sylvan.functions.stem import stem_table
 
-    stems = stem_table(words.select("term").distinct())
-    # the stem map has one row per distinct word; AQE broadcasts it when measured small,
-    # otherwise it is a shuffle join whose hot terms AQE's skew-join splits.
+    # The stem map (one row per distinct word) is written once: filters above it (the stop
+    # words) then cannot be pushed into the step chain, which would inline every step.
+    # AQE broadcasts it when measured small, otherwise it is a shuffle join whose hot
+    # terms AQE's skew-join splits.
+    stems = write_table(stem_table(words.select("term").distinct()), "stems")
     out = words.join(stems, "term").select("doc_id", "label", F.col("stem").alias("term"))
     if stop_words and not stop_before_stem:
         out = out.filter(~F.col("term").isin(T.SPARK_ENGLISH_STOP_WORDS))

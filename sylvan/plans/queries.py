@@ -222,8 +222,8 @@ def _nodes_out(nodes: DataFrame) -> DataFrame:
     )
 
 
-def _forest(spark, sf, rule, depth, profile=LANG, min_df=MIN_DF, trees=None):
-    feats = P.prepare(spark, sf, profile, min_df)
+def _forest(spark, sf, rule, depth, profile=LANG, min_df=MIN_DF, trees=None, stem=False, stop_words=False):
+    feats = P.prepare(spark, sf, profile, min_df, stem=stem, stop_words=stop_words)
     return feats, P.train(spark, feats, rule=rule, max_depth=depth, trees=trees)
 
 
@@ -284,6 +284,25 @@ def accuracy(spark, sf):
     return _scored(spark, sf)[2]
 
 
+def stem_vocabulary(spark, sf):
+    """Every distinct training word of the profile and its stem."""
+    from sylvan.functions.stem import stem_table
+
+    words = _train_postings(spark, sf).select("term").distinct()
+    return stem_table(words)
+
+
+def forest_c45_stemmed_depth2(spark, sf):
+    """The reference's token pipeline (stem, then drop stop words) feeding a c45 forest."""
+    return _nodes_out(_forest(spark, sf, "c45", 2, stem=True, stop_words=True)[1])
+
+
+def accuracy_mr_stemmed(spark, sf):
+    """The reference's defaults end to end: stemmed tokens, stop words, rule mr, vote, accuracy."""
+    feats, nodes = _forest(spark, sf, "mr", 3, stem=True, stop_words=True)
+    return P.evaluate(spark, feats, nodes, stem=True, stop_words=True)[2]
+
+
 def forest_store_roundtrip(spark, sf):
     nodes = _forest(spark, sf, "c45", 2)[1]
     back = IO.load_forest(spark, IO.save_forest(nodes, "c45"))
@@ -315,5 +334,6 @@ QUERIES = {
         forest_c45_depth2, forest_mr_depth3, tree_c45_depth3, tree_mr_depth3, forest_toxic_c45_depth3,
         node_stats, tree_rules, route_level, tree_predict, forest_predict, accuracy,
         forest_store_roundtrip, io_csv_roundtrip, io_json_roundtrip,
+        stem_vocabulary, forest_c45_stemmed_depth2, accuracy_mr_stemmed,
     ]
 }

@@ -54,14 +54,29 @@ def is_train_sql(col: str) -> str:
     return f"((('0x' || substr(md5('{SPLIT_SEED}:' || CAST({col} AS VARCHAR)), 1, 8))::BIGINT % 100) < {threshold})"
 
 
-def prep_ctes(profile: str = "lang", min_df: int = 50, stop_words: bool = False, drop_accented: bool | None = None) -> str:
-    """CTEs raw, f1, kept, clean, tok, sp, posts, vocab, base, dt, trees, sizes."""
+def prep_ctes(
+    profile: str = "lang", min_df: int = 50, stop_words: bool = False, drop_accented: bool | None = None, stem: bool = False
+) -> str:
+    """CTEs raw, f1, kept, clean, tok, sp, words, posts, vocab, base, dt, trees, sizes.
+
+    With ``stem`` the training words are stemmed (distinct words once) and stop words,
+    if on, are removed after stemming; ``tok`` then keeps the unstemmed tokens.
+    """
     p = PROFILES[profile]
     acc = p.drop_accented if drop_accented is None else drop_accented
     labels = sorted(p.labels)
     toks = tokens_sql("text")
-    if stop_words:
+    if stop_words and not stem:
         toks = stop_filter_sql(toks)
+    if stem:
+        stop = f"WHERE s.stem NOT IN ({', '.join(q(x) for x in SPARK_ENGLISH_STOP_WORDS)})" if stop_words else ""
+        posts = (
+            f"rawposts AS (SELECT DISTINCT doc_id, label, term FROM words WHERE NOT regexp_matches(term, '^{WS}*$')),\n"
+            f"dwords AS (SELECT DISTINCT term FROM rawposts),\n{stem_ctes('dwords')},\n"
+            f"posts AS (SELECT DISTINCT r.doc_id, r.label, s.stem AS term FROM rawposts r JOIN stems s ON s.term = r.term {stop})"
+        )
+    else:
+        posts = f"posts AS (SELECT DISTINCT doc_id, label, term FROM words WHERE NOT regexp_matches(term, '^{WS}*$'))"
     trees_values = ", ".join(f"({q(x)})" for x in labels)
     return f"""
 raw AS ({RAW[profile]}),
@@ -72,7 +87,7 @@ clean AS (SELECT doc_id, text, label FROM kept WHERE doc_id IN (SELECT doc_id FR
 tok AS (SELECT doc_id, label, {toks} AS tokens FROM clean),
 sp AS (SELECT doc_id, label, tokens, {is_train_sql("doc_id")} AS is_train FROM tok),
 words AS (SELECT doc_id, label, unnest(list_distinct(tokens)) AS term FROM sp WHERE is_train),
-posts AS (SELECT DISTINCT doc_id, label, term FROM words WHERE NOT regexp_matches(term, '^{WS}*$')),
+{posts},
 vocab AS (SELECT term, count(*) AS df FROM posts GROUP BY term HAVING count(*) >= {int(min_df)}),
 base AS (SELECT DISTINCT doc_id, label FROM posts),
 dt AS (SELECT doc_id, term FROM posts WHERE term IN (SELECT term FROM vocab)),
@@ -237,10 +252,22 @@ NODE_OUT = (
 )
 
 
-def predict_ctes(max_depth: int) -> str:
+def predict_ctes(max_depth: int, stem: bool = False, stop_words: bool = False) -> str:
     """Walk the test rows through ``nodes_all`` (max_depth steps), then vote."""
-    parts = [
-        "tst AS (SELECT doc_id, label, list_distinct(tokens) AS terms FROM sp WHERE NOT is_train)",
+    if stem:
+        stop = f"WHERE s.stem NOT IN ({', '.join(q(x) for x in SPARK_ENGLISH_STOP_WORDS)})" if stop_words else ""
+        parts = [
+            "tw AS (SELECT doc_id, unnest(list_distinct(tokens)) AS term FROM sp WHERE NOT is_train)",
+            "twd AS (SELECT DISTINCT term FROM tw)",
+            stem_ctes("twd", "tstems"),
+            f"tws AS (SELECT t.doc_id, list(DISTINCT s.stem) AS terms FROM tw t JOIN tstems s ON s.term = t.term {stop} "
+            "GROUP BY t.doc_id)",
+            "tst AS (SELECT p.doc_id, p.label, coalesce(w.terms, []::VARCHAR[]) AS terms FROM sp p "
+            "LEFT JOIN tws w ON w.doc_id = p.doc_id WHERE NOT p.is_train)",
+        ]
+    else:
+        parts = ["tst AS (SELECT doc_id, label, list_distinct(tokens) AS terms FROM sp WHERE NOT is_train)"]
+    parts += [
         "w0 AS (SELECT s.doc_id, s.terms, t.tree, '' AS node FROM tst s CROSS JOIN trees t)",
     ]
     for d in range(max_depth):
@@ -267,6 +294,68 @@ def predict_ctes(max_depth: int) -> str:
 
 
 def scoring_sql(body: str, rule: str, max_depth: int, **prep) -> str:
-    return (
-        f"WITH {prep_ctes(**prep)},\n{forest_ctes(rule, max_depth)},\n{predict_ctes(max_depth)}\n{body}"
+    pc = predict_ctes(max_depth, prep.get("stem", False), prep.get("stop_words", False))
+    return f"WITH {prep_ctes(**prep)},\n{forest_ctes(rule, max_depth)},\n{pc}\n{body}"
+
+
+# ---- Porter stemming as a CTE chain (one CTE per step) ----------------------------------
+
+
+def _stem_steps_sql() -> list[str]:
+    from sylvan.functions import stem as S
+
+    def split(w, pat, g):
+        return f"regexp_extract({w}, '{pat}', {g})"
+
+    def drop_last(w):
+        return f"regexp_replace({w}, '.$', '')"
+
+    def suffix_step(table, cond):
+        pat = "^(.+?)(" + "|".join(table) + ")$"
+        stem, suf = split("w", pat, 1), split("w", pat, 2)
+        case = " ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in table.items())
+        return (
+            f"CASE WHEN regexp_matches(w, '{pat}') AND regexp_matches({stem}, '{cond}') "
+            f"THEN {stem} || (CASE {suf} {case} END) ELSE w END"
+        )
+
+    eding = "^(.+?)(ed|ing)$"
+    st1b = split("w", eding, 1)
+    s1b = (
+        f"CASE WHEN regexp_matches(w, '^(.+?)eed$') THEN "
+        f"(CASE WHEN regexp_matches({split('w', '^(.+?)eed$', 1)}, '{S.M_GT0}') THEN {drop_last('w')} ELSE w END) "
+        f"WHEN regexp_matches(w, '{eding}') AND regexp_matches({st1b}, '{S.HAS_VOWEL}') THEN "
+        f"(CASE WHEN regexp_matches({st1b}, '(at|bl|iz)$') THEN {st1b} || 'e' "
+        f"WHEN regexp_matches({st1b}, '{S.DOUBLE_END}') THEN {drop_last(st1b)} "
+        f"WHEN regexp_matches({st1b}, '{S.CVC}') THEN {st1b} || 'e' ELSE {st1b} END) ELSE w END"
+    )
+    st1c = split("w", "^(.+?)y$", 1)
+    s1c = f"CASE WHEN regexp_matches(w, '^(.+?)y$') AND regexp_matches({st1c}, '{S.HAS_VOWEL}') THEN {st1c} || 'i' ELSE w END"
+    p4 = "^(.+?)(" + "|".join(S.STEP4) + ")$"
+    p4i = "^(.+?)(s|t)(ion)$"
+    st4, st4i = split("w", p4, 1), f"({split('w', p4i, 1)} || {split('w', p4i, 2)})"
+    s4 = (
+        f"CASE WHEN regexp_matches(w, '{p4}') THEN (CASE WHEN regexp_matches({st4}, '{S.M_GT1}') THEN {st4} ELSE w END) "
+        f"WHEN regexp_matches(w, '{p4i}') AND regexp_matches({st4i}, '{S.M_GT1}') THEN {st4i} ELSE w END"
+    )
+    st5 = split("w", "^(.+?)e$", 1)
+    s5 = (
+        f"CASE WHEN regexp_matches(w, '^(.+?)e$') AND (regexp_matches({st5}, '{S.M_GT1}') OR "
+        f"(regexp_matches({st5}, '{S.M_EQ1}') AND NOT regexp_matches({st5}, '{S.CVC}'))) THEN {st5} ELSE w END"
     )
+    s5b = f"CASE WHEN regexp_matches(w, 'll$') AND regexp_matches(w, '{S.M_GT1}') THEN {drop_last('w')} ELSE w END"
+    s1a = (
+        "CASE WHEN regexp_matches(w, '^(.+?)(ss|i)es$') THEN regexp_replace(w, '^(.+?)(ss|i)es$', '\\1\\2') "
+        "WHEN regexp_matches(w, '^(.+?)([^s])s$') THEN regexp_replace(w, '^(.+?)([^s])s$', '\\1\\2') ELSE w END"
+    )
+    return [s1a, s1b, s1c, suffix_step(S.STEP2, S.M_GT0), suffix_step(S.STEP3, S.M_GT0), s4, s5, s5b]
+
+
+def stem_ctes(source: str, out: str = "stems") -> str:
+    """CTEs ``{out}(term, stem)`` from a CTE/table ``source`` with a ``term`` column (distinct words)."""
+    parts = [f"{out}_0 AS (SELECT term, regexp_replace(term, '^y', 'Y') AS w FROM {source})"]
+    for i, expr in enumerate(_stem_steps_sql(), start=1):
+        parts.append(f"{out}_{i} AS (SELECT term, {expr} AS w FROM {out}_{i - 1})")
+    last = len(parts) - 1
+    parts.append(f"{out} AS (SELECT term, CASE WHEN length(term) < 3 THEN term ELSE lower(w) END AS stem FROM {out}_{last})")
+    return ",\n".join(parts)
