@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.functions import text as T
+from sylvan.session import shuffle_partitions
 
 
 def filter_labels(df: DataFrame, labels: Sequence[str] | None, label: str = "label") -> DataFrame:
@@ -45,7 +46,9 @@ def dedupe_text_label(df: DataFrame, text: str = "text", label: str = "label", d
     NULL texts form one group per label, as set semantics treat NULLs as equal.
     """
     keep = df.groupBy(F.sha2(F.col(text), 256).alias("_h"), F.col(label)).agg(F.min(doc_id).alias(doc_id))
-    return df.join(keep.select(doc_id), doc_id, "left_semi")
+    # shuffle-hash semi-join: the rows move once, hash-partitioned by doc_id (the ids
+    # side is the build side), so the regex work after it is spread over all tasks
+    return df.join(keep.select(doc_id).hint("shuffle_hash"), doc_id, "left_semi")
 
 
 def clean(
@@ -54,11 +57,18 @@ def clean(
     drop_accented: bool = True,
     dedupe: bool = True,
 ) -> DataFrame:
-    """F1 -> (F2|F3 rejected) -> S2 dedupe. Returns ``doc_id, text, label``."""
+    """F1 -> (F2|F3 rejected) -> S2 dedupe. Returns ``doc_id, text, label``.
+
+    The kept rows are hash-partitioned by ``doc_id`` once: the regex cleaning that
+    follows runs spread over all tasks whatever the input's file/row-group layout;
+    the dedupe semi-join provides that exchange; without dedupe an explicit one does.
+    """
     out = filter_labels(df, labels)
     out = out.filter(~reject_predicate(F.col("text"), drop_accented))
     if dedupe:
         out = dedupe_text_label(out)
+    else:
+        out = out.repartition(shuffle_partitions(df.sparkSession), "doc_id")
     return out.select("doc_id", "text", "label")
 
 

@@ -18,6 +18,7 @@ from sylvan.operators import splits as S
 from sylvan.operators.forest import tree_rules as render_rules
 from sylvan.plans import pipeline as P
 from sylvan.sources import files as IO
+from sylvan.session import write_table
 from sylvan.sources.tables import PROFILES, labelled_text
 
 LANG = "lang"
@@ -154,8 +155,13 @@ def term_unpivot(spark, sf):
 
 
 def _root(spark, sf):
-    """Root node of every tree: ``tree, n, k`` and the term statistics at the root."""
-    p = _train_postings(spark, sf)
+    """Root node of every tree: ``(tree, n, k)`` and the term statistics at the root.
+
+    The training postings feed several branches of this plan, so they are written once
+    (shared checkpoint folder) instead of re-running the regex cleaning per branch.
+    Returns ``(root, stats)``; ``stats`` has ``tree, term, n1, k1, n, k``.
+    """
+    p = write_table(_train_postings(spark, sf), "root_postings")
     v = X.vocabulary(p, MIN_DF)
     labels = sorted(PROFILES[LANG].labels)
     base = X.doc_base(p)
@@ -168,6 +174,7 @@ def _root(spark, sf):
         F.count(F.lit(1)).cast("bigint").alias("n1"),
         F.sum(F.when(F.col("label") == F.col("tree"), 1).otherwise(0)).cast("bigint").alias("k1"),
     )
+    # one row per tree (bounded by the label count)
     return root, stats.join(F.broadcast(root), "tree")
 
 
@@ -197,10 +204,11 @@ def gain_ratio(spark, sf):
 
 
 def _root_cands(spark, sf):
-    _, st = _root(spark, sf)
-    st = st.withColumn("node", F.lit("")).withColumn("path_terms", F.array().cast("array<string>"))
-    nodes = st.select("tree", "node", "n", "k", "path_terms").dropDuplicates(["tree"])
-    return S.scored_candidates(st.select("tree", "node", "term", "n1", "k1"), nodes, "c45", 0)
+    root, st = _root(spark, sf)
+    nodes = F.broadcast(
+        root.select("tree", F.lit("").alias("node"), "n", "k", F.array().cast("array<string>").alias("path_terms"))
+    )
+    return S.scored_candidates(st.select("tree", F.lit("").alias("node"), "term", "n1", "k1"), nodes, "c45", 0)
 
 
 def best_split(spark, sf):
