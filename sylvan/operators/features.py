@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sylvan.functions import text as T
-from sylvan.session import MAX_BROADCAST_ROWS, shuffle_partitions, write_table
+from sylvan.session import MAX_BROADCAST_BYTES, shuffle_partitions, write_table
 
 # Upper bound on the number of one-vs-rest trees (= labels); the label list is the
 # only thing besides counts that the driver holds.
@@ -68,9 +68,9 @@ def vocabulary(posts: DataFrame, min_df: int) -> DataFrame:
     return posts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df") >= min_df)
 
 
-def maybe_broadcast(df: DataFrame, rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the checked row count is under the bound."""
-    return F.broadcast(df) if rows <= max_rows else df
+def maybe_broadcast(df: DataFrame, rows: int, row_bytes: int = 64) -> DataFrame:
+    """Broadcast hint only when ``rows`` (a checked count) x ``row_bytes`` fits the budget."""
+    return F.broadcast(df) if rows * row_bytes <= MAX_BROADCAST_BYTES else df
 
 
 def postings_in_vocab(posts: DataFrame, vocab: DataFrame, vocab_rows: int | None = None) -> DataFrame:

@@ -39,6 +39,11 @@ NODE_COLUMNS = ["tree", "node", "depth", "term", "score", "n", "k", "is_leaf", "
 NODE_ROWS_PER_PARTITION = 200_000
 
 
+def node_row_bytes(depth: int) -> int:
+    """Upper estimate of a node-level row: keys, counts, score, plus the path's terms."""
+    return 128 + 32 * depth
+
+
 def node_partitions(spark: SparkSession, rows: int) -> int:
     return max(1, min(shuffle_partitions(spark), -(-rows // NODE_ROWS_PER_PARTITION)))
 
@@ -78,19 +83,22 @@ def decide_level(
     vocab_size: int,
     max_depth: int,
     stop_entropy: float,
+    level: int = 0,
 ) -> DataFrame:
-    """Node rows (decision or leaf) for every frontier node of one level."""
+    """Node rows (decision or leaf) for every frontier node of one level (all at depth ``level``)."""
     stop = (F.col("depth") >= max_depth) | E.is_pure_enough("k", "n", stop_entropy)
     if rule == "mr":
         # At most one attribute left in the node's columns
         stop = stop | (F.lit(vocab_size) - F.col("depth") <= 1)
     fr = frontier.withColumn("_stop", stop)
     closed = _leaf_rows(fr.filter("_stop"))
-    open_nodes = maybe_broadcast(fr.filter(~F.col("_stop")).drop("_stop"), frontier_rows)
+    # frontier rows carry the path's terms: width grows with depth
+    width = node_row_bytes(level)
+    open_nodes = maybe_broadcast(fr.filter(~F.col("_stop")).drop("_stop"), frontier_rows, width)
 
     stats = level_stats(assign, terms, open_nodes)
     cands = scored_candidates(stats, open_nodes, rule, vocab_size)
-    best = maybe_broadcast(best_splits(cands), frontier_rows)
+    best = maybe_broadcast(best_splits(cands), frontier_rows, width)
 
     j = open_nodes.join(best, ["tree", "node"], "left")
     if rule == "c45":
@@ -192,14 +200,16 @@ def grow_forest(
     while frontier_rows > 0:
         t0 = time.time()
         total_rows += frontier_rows
-        level = decide_level(frontier, assign, terms, frontier_rows, rule, vocab_size, max_depth, stop_entropy)
+        level = decide_level(
+            frontier, assign, terms, frontier_rows, rule, vocab_size, max_depth, stop_entropy, level=depth
+        )
         nodes = write_table(level.repartition(node_partitions(spark, frontier_rows)), f"nodes{depth}")
         levels.append(nodes)
         n_split = nodes.filter(~F.col("is_leaf")).count()
         log.info("level %d: frontier %d, splits %d, %.2fs", depth, frontier_rows, n_split, time.time() - t0)
         if n_split == 0:
             break
-        splits = maybe_broadcast(nodes.filter(~F.col("is_leaf")), n_split)
+        splits = maybe_broadcast(nodes.filter(~F.col("is_leaf")), n_split, node_row_bytes(depth + 1))
         assign = write_bucketed(route(assign, terms, splits), f"assign{depth + 1}", buckets=parts, prepartitioned=True)
         # the next frontier is a projection of the written node table (not written again)
         frontier = children(nodes)

@@ -24,7 +24,7 @@ def tree_predict(nodes: DataFrame, docs: DataFrame, labels: Sequence[str], terms
     """
     stats = nodes.agg(F.max("depth").alias("d"), F.count(F.lit(1)).alias("c")).first()
     depth, count = int(stats["d"] or 0), int(stats["c"])
-    table = maybe_broadcast(nodes.select("tree", "node", "term", "is_leaf", "label"), count)
+    table = maybe_broadcast(nodes.select("tree", "node", "term", "is_leaf", "label"), count, 96 + depth)
     state = docs.select(
         "doc_id",
         F.coalesce(F.col(terms_col), F.array().cast("array<string>")).alias("_terms"),

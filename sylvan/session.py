@@ -86,8 +86,10 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-# Broadcast bounds: a side is broadcast only when its row count is checked below these.
-MAX_BROADCAST_ROWS = 2_000_000
+# Broadcast bound: a side is broadcast only when its checked row count times an upper
+# estimate of its row width stays under this budget; otherwise it is a shuffle join
+# (with AQE's skew split for hot keys).
+MAX_BROADCAST_BYTES = 64 << 20
 
 
 def write_bucketed(

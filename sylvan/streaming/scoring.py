@@ -1,0 +1,64 @@
+"""Scoring a stream of labelled text with a stored forest.
+
+No new operator: each micro-batch goes through the same stateless cleaning (label
+filter, rejects, tokens) and the same node-table walk and vote as the batch path,
+via ``foreachBatch``. The forest and class sizes are static tables, read once. The
+sink is written per epoch into its own folder, so a replayed epoch after a failure
+overwrites its own output (idempotent), and the query's checkpoint location records
+progress.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from sylvan.operators.clean import filter_labels, reject_predicate, with_tokens
+from sylvan.operators.features import postings
+from sylvan.operators.score import forest_vote, tree_predict
+
+
+def score_batch(
+    batch: DataFrame,
+    nodes: DataFrame,
+    sizes: DataFrame,
+    labels: Sequence[str],
+    drop_accented: bool = True,
+    stem: bool = False,
+    stop_words: bool = False,
+) -> DataFrame:
+    """``doc_id, label, pred`` for one batch of ``doc_id, text, label`` rows."""
+    rows = filter_labels(batch, labels).filter(~reject_predicate(F.col("text"), drop_accented))
+    toks = with_tokens(rows, stop_words=stop_words and not stem)
+    if stem:
+        sets = postings(toks, stem=True, stop_words=stop_words).groupBy("doc_id").agg(F.collect_set("term").alias("terms"))
+        docs = toks.select("doc_id", "label").join(sets, "doc_id", "left")
+    else:
+        docs = toks.select("doc_id", "label", F.array_distinct("tokens").alias("terms"))
+    voted = forest_vote(tree_predict(nodes, docs, labels), sizes)
+    return docs.select("doc_id", "label").join(voted, "doc_id")
+
+
+def start_scoring(
+    stream: DataFrame,
+    nodes: DataFrame,
+    sizes: DataFrame,
+    labels: Sequence[str],
+    sink_path: str,
+    checkpoint_location: str,
+    drop_accented: bool = True,
+    trigger_available_now: bool = False,
+) -> StreamingQuery:
+    """Start a streaming query that appends ``doc_id, label, pred`` as parquet under ``sink_path``."""
+
+    def each(batch: DataFrame, epoch_id: int) -> None:
+        out = score_batch(batch, nodes, sizes, labels, drop_accented)
+        out.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/epoch={epoch_id}")
+
+    writer = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint_location)
+    if trigger_available_now:
+        writer = writer.trigger(availableNow=True)
+    return writer.start()

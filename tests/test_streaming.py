@@ -1,0 +1,29 @@
+"""Stream scoring gives the same predictions as the batch path."""
+
+from tests.conftest import SF001
+
+
+def test_stream_scoring_matches_batch(spark):
+    from sylvan.operators.score import forest_vote, tree_predict
+    from sylvan.plans import pipeline as P
+    from sylvan.session import scratch_path
+    from sylvan.sources.tables import labelled_text
+    from sylvan.streaming.scoring import start_scoring
+
+    feats = P.prepare(spark, SF001, "lang", 10)
+    nodes = P.train(spark, feats, rule="c45", max_depth=3)
+    # the stream source: the held-out rows of the table, written as parquet files
+    src = scratch_path(spark, "stream-src")
+    raw = labelled_text(spark, SF001, "lang")
+    test_ids = feats.test_docs.select("doc_id")
+    raw.join(test_ids, "doc_id", "left_semi").repartition(3).write.parquet(src)
+
+    sink, ckpt = scratch_path(spark, "stream-sink"), scratch_path(spark, "stream-ckpt")
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    q = start_scoring(stream, nodes, feats.sizes, feats.labels, sink, ckpt, drop_accented=False, trigger_available_now=True)
+    q.awaitTermination(300)
+    got = {(r.doc_id, r.pred) for r in spark.read.parquet(sink).collect()}
+
+    docs = P.test_terms(feats)
+    want = {(r.doc_id, r.pred) for r in forest_vote(tree_predict(nodes, docs, feats.labels), feats.sizes).collect()}
+    assert got == want and len(got) > 0
