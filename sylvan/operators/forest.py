@@ -9,7 +9,7 @@ State per level (all DataFrames, nothing per row on the driver):
 Per level: close nodes by depth / entropy (T4, T4b), one statistics aggregation for all
 trees and nodes, score by rule, best split per node, then route rows to ``node+'L'``
 (term present) or ``node+'R'`` (absent). ``assign`` and ``terms`` are hash-partitioned
-by ``doc_id`` and checkpointed, so the per-level join is exchange-free; node-level tables
+by ``doc_id`` and written as bucketed tables, so the per-level join is exchange-free; node-level tables
 are broadcast only below a checked row count (else a shuffle join with AQE skew split).
 
 Node ids are path strings over {L, R} (root = ''): depth is not bounded by 64 bits and
@@ -29,7 +29,7 @@ from sylvan.functions import entropy as E
 from sylvan.functions.text import STOP_ENTROPY
 from sylvan.operators.features import maybe_broadcast, trees_column
 from sylvan.operators.splits import best_splits, level_stats, scored_candidates
-from sylvan.session import shuffle_partitions, write_bucketed, write_table
+from sylvan.session import drop_tables, shuffle_partitions, write_bucketed, write_table
 
 log = logging.getLogger("sylvan.forest")
 
@@ -175,8 +175,9 @@ def grow_forest(
     parts = shuffle_partitions(spark)
     # both per-row tables are bucketed by doc_id with the same bucket count: the
     # per-level joins between them read co-located buckets, no exchange
-    terms = write_bucketed(terms.select("doc_id", "terms"), "terms", buckets=parts)
-    assign = write_bucketed(initial_assign(base, labels), "assign0", buckets=parts)
+    tables: list[str] = []
+    terms = write_bucketed(terms.select("doc_id", "terms"), "terms", buckets=parts, registry=tables)
+    assign = write_bucketed(initial_assign(base, labels), "assign0", buckets=parts, registry=tables)
     root = assign.groupBy("tree", "node").agg(
         F.count(F.lit(1)).alias("n"), F.sum("y").cast("bigint").alias("k")
     )
@@ -210,11 +211,15 @@ def grow_forest(
         if n_split == 0:
             break
         splits = maybe_broadcast(nodes.filter(~F.col("is_leaf")), n_split, node_row_bytes(depth + 1))
-        assign = write_bucketed(route(assign, terms, splits), f"assign{depth + 1}", buckets=parts, prepartitioned=True)
+        assign = write_bucketed(
+            route(assign, terms, splits), f"assign{depth + 1}", buckets=parts, prepartitioned=True, registry=tables
+        )
         # the next frontier is a projection of the written node table (not written again)
         frontier = children(nodes)
         frontier_rows = 2 * n_split
         depth += 1
+    # the node tables are plain parquet; the bucketed per-row tables are no longer needed
+    drop_tables(spark, tables)
     out = levels[0].select(*NODE_COLUMNS)
     for lv in levels[1:]:
         out = out.unionByName(lv.select(*NODE_COLUMNS))

@@ -93,7 +93,12 @@ MAX_BROADCAST_BYTES = 64 << 20
 
 
 def write_bucketed(
-    df: DataFrame, name: str, key: str = "doc_id", buckets: int | None = None, prepartitioned: bool = False
+    df: DataFrame,
+    name: str,
+    key: str = "doc_id",
+    buckets: int | None = None,
+    prepartitioned: bool = False,
+    registry: list[str] | None = None,
 ) -> DataFrame:
     """Write ``df`` as a parquet table bucketed by ``key`` in the shared folder and read it back.
 
@@ -101,6 +106,8 @@ def write_bucketed(
     either side, level after level; the written files also cut the lineage.
     ``prepartitioned``: the rows already come out of a join of such tables (partitioned
     by ``key`` into ``buckets``), so each task writes one bucket and no shuffle is added.
+    The table is registered in the session catalog (bucketing lives there); its name is
+    appended to ``registry`` so the caller can drop the entries (``drop_tables``) when done.
     """
     spark = df.sparkSession
     n = buckets or shuffle_partitions(spark)
@@ -114,4 +121,12 @@ def write_bucketed(
         .option("path", path)
         .saveAsTable(table)
     )
+    if registry is not None:
+        registry.append(table)
     return spark.table(table)
+
+
+def drop_tables(spark: SparkSession, names: list[str]) -> None:
+    """Drop catalog entries made by ``write_bucketed`` (external tables: files stay put)."""
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
