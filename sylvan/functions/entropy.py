@@ -7,6 +7,9 @@ All divisions are guarded (ANSI mode raises on ``x / 0``).
 
 from __future__ import annotations
 
+import functools
+
+from pyspark import SparkContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,6 +21,30 @@ RANK_DIGITS = 12
 OUT_DIGITS = 6
 
 
+_CACHE: dict = {}
+
+
+def _cached(fn):
+    """Reuse a built expression when every argument is a column name or a constant.
+
+    The score expressions take hundreds of JVM calls to build; as unresolved
+    expressions over column names they can be shared by every level's plan. The key
+    includes the active context, so a new session never sees stale objects.
+    """
+
+    @functools.wraps(fn)
+    def wrapper(*args):
+        if not all(isinstance(a, (str, int, float)) for a in args):
+            return fn(*args)
+        key = (id(SparkContext._active_spark_context), fn.__name__, args)
+        hit = _CACHE.get(key)
+        if hit is None:
+            hit = _CACHE[key] = fn(*args)
+        return hit
+
+    return wrapper
+
+
 def _d(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
@@ -39,6 +66,7 @@ def ratio(a, b) -> Column:
     return F.when(b != 0, a / b).otherwise(F.lit(0.0))
 
 
+@_cached
 def binary_entropy(k, n) -> Column:
     """M3: entropy of a node with k category rows out of n (0 for n = 0)."""
     k, n = _d(k), _d(n)
@@ -67,6 +95,7 @@ def info_side(nv, kv, n) -> Column:
     return F.when(n != 0, num / n).otherwise(F.lit(0.0))
 
 
+@_cached
 def gain_ratio(n, k, n1, k1) -> Column:
     """M4: C4.5 gain ratio of a binary term split (NULL when one side is empty).
 
@@ -81,11 +110,13 @@ def gain_ratio(n, k, n1, k1) -> Column:
     return F.when((n1 > 0) & (n0 > 0) & (den > 0), num / den)
 
 
+@_cached
 def score_c45(n, k, n1, k1) -> Column:
     """Textbook rule: candidate iff both sides non-empty; the score is the gain ratio."""
     return gain_ratio(n, k, n1, k1)
 
 
+@_cached
 def score_mr(n, k, n1, k1) -> Column:
     """The map-reduce rule.
 
@@ -105,6 +136,7 @@ def score_mr(n, k, n1, k1) -> Column:
     )
 
 
+@_cached
 def mr_has_both_sides(n, k, n1, k1) -> Column:
     n, k, n1, k1 = _d(n), _d(k), _d(n1), _d(k1)
     return ((n1 - k1) > 0) & ((n - n1 - (k - k1)) > 0)
@@ -115,6 +147,7 @@ def majority_label(n, k, tree) -> Column:
     return F.when(_d(k) * 2 > _d(n), tree if isinstance(tree, Column) else F.col(tree)).otherwise(F.lit(OTHER))
 
 
+@_cached
 def is_pure_enough(k, n, threshold: float = STOP_ENTROPY) -> Column:
     """T4 entropy part: stop when H(k, n) <= threshold."""
     return binary_entropy(k, n) <= threshold

@@ -204,7 +204,7 @@ def grow_forest(
         level = decide_level(
             frontier, assign, terms, frontier_rows, rule, vocab_size, max_depth, stop_entropy, level=depth
         )
-        nodes = write_table(level.repartition(node_partitions(spark, frontier_rows)), f"nodes{depth}")
+        nodes = write_table(level.coalesce(node_partitions(spark, frontier_rows)), f"nodes{depth}")
         levels.append(nodes)
         n_split = nodes.filter(~F.col("is_leaf")).count()
         log.info("level %d: frontier %d, splits %d, %.2fs", depth, frontier_rows, n_split, time.time() - t0)
