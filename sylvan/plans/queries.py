@@ -311,6 +311,18 @@ def accuracy_mr_stemmed(spark, sf):
     return P.evaluate(spark, feats, nodes, stem=True, stop_words=True)[2]
 
 
+def job_compute_then_load(spark, sf):
+    """IO7: the job with its switches: compute and store, then a second run that loads
+    the prepared tables and the forest from the store (mr rule, depth 3, stemming)."""
+    from sylvan.plans.job import JobParams, run_job
+    from sylvan.session import scratch_path
+
+    store = scratch_path(spark, "job")
+    params = JobParams(min_df=MIN_DF, rule="mr", max_depth=3, stem=True, stop_words=True)
+    run_job(spark, sf, store, LANG, params, compute_features=True, compute_forest=True).collect()
+    return run_job(spark, sf, store, LANG, params, compute_features=False, compute_forest=False)
+
+
 def forest_store_roundtrip(spark, sf):
     nodes = _forest(spark, sf, "c45", 2)[1]
     back = IO.load_forest(spark, IO.save_forest(nodes, "c45"))
@@ -342,6 +354,6 @@ QUERIES = {
         forest_c45_depth2, forest_mr_depth3, tree_c45_depth3, tree_mr_depth3, forest_toxic_c45_depth3,
         node_stats, tree_rules, route_level, tree_predict, forest_predict, accuracy,
         forest_store_roundtrip, io_csv_roundtrip, io_json_roundtrip,
-        stem_vocabulary, forest_c45_stemmed_depth2, accuracy_mr_stemmed,
+        stem_vocabulary, forest_c45_stemmed_depth2, accuracy_mr_stemmed, job_compute_then_load,
     ]
 }

@@ -134,5 +134,6 @@ SQL = {
     "stem_vocabulary": _with(",\ndwv AS (SELECT DISTINCT term FROM posts),\n" + stem_ctes("dwv", "sv") + "\nSELECT term, stem FROM sv"),
     "forest_c45_stemmed_depth2": forest_sql(NODE_OUT, "c45", 2, stem=True, stop_words=True),
     "accuracy_mr_stemmed": scoring_sql(_ACC, "mr", 3, stem=True, stop_words=True),
+    "job_compute_then_load": scoring_sql(_ACC, "mr", 3, stem=True, stop_words=True),
     "io_json_roundtrip": _with("SELECT doc_id, label, array_to_string(tokens, ' ') AS tokens FROM sp WHERE NOT is_train"),
 }
