@@ -34,6 +34,9 @@ from sylvan.session import drop_tables, shuffle_partitions, write_bucketed, writ
 log = logging.getLogger("sylvan.forest")
 
 NODE_COLUMNS = ["tree", "node", "depth", "term", "score", "n", "k", "is_leaf", "label"]
+# The term sets are rewritten for the active rows only once those are fewer than this
+# share of the rows they hold, so the per-level scan shrinks with the frontier.
+COMPACT_SHARE = 0.5
 # Node-level tables get one partition per this many rows (they are unions of small parts;
 # without a repartition their partition count would double every level).
 NODE_ROWS_PER_PARTITION = 200_000
@@ -195,6 +198,7 @@ def grow_forest(
     if n_all == 0:
         raise ValueError("empty training set")
     frontier_rows = len(labels)
+    terms_rows = n_all  # rows held by the current term-set table
     levels: list[DataFrame] = []
     total_rows = 0
     depth = 0
@@ -206,7 +210,9 @@ def grow_forest(
         )
         nodes = write_table(level.coalesce(node_partitions(spark, frontier_rows)), f"nodes{depth}")
         levels.append(nodes)
-        n_split = nodes.filter(~F.col("is_leaf")).count()
+        # one small job: how many nodes split, and how many (row, tree) pairs they route
+        got = nodes.filter(~F.col("is_leaf")).agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("r")).first()
+        n_split, routed = int(got["c"]), int(got["r"] or 0)
         log.info("level %d: frontier %d, splits %d, %.2fs", depth, frontier_rows, n_split, time.time() - t0)
         if n_split == 0:
             break
@@ -214,6 +220,15 @@ def grow_forest(
         assign = write_bucketed(
             route(assign, terms, splits), f"assign{depth + 1}", buckets=parts, prepartitioned=True, registry=tables
         )
+        if routed < COMPACT_SHARE * terms_rows:
+            # distinct active rows <= routed pairs: keep only their term sets. Both sides
+            # are bucketed by doc_id, so the semi-join and the distinct need no exchange.
+            active = assign.select("doc_id").distinct()
+            terms = write_bucketed(
+                terms.join(active, "doc_id", "left_semi"), f"terms{depth + 1}", buckets=parts,
+                prepartitioned=True, registry=tables,
+            )
+            terms_rows = routed
         # the next frontier is a projection of the written node table (not written again)
         frontier = children(nodes)
         frontier_rows = 2 * n_split
