@@ -205,9 +205,13 @@ def grow_forest(
     while frontier_rows > 0:
         t0 = time.time()
         total_rows += frontier_rows
-        level = decide_level(
-            frontier, assign, terms, frontier_rows, rule, vocab_size, max_depth, stop_entropy, level=depth
-        )
+        if depth >= max_depth:
+            # every node at the depth limit is a leaf: no statistics to compute
+            level = _leaf_rows(frontier)
+        else:
+            level = decide_level(
+                frontier, assign, terms, frontier_rows, rule, vocab_size, max_depth, stop_entropy, level=depth
+            )
         nodes = write_table(level.coalesce(node_partitions(spark, frontier_rows)), f"nodes{depth}")
         levels.append(nodes)
         # one small job: how many nodes split, and how many (row, tree) pairs they route
@@ -217,22 +221,23 @@ def grow_forest(
         if n_split == 0:
             break
         splits = maybe_broadcast(nodes.filter(~F.col("is_leaf")), n_split, node_row_bytes(depth + 1))
+        frontier = children(nodes)
+        frontier_rows = 2 * n_split
+        depth += 1
+        if depth >= max_depth:
+            continue  # the next level only closes nodes: the rows need not be routed
         assign = write_bucketed(
-            route(assign, terms, splits), f"assign{depth + 1}", buckets=parts, prepartitioned=True, registry=tables
+            route(assign, terms, splits), f"assign{depth}", buckets=parts, prepartitioned=True, registry=tables
         )
         if routed < COMPACT_SHARE * terms_rows:
             # distinct active rows <= routed pairs: keep only their term sets. Both sides
             # are bucketed by doc_id, so the semi-join and the distinct need no exchange.
             active = assign.select("doc_id").distinct()
             terms = write_bucketed(
-                terms.join(active, "doc_id", "left_semi"), f"terms{depth + 1}", buckets=parts,
+                terms.join(active, "doc_id", "left_semi"), f"terms{depth}", buckets=parts,
                 prepartitioned=True, registry=tables,
             )
             terms_rows = routed
-        # the next frontier is a projection of the written node table (not written again)
-        frontier = children(nodes)
-        frontier_rows = 2 * n_split
-        depth += 1
     # the node tables are plain parquet; the bucketed per-row tables are no longer needed
     drop_tables(spark, tables)
     out = levels[0].select(*NODE_COLUMNS)
