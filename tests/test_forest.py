@@ -133,7 +133,8 @@ def test_partition_invariance(spark, feats):
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", old)
 
-    assert run(1) == run(7)
+    one = run(1)
+    assert one == run(7) == run(64)
 
 
 def test_children_sum_to_parent_and_rows_reach_one_leaf(spark, feats):
