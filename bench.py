@@ -55,6 +55,11 @@ def main():
     timed("score_c45", lambda: P.evaluate(spark, feats, nodes)[2].collect())
     timed("forest_mr", lambda: _forest_and_score(spark, "mr"))
     timed("forest_toxic_c45", lambda: Q._forest(spark, SF_DIR, "c45", MAX_DEPTH, profile="toxic", min_df=10)[1].collect())
+    # the classic job at its own defaults (min_df 200, rule mr, depth 20, stemming + stop words)
+    from sylvan.plans.job import JobParams, run_job
+    from sylvan.session import scratch_path
+
+    timed("job_defaults", lambda: run_job(spark, SF_DIR, scratch_path(spark, "bench-job"), "lang", JobParams()).collect())
 
     sf = re.search(r"sf([0-9.]+)", SF_DIR)
     print(
