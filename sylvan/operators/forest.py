@@ -2,15 +2,17 @@
 
 State per level (all DataFrames, nothing per row on the driver):
 
-* ``terms``  (doc_id, terms)           vocabulary terms per training row, cut once;
+* ``terms``  (doc_id, terms)           vocabulary terms per active training row;
 * ``assign`` (doc_id, tree, node, y)   where each row sits in each tree, active nodes only;
 * ``frontier`` (tree, node, depth, n, k, path_terms)   one row per open node.
 
 Per level: close nodes by depth / entropy (T4, T4b), one statistics aggregation for all
 trees and nodes, score by rule, best split per node, then route rows to ``node+'L'``
-(term present) or ``node+'R'`` (absent). ``assign`` and ``terms`` are hash-partitioned
-by ``doc_id`` and written as bucketed tables, so the per-level join is exchange-free; node-level tables
-are broadcast only below a checked row count (else a shuffle join with AQE skew split).
+(term present) or ``node+'R'`` (absent). ``assign`` and ``terms`` are written as tables
+bucketed by ``doc_id`` (same bucket count), so the per-level join is exchange-free, and
+``terms`` is compacted to the active rows as the frontier shrinks. Node-level tables
+are broadcast only when count x row width fits a byte budget (else a shuffle join,
+with AQE's skew split for hot nodes).
 
 Node ids are path strings over {L, R} (root = ''): depth is not bounded by 64 bits and
 the lexicographic order of paths is the pre-order of the tree.

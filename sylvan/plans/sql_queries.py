@@ -14,12 +14,11 @@ from sylvan.plans.sql_twins import (
     scoring_sql,
     stem_ctes,
     stop_filter_sql,
-    tokens_sql,
     clean_text_sql,
     with_prep,
 )
 from sylvan.functions.text import ACCENT_CLASS
-from sylvan.plans.queries import MIN_DF, PIVOT_WORDS
+from sylvan.plans.queries import PIVOT_WORDS
 from sylvan.sources.tables import PROFILES
 
 _LANG_LABELS = ", ".join(q(x) for x in sorted(PROFILES["lang"].labels))
