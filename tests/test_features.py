@@ -63,3 +63,24 @@ def test_dense_index_matches_row_number(spark):
     df = spark.range(0, 5000, 7).withColumnRenamed("id", "doc_id").repartition(5)
     got = X.dense_index(df, "doc_id", "idx", start=1).collect()
     assert sorted((r.doc_id, r.idx) for r in got) == [(d, i + 1) for i, d in enumerate(range(0, 5000, 7))]
+
+
+def test_dense_index_per_group_with_a_hot_group(spark):
+    from pyspark.sql import Window
+
+    # group "g0" holds most rows and spans several range partitions
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 10 == 0, "g1").otherwise("g0").alias("grp"), (F.col("id") * 7 % 3001).alias("doc_id")
+    )
+    got = X.dense_index(df, "doc_id", "idx", start=1, partition_col="grp")
+    want = df.withColumn("idx", F.row_number().over(Window.partitionBy("grp").orderBy("doc_id")))
+    assert sorted(tuple(r) for r in got.select("grp", "doc_id", "idx").collect()) == sorted(
+        tuple(r) for r in want.select("grp", "doc_id", "idx").collect()
+    )
+
+
+def test_random_split_is_a_partition_of_the_rows(spark):
+    df = spark.range(1000).withColumnRenamed("id", "doc_id")
+    train, test = X.random_split(df)
+    a, b = {r.doc_id for r in train.collect()}, {r.doc_id for r in test.collect()}
+    assert not (a & b) and len(a | b) == 1000 and 700 < len(a) < 900
