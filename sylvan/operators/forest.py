@@ -91,10 +91,8 @@ def decide_level(
     level: int = 0,
 ) -> DataFrame:
     """Node rows (decision or leaf) for every frontier node of one level (all at depth ``level``)."""
-    stop = (F.col("depth") >= max_depth) | E.is_pure_enough("k", "n", stop_entropy)
-    if rule == "mr":
-        # At most one attribute left in the node's columns
-        stop = stop | (F.lit(vocab_size) - F.col("depth") <= 1)
+    # T4 (depth, entropy) and, for mr, T4b (at most one attribute left)
+    stop = closes("n", "k", "depth", rule, vocab_size, max_depth, stop_entropy)
     fr = frontier.withColumn("_stop", stop)
     closed = _leaf_rows(fr.filter("_stop"))
     # frontier rows carry the path's terms: width grows with depth
@@ -148,15 +146,35 @@ def children(nodes: DataFrame) -> DataFrame:
     return left.unionByName(right)
 
 
+def closes(n, k, depth, rule: str, vocab_size: int, max_depth: int, stop_entropy: float):
+    """T4 / T4b as a predicate on a node's (n, k, depth): the node becomes a leaf.
+
+    ``n`` and ``k`` are column names (the entropy expression is then reused across levels).
+    """
+    d = F.col(depth) if isinstance(depth, str) else depth
+    stop = (d >= max_depth) | E.is_pure_enough(k, n, stop_entropy)
+    if rule == "mr":
+        stop = stop | (F.lit(vocab_size) - d <= 1)
+    return stop
+
+
 def route(assign: DataFrame, terms: DataFrame, splits: DataFrame) -> DataFrame:
     """rows of split nodes move to ``node+'L'`` if the term is present, else ``'R'``.
 
-    Rows of nodes that became leaves drop out (inner join with the splits).
+    Rows of nodes that became leaves drop out (inner join with the splits), and so do
+    rows bound for a child that closes at once (``open_l`` / ``open_r`` false): its
+    size is already known from the split, so its rows are never needed again.
     """
-    j = assign.join(splits.select("tree", "node", F.col("term").alias("_t")), ["tree", "node"])
+    j = assign.join(
+        splits.select("tree", "node", F.col("term").alias("_t"), F.col("open_l").alias("_ol"), F.col("open_r").alias("_or")),
+        ["tree", "node"],
+    )
     j = j.join(terms.select("doc_id", "terms"), "doc_id")
-    side = F.when(F.array_contains("terms", F.col("_t")), F.lit("L")).otherwise(F.lit("R"))
-    return j.select("doc_id", "tree", F.concat("node", side).alias("node"), "y")
+    present = F.array_contains("terms", F.col("_t"))
+    side = F.when(present, F.lit("L")).otherwise(F.lit("R"))
+    return j.filter(F.when(present, F.col("_ol")).otherwise(F.col("_or"))).select(
+        "doc_id", "tree", F.concat("node", side).alias("node"), "y"
+    )
 
 
 def grow_forest(
@@ -204,11 +222,11 @@ def grow_forest(
     levels: list[DataFrame] = []
     total_rows = 0
     depth = 0
+    closes_only = max_depth <= 0  # the next level only closes nodes (no statistics needed)
     while frontier_rows > 0:
         t0 = time.time()
         total_rows += frontier_rows
-        if depth >= max_depth:
-            # every node at the depth limit is a leaf: no statistics to compute
+        if closes_only:
             level = _leaf_rows(frontier)
         else:
             level = decide_level(
@@ -216,18 +234,32 @@ def grow_forest(
             )
         nodes = write_table(level.coalesce(node_partitions(spark, frontier_rows)), f"nodes{depth}")
         levels.append(nodes)
-        # one small job: how many nodes split, and how many (row, tree) pairs they route
-        got = nodes.filter(~F.col("is_leaf")).agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("r")).first()
+        # which children stay open is known now, from the split counts
+        child = depth + 1
+        splits = (
+            nodes.filter(~F.col("is_leaf"))
+            .select("tree", "node", "term", "n", "k", "n1", "k1",
+                    (F.col("n") - F.col("n1")).alias("n0"), (F.col("k") - F.col("k1")).alias("k0"))
+            .select("*",
+                    (~closes("n1", "k1", F.lit(child), rule, vocab_size, max_depth, stop_entropy)).alias("open_l"),
+                    (~closes("n0", "k0", F.lit(child), rule, vocab_size, max_depth, stop_entropy)).alias("open_r"))
+        )
+        # one small job: how many nodes split, and how many (row, tree) pairs go on
+        got = splits.agg(
+            F.count(F.lit(1)).alias("c"),
+            F.sum(F.when(F.col("open_l"), F.col("n1")).otherwise(0) + F.when(F.col("open_r"), F.col("n0")).otherwise(0)).alias("r"),
+        ).first()
         n_split, routed = int(got["c"]), int(got["r"] or 0)
         log.info("level %d: frontier %d, splits %d, %.2fs", depth, frontier_rows, n_split, time.time() - t0)
         if n_split == 0:
             break
-        splits = maybe_broadcast(nodes.filter(~F.col("is_leaf")), n_split, node_row_bytes(depth + 1))
         frontier = children(nodes)
         frontier_rows = 2 * n_split
-        depth += 1
-        if depth >= max_depth:
-            continue  # the next level only closes nodes: the rows need not be routed
+        depth = child
+        closes_only = routed == 0
+        if closes_only:
+            continue  # every child closes at once: no rows to route
+        splits = maybe_broadcast(splits, n_split, node_row_bytes(depth))
         assign = write_bucketed(
             route(assign, terms, splits), f"assign{depth}", buckets=parts, prepartitioned=True, registry=tables
         )
