@@ -86,7 +86,7 @@ def remove_stop_words(spark, sf):
     return t.select("doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
 
-def token_pipeline(spark, sf):
+def token_stages(spark, sf):
     t = _cleaned(spark, sf, stop_words=True)
     return t.select("doc_id", "label", F.array_join("tokens", " ").alias("tokens"))
 
@@ -348,7 +348,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         clean_topic_filter, clean_no_alpha, clean_accented, clean_rejects, clean_except, clean_text,
-        tokenize, remove_stop_words, token_pipeline, train_test_split, doc_index, label_index,
+        tokenize, remove_stop_words, token_stages, train_test_split, doc_index, label_index,
         postings, vocabulary, postings_in_vocab, class_sizes, one_vs_rest, matrix_summary,
         term_pivot, term_unpivot, entropy, leaf_label, split_stats, gain_ratio, best_split, top_splits,
         forest_c45_depth2, forest_mr_depth3, tree_c45_depth3, tree_mr_depth3, forest_toxic_c45_depth3,

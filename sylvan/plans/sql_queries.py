@@ -74,7 +74,7 @@ SQL = {
         f"SELECT doc_id, CAST(len({stop_filter_sql('tokens')}) AS BIGINT) AS n_tokens, "
         f"array_to_string({stop_filter_sql('tokens')}, ' ') AS tokens FROM tok"
     ),
-    "token_pipeline": _with("SELECT doc_id, label, array_to_string(tokens, ' ') AS tokens FROM tok", stop_words=True),
+    "token_stages": _with("SELECT doc_id, label, array_to_string(tokens, ' ') AS tokens FROM tok", stop_words=True),
     "train_test_split": _with("SELECT doc_id, is_train FROM sp"),
     "doc_index": _with("SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) AS BIGINT) AS idx FROM tok"),
     "label_index": _with(
