@@ -39,6 +39,9 @@ NODE_COLUMNS = ["tree", "node", "depth", "term", "score", "n", "k", "is_leaf", "
 # The term sets are rewritten for the active rows only once those are fewer than this
 # share of the rows they hold, so the per-level scan shrinks with the frontier.
 COMPACT_SHARE = 0.5
+# Bucket count of the per-row tables: about this many (row, tree) pairs per bucket, at
+# least the cluster's parallelism, at most the shuffle-partition count.
+PAIRS_PER_BUCKET = 1_000_000
 # Node-level tables get one partition per this many rows (they are unions of small parts;
 # without a repartition their partition count would double every level).
 NODE_ROWS_PER_PARTITION = 200_000
@@ -49,6 +52,11 @@ def node_row_bytes(depth: int) -> int:
     return 128 + 32 * depth
 
 
+def bucket_count(spark: SparkSession, pairs: int) -> int:
+    parallel = spark.sparkContext.defaultParallelism
+    return max(1, parallel, min(shuffle_partitions(spark), -(-pairs // PAIRS_PER_BUCKET)))
+
+
 def node_partitions(spark: SparkSession, rows: int) -> int:
     return max(1, min(shuffle_partitions(spark), -(-rows // NODE_ROWS_PER_PARTITION)))
 
@@ -186,6 +194,7 @@ def grow_forest(
     rule: str = "c45",
     max_depth: int = 20,
     stop_entropy: float = STOP_ENTROPY,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Grow one tree per label, all trees in the same jobs.
 
@@ -195,7 +204,10 @@ def grow_forest(
     """
     if rule not in ("c45", "mr"):
         raise ValueError(f"unknown rule {rule!r}")
-    parts = shuffle_partitions(spark)
+    n_all = base.count()
+    if n_all == 0:
+        raise ValueError("empty training set")
+    parts = buckets or bucket_count(spark, n_all * len(labels))
     # both per-row tables are bucketed by doc_id with the same bucket count: the
     # per-level joins between them read co-located buckets, no exchange
     tables: list[str] = []
@@ -206,7 +218,6 @@ def grow_forest(
     )
     # trees whose class has no row still get a root (k = 0)
     lab = spark.createDataFrame([(x,) for x in labels], "tree string")
-    n_all = base.count()
     frontier = lab.join(root.select("tree", "k"), "tree", "left").select(
         "tree",
         F.lit("").alias("node"),
@@ -215,8 +226,6 @@ def grow_forest(
         F.coalesce("k", F.lit(0)).cast("bigint").alias("k"),
         F.array().cast("array<string>").alias("path_terms"),
     )
-    if n_all == 0:
-        raise ValueError("empty training set")
     frontier_rows = len(labels)
     terms_rows = n_all  # rows held by the current term-set table
     levels: list[DataFrame] = []

@@ -50,10 +50,13 @@ def train(
     rule: str = "c45",
     max_depth: int = 20,
     trees: Sequence[str] | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """The node table of the forest (``trees`` restricts the forest to some labels)."""
     labels = list(trees) if trees is not None else feats.labels
-    return grow_forest(spark, feats.terms, feats.base, labels, feats.vocab_size, rule=rule, max_depth=max_depth)
+    return grow_forest(
+        spark, feats.terms, feats.base, labels, feats.vocab_size, rule=rule, max_depth=max_depth, buckets=buckets
+    )
 
 
 def test_terms(feats: X.Features, stem: bool = False, stop_words: bool = False) -> DataFrame:

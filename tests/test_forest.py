@@ -129,7 +129,7 @@ def test_partition_invariance(spark, feats):
         old = spark.conf.get("spark.sql.shuffle.partitions")
         spark.conf.set("spark.sql.shuffle.partitions", str(parts))
         try:
-            return sorted(tuple(r) for r in P.train(spark, feats, rule="c45", max_depth=3).collect())
+            return sorted(tuple(r) for r in P.train(spark, feats, rule="c45", max_depth=3, buckets=parts).collect())
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", old)
 
