@@ -10,11 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylvan.functions import text as T
-from sylvan.session import MAX_BROADCAST_BYTES, shuffle_partitions, write_table
+from sylvan.operators.ordered import dense_index  # noqa: F401
+from sylvan.session import MAX_BROADCAST_BYTES, write_table
 
 # Upper bound on the number of one-vs-rest trees (= labels); the label list is the
 # only thing besides counts that the driver holds.
@@ -146,42 +147,6 @@ def term_unpivot(wide: DataFrame, words: Sequence[str]) -> DataFrame:
     return wide.unpivot(["doc_id", "label"], list(words), "term", "value")
 
 
-def dense_index(
-    df: DataFrame, order_col: str, name: str = "idx", start: int = 1, partition_col: str | None = None
-) -> DataFrame:
-    """W1 without a single-partition window: a dense ``row_number`` over ``order_col``
-    (restarting per ``partition_col`` when given).
-
-    Range-partition and sort by (group, key), count rows per (partition, group) with the
-    first in-partition position, turn the counts into offsets on that small table, and
-    add the offset to each row's position. A hot group spans many range partitions and
-    is never gathered into one task. Equal to ``row_number() OVER ([PARTITION BY group]
-    ORDER BY order_col) - 1 + start`` for distinct keys.
-    """
-    spark = df.sparkSession
-    parts = shuffle_partitions(spark)
-    keys = ([partition_col] if partition_col else []) + [order_col]
-    ranged = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
-    group = F.col(partition_col) if partition_col else F.lit(0)
-    tagged = (
-        ranged.withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_pid", F.shiftright("_mid", 33))
-        .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
-        .withColumn("_grp", group)
-    )
-    counts = tagged.groupBy("_pid", "_grp").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
-    before = Window.partitionBy("_grp").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", "_grp", "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    if partition_col is None:
-        # one row per partition: a bounded broadcast
-        offsets = F.broadcast(offsets)
-    return (
-        tagged.join(offsets, ["_pid", "_grp"])
-        .withColumn(name, (F.col("_off") + F.col("_pos") - F.col("_first") + F.lit(start)).cast("bigint"))
-        .drop("_mid", "_pid", "_pos", "_grp", "_off", "_first")
-    )
-
-
 def random_split(df: DataFrame, share: float = T.TRAIN_SHARE, seed: int = T.SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
     """X1 in its literal form: Spark's ``randomSplit`` (result depends on the partitioning;
     ``with_split`` is the partition-independent default)."""
