@@ -7,4 +7,4 @@ Pipeline (every step DataFrame -> DataFrame):
           -> predict (broadcast node-table walk) -> vote -> accuracy
 """
 
-from sylvan.session import get_spark, checkpoint_dir, materialize  # noqa: F401
+from sylvan.session import get_spark, checkpoint_dir  # noqa: F401

@@ -8,6 +8,7 @@ All divisions are guarded (ANSI mode raises on ``x / 0``).
 from __future__ import annotations
 
 import functools
+import weakref
 
 from pyspark import SparkContext
 from pyspark.sql import Column
@@ -21,26 +22,27 @@ RANK_DIGITS = 12
 OUT_DIGITS = 6
 
 
-_CACHE: dict = {}
+# per Spark context, dropped with it
+_CACHE: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
 
 
 def _cached(fn):
     """Reuse a built expression when every argument is a column name or a constant.
 
     The score expressions take hundreds of JVM calls to build; as unresolved
-    expressions over column names they can be shared by every level's plan. The key
-    includes the active context, so a new session never sees stale objects.
+    expressions over column names they can be shared by every level's plan.
     """
 
     @functools.wraps(fn)
     def wrapper(*args):
-        if not all(isinstance(a, (str, int, float)) for a in args):
+        context = SparkContext._active_spark_context
+        if context is None or not all(isinstance(a, (str, int, float)) for a in args):
             return fn(*args)
-        key = (id(SparkContext._active_spark_context), fn.__name__, args)
-        hit = _CACHE.get(key)
-        if hit is None:
-            hit = _CACHE[key] = fn(*args)
-        return hit
+        built = _CACHE.setdefault(context, {})
+        key = (fn.__name__, args)
+        if key not in built:
+            built[key] = fn(*args)
+        return built[key]
 
     return wrapper
 
@@ -49,30 +51,6 @@ def _d(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
-def log2z(x) -> Column:
-    """M1: log2 with log2(0) = 0 (Spark's log2(0) is NULL)."""
-    x = _d(x)
-    return F.when(x > 0, F.log2(x)).otherwise(F.lit(0.0))
-
-
-def neg_xlog2x(r) -> Column:
-    """M2: -r * log2(r)."""
-    r = _d(r)
-    return -(r * log2z(r))
-
-
-def ratio(a, b) -> Column:
-    a, b = _d(a), _d(b)
-    return F.when(b != 0, a / b).otherwise(F.lit(0.0))
-
-
-@_cached
-def binary_entropy(k, n) -> Column:
-    """M3: entropy of a node with k category rows out of n (0 for n = 0)."""
-    k, n = _d(k), _d(n)
-    return neg_xlog2x(ratio(k, n)) + neg_xlog2x(ratio(n - k, n))
-
-
 def xlog2x(x) -> Column:
     """L(x) = x * log2(x), with L(0) = 0. Entropies in count form use only L."""
     x = _d(x)
@@ -95,6 +73,12 @@ def info_side(nv, kv, n) -> Column:
     return F.when(n != 0, num / n).otherwise(F.lit(0.0))
 
 
+@_cached
+def binary_entropy(k, n) -> Column:
+    """M1-M3: entropy of a node with k category rows out of n (0 for n = 0), in count form."""
+    return info_side(n, k, n)
+
+
 @_cached
 def gain_ratio(n, k, n1, k1) -> Column:
     """M4: C4.5 gain ratio of a binary term split (NULL when one side is empty).

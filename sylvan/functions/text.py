@@ -75,17 +75,17 @@ def tokenize(text: Column) -> Column:
 
 def is_blank(word: Column) -> Column:
     """blank word."""
-    return word.rlike("^\\s*$")
+    return F.trim(word) == ""
 
 
 def remove_stop_words(tokens: Column, stop_words: list[str] | None = None) -> Column:
     """T1e: drop stop words from a token array, keeping order and duplicates.
 
-    Equal to ``StopWordsRemover`` (case-insensitive) on lower-cased tokens.
+    Equal to ``StopWordsRemover`` on the lower-cased tokens that ``tokenize`` gives; the list
+    is looked up as a hash set.
     """
     words = stop_words if stop_words is not None else SPARK_ENGLISH_STOP_WORDS
-    stop = F.array(*[F.lit(w) for w in words])
-    return F.filter(tokens, lambda t: ~F.array_contains(stop, F.lower(t)))
+    return F.filter(tokens, lambda t: ~t.isin(words))
 
 
 def split_bucket(doc_id: Column, seed: int = SPLIT_SEED) -> Column:

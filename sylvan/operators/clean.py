@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.functions import text as T
-from sylvan.session import shuffle_partitions
+from sylvan.session import shuffle_partitions, write_table
 
 
 def filter_labels(df: DataFrame, labels: Sequence[str] | None, label: str = "label") -> DataFrame:
@@ -41,14 +41,14 @@ def dedupe_text_label(df: DataFrame, text: str = "text", label: str = "label", d
 
     Skew-safe: the group key is a 256-bit hash of the text plus the label, and the
     aggregate is ``min(doc_id)`` (partial aggregation combines a hot group map-side);
-    only ids are shuffled for it. The kept ids then filter the rows by a semi-join
-    on ``doc_id`` (Spark broadcasts the id side when AQE measures it small).
-    NULL texts form one group per label, as set semantics treat NULLs as equal.
+    only ids are shuffled for it. The rows are hashed once, then meet the kept ids in a
+    semi-join on ``doc_id``. NULL texts form one group per label, as set semantics
+    treat NULLs as equal.
     """
     keep = df.groupBy(F.sha2(F.col(text), 256).alias("_h"), F.col(label)).agg(F.min(doc_id).alias(doc_id))
-    # shuffle-hash semi-join: the rows move once, hash-partitioned by doc_id (the ids
-    # side is the build side), so the regex work after it is spread over all tasks
-    return df.join(keep.select(doc_id).hint("shuffle_hash"), doc_id, "left_semi")
+    # a sort-merge semi-join (it spills): the rows move once, hash-partitioned by doc_id, so
+    # the regex work after it is spread over all tasks
+    return df.join(keep.select(doc_id).hint("merge"), doc_id, "left_semi")
 
 
 def clean(
@@ -72,17 +72,33 @@ def clean(
     return out.select("doc_id", "text", "label")
 
 
-def with_tokens(df: DataFrame, stop_words: bool = False, stem: bool = False, stop_before_stem: bool = False) -> DataFrame:
-    """Adds ``tokens array<string>``: P2, P3, lower, T1b; T1e stop words optional.
+def stem_tokens(df: DataFrame) -> DataFrame:
+    """T1c on token arrays: every token replaced by its stem, order and repeats kept.
 
-    Stemming (T1c) is applied on the distinct terms of the postings, not here
-    (see ``sylvan.operators.features.postings``); with ``stem=True`` and stop words
-    on, stop words are removed after stemming unless ``stop_before_stem``.
+    The distinct words are stemmed once (written), the map is joined back per occurrence
+    (hot words: AQE's skew split), and the arrays are rebuilt per row.
     """
-    toks = T.tokenize(F.col("text"))
+    from sylvan.functions.stem import stem_table
+
+    words = df.select("doc_id", F.posexplode("tokens").alias("_pos", "term"))
+    stems = write_table(stem_table(words.select("term").distinct()), "stems")
+    placed = words.join(stems, "term").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("_pos", "stem"))).alias("_at"))
+    none = F.array().cast("array<string>")
+    return df.drop("tokens").join(placed, "doc_id", "left").withColumn("tokens", F.coalesce(F.col("_at.stem"), none)).drop("_at")
+
+
+def with_tokens(df: DataFrame, stop_words: bool = False, stem: bool = False, stop_before_stem: bool = False) -> DataFrame:
+    """T1f: adds ``tokens array<string>`` (P2, P3, lower, T1b), stemmed (T1c) and without stop
+    words (T1e) on request; stop words go after stemming unless ``stop_before_stem``."""
+    out = df.withColumn("tokens", T.tokenize(F.col("text")))
+    drop = T.remove_stop_words(F.col("tokens"))
     if stop_words and (not stem or stop_before_stem):
-        toks = T.remove_stop_words(toks)
-    return df.withColumn("tokens", toks)
+        out = out.withColumn("tokens", drop)
+    if stem:
+        out = stem_tokens(out)
+        if stop_words and not stop_before_stem:
+            out = out.withColumn("tokens", drop)
+    return out
 
 
 def clean_tokens(
@@ -91,8 +107,8 @@ def clean_tokens(
     drop_accented: bool = True,
     stop_words: bool = False,
     stem: bool = False,
+    stop_before_stem: bool = False,
 ) -> DataFrame:
-    """T1f: the whole cleaning pipeline as one composition (``doc_id, label, tokens``)."""
-    return with_tokens(clean(df, labels, drop_accented), stop_words=stop_words, stem=stem).select(
-        "doc_id", "label", "tokens"
-    )
+    """The whole cleaning as one composition (``doc_id, label, tokens``)."""
+    out = with_tokens(clean(df, labels, drop_accented), stop_words, stem, stop_before_stem)
+    return out.select("doc_id", "label", "tokens")

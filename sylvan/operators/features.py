@@ -17,10 +17,6 @@ from sylvan.functions import text as T
 from sylvan.operators.ordered import dense_index  # noqa: F401
 from sylvan.session import MAX_BROADCAST_BYTES, write_table
 
-# Upper bound on the number of one-vs-rest trees (= labels); the label list is the
-# only thing besides counts that the driver holds.
-MAX_TREES = 10_000
-
 
 def with_split(df: DataFrame, share: float = T.TRAIN_SHARE, seed: int = T.SPLIT_SEED) -> DataFrame:
     """Adds ``is_train`` from a hash of the id (partitioning-independent)."""
@@ -44,6 +40,8 @@ def postings(tokens_df: DataFrame, stem: bool = False, stop_words: bool = False,
     """
     words = tokens_df.select("doc_id", "label", F.explode(F.array_distinct("tokens")).alias("term"))
     words = words.filter(~T.is_blank(F.col("term")))
+    if stop_words and (stop_before_stem or not stem):
+        words = words.filter(~F.col("term").isin(T.SPARK_ENGLISH_STOP_WORDS))
     if not stem:
         return words
     from sylvan.functions.stem import stem_table
@@ -82,26 +80,27 @@ def postings_in_vocab(posts: DataFrame, vocab: DataFrame, vocab_rows: int | None
     return posts.join(v, "term", "left_semi")
 
 
-def doc_terms(base: DataFrame, posts_in_vocab: DataFrame) -> DataFrame:
-    """``(doc_id, label, terms)``: sorted vocabulary terms per training row.
+def doc_terms(posts: DataFrame, vocab: DataFrame, vocab_rows: int | None = None) -> DataFrame:
+    """``(doc_id, label, terms)``: sorted vocabulary terms of every row that has a word.
 
-    Rows whose words are all rare stay with an empty array (they are all-zero rows
-    of the dense matrix and still count in every node).
+    One aggregation by ``doc_id`` gives the base rows (A4) and their term sets. Rows whose
+    words are all rare stay with an empty array (they are all-zero rows of the dense matrix
+    and still count in every node).
     """
-    sets = posts_in_vocab.groupBy("doc_id").agg(F.array_sort(F.collect_list("term")).alias("terms"))
-    return base.join(sets, "doc_id", "left").select(
-        "doc_id", "label", F.coalesce("terms", F.array().cast("array<string>")).alias("terms")
-    )
+    v = vocab.select(F.col("term").alias("_v"))
+    if vocab_rows is not None:
+        v = maybe_broadcast(v, vocab_rows)
+    kept = F.collect_list("_v")  # of terms outside the vocabulary: null, left out
+    flagged = posts.join(v, F.col("term") == F.col("_v"), "left")
+    return flagged.groupBy("doc_id", "label").agg(F.array_sort(kept).alias("terms"))
 
 
 def tree_labels(spark: SparkSession, cleaned: DataFrame, labels: Sequence[str] | None) -> list[str]:
-    """The one-vs-rest tree list: the allowed labels, else the distinct labels (bounded)."""
+    """The one-vs-rest tree list: the allowed labels, else the distinct labels (one string per
+    tree that is to be grown; the only thing besides counts that the driver holds)."""
     if labels is not None:
         return sorted(set(labels))
-    got = [r[0] for r in cleaned.select("label").distinct().limit(MAX_TREES + 1).collect()]
-    if len(got) > MAX_TREES:
-        raise ValueError(f"more than {MAX_TREES} labels")
-    return sorted(got)
+    return sorted(r[0] for r in cleaned.select("label").distinct().collect())
 
 
 def labels_frame(spark: SparkSession, labels: Sequence[str]) -> DataFrame:
@@ -110,9 +109,9 @@ def labels_frame(spark: SparkSession, labels: Sequence[str]) -> DataFrame:
 
 def class_sizes(spark: SparkSession, base: DataFrame, labels: Sequence[str]) -> DataFrame:
     """A5: training rows per label, zero for labels without rows (outer join)."""
-    counts = base.groupBy("label").agg(F.count(F.lit(1)).alias("n_train"))
+    counts = maybe_broadcast(base.groupBy("label").agg(F.count(F.lit(1)).alias("n_train")), len(labels))
     return (
-        F.broadcast(labels_frame(spark, labels))
+        labels_frame(spark, labels)
         .join(counts, "label", "left")
         .select("label", F.coalesce("n_train", F.lit(0)).cast("bigint").alias("n_train"))
     )
@@ -177,6 +176,7 @@ def build_features(
     stem: bool = False,
     stop_words: bool = False,
     split: bool = True,
+    stop_before_stem: bool = False,
 ) -> Features:
     """From cleaned token rows to the training inputs of the forest.
 
@@ -188,12 +188,13 @@ def build_features(
     marked = write_table(marked, "tokens")
     train = marked.filter("is_train").drop("is_train")
     test = marked.filter(~F.col("is_train")).drop("is_train") if split else train
-    posts = write_table(postings(train, stem=stem, stop_words=stop_words), "postings")
-    base = doc_base(posts)
-    vocab = vocabulary(posts, min_df)
+    posts = write_table(
+        postings(train, stem=stem, stop_words=stop_words, stop_before_stem=stop_before_stem), "postings"
+    )
+    vocab = write_table(vocabulary(posts, min_df), "vocabulary")
     vocab_size = vocab.count()
-    piv = postings_in_vocab(posts, vocab, vocab_size)
-    terms = doc_terms(base, piv)
+    terms = write_table(doc_terms(posts, vocab, vocab_size), "terms")
+    base = terms.select("doc_id", "label")
     return Features(
         labels=list(labels),
         train_docs=train,
@@ -203,5 +204,5 @@ def build_features(
         vocab=vocab,
         vocab_size=vocab_size,
         terms=terms,
-        sizes=class_sizes(spark, base, labels),
+        sizes=write_table(class_sizes(spark, base, labels), "sizes"),
     )

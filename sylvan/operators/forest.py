@@ -2,15 +2,18 @@
 
 State per level (all DataFrames, nothing per row on the driver):
 
-* ``terms``  (doc_id, terms)           vocabulary terms per active training row;
-* ``assign`` (doc_id, tree, node, y)   where each row sits in each tree, active nodes only;
+* ``terms``  (doc_id, label, terms)    vocabulary terms per active training row;
+* ``assign`` (doc_id, tree, node, y)   where each row sits in each tree, active nodes below the
+  root only: at the root every tree holds every row, so nothing is kept per tree there;
 * ``frontier`` (tree, node, depth, n, k, path_terms)   one row per open node.
 
 Per level: close nodes by depth / entropy (T4, T4b), one statistics aggregation for all
 trees and nodes, score by rule, best split per node, then route rows to ``node+'L'``
 (term present) or ``node+'R'`` (absent). ``assign`` and ``terms`` are written as tables
-bucketed by ``doc_id`` (same bucket count), so the per-level join is exchange-free, and
-``terms`` is compacted to the active rows as the frontier shrinks. Node-level tables
+bucketed by ``doc_id`` (same bucket count), so the per-level join needs neither exchange nor
+sort, and ``terms`` is compacted to the active rows as the frontier shrinks. The tables of a
+level are deleted when the next one is written, and all of them when the growth ends or
+fails. Node-level tables
 are broadcast only when count x row width fits a byte budget (else a shuffle join,
 with AQE's skew split for hot nodes).
 
@@ -22,7 +25,7 @@ from __future__ import annotations
 
 import logging
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,8 +33,8 @@ from pyspark.sql import functions as F
 from sylvan.functions import entropy as E
 from sylvan.functions.text import STOP_ENTROPY
 from sylvan.operators.features import maybe_broadcast, trees_column
-from sylvan.operators.splits import best_splits, level_stats, scored_candidates
-from sylvan.session import drop_tables, shuffle_partitions, write_bucketed, write_table
+from sylvan.operators.splits import best_splits, level_stats, root_stats, scored_candidates, with_absent_terms
+from sylvan.session import Scratch, drop_scratch, shuffle_partitions, write_bucketed, write_table
 
 log = logging.getLogger("sylvan.forest")
 
@@ -39,8 +42,8 @@ NODE_COLUMNS = ["tree", "node", "depth", "term", "score", "n", "k", "is_leaf", "
 # The term sets are rewritten for the active rows only once those are fewer than this
 # share of the rows they hold, so the per-level scan shrinks with the frontier.
 COMPACT_SHARE = 0.5
-# Bucket count of the per-row tables: about this many (row, tree) pairs per bucket, at
-# least the cluster's parallelism, at most the shuffle-partition count.
+# Bucket count of the per-row tables: about this many (row, tree) pairs per bucket (so that a
+# bucket's assignments fit a hash table), at least the cluster's parallelism.
 PAIRS_PER_BUCKET = 1_000_000
 # Node-level tables get one partition per this many rows (they are unions of small parts;
 # without a repartition their partition count would double every level).
@@ -54,21 +57,13 @@ def node_row_bytes(depth: int) -> int:
 
 def bucket_count(spark: SparkSession, pairs: int) -> int:
     parallel = spark.sparkContext.defaultParallelism
-    return max(1, parallel, min(shuffle_partitions(spark), -(-pairs // PAIRS_PER_BUCKET)))
+    return max(1, parallel, -(-pairs // PAIRS_PER_BUCKET))
 
 
 def node_partitions(spark: SparkSession, rows: int) -> int:
     return max(1, min(shuffle_partitions(spark), -(-rows // NODE_ROWS_PER_PARTITION)))
 
 
-def initial_assign(base: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """Every training row at the root of every tree; ``y`` = row is of the tree's class."""
-    fan = base.select("doc_id", "label", trees_column(labels).alias("tree"))
-    return fan.select(
-        "doc_id", "tree", F.lit("").alias("node"), (F.col("label") == F.col("tree")).cast("int").alias("y")
-    )
-
-
 def _leaf_rows(df: DataFrame) -> DataFrame:
     """Leaf node rows (with the split-only columns empty) for closed frontier nodes."""
     return df.select(
@@ -89,8 +84,7 @@ def _leaf_rows(df: DataFrame) -> DataFrame:
 
 def decide_level(
     frontier: DataFrame,
-    assign: DataFrame,
-    terms: DataFrame,
+    stats_of: Callable[[DataFrame], DataFrame],
     frontier_rows: int,
     rule: str,
     vocab_size: int,
@@ -98,7 +92,11 @@ def decide_level(
     stop_entropy: float,
     level: int = 0,
 ) -> DataFrame:
-    """Node rows (decision or leaf) for every frontier node of one level (all at depth ``level``)."""
+    """Node rows (decision or leaf) for every frontier node of one level (all at depth ``level``).
+
+    ``stats_of(open_nodes)`` gives the term statistics; they are read once, for the best split
+    and the candidate count alike.
+    """
     # T4 (depth, entropy) and, for mr, T4b (at most one attribute left)
     stop = closes("n", "k", "depth", rule, vocab_size, max_depth, stop_entropy)
     fr = frontier.withColumn("_stop", stop)
@@ -107,14 +105,14 @@ def decide_level(
     width = node_row_bytes(level)
     open_nodes = maybe_broadcast(fr.filter(~F.col("_stop")).drop("_stop"), frontier_rows, width)
 
-    stats = level_stats(assign, terms, open_nodes)
-    cands = scored_candidates(stats, open_nodes, rule, vocab_size)
+    cands = scored_candidates(stats_of(open_nodes), open_nodes, rule)
     best = maybe_broadcast(best_splits(cands), frontier_rows, width)
 
     j = open_nodes.join(best, ["tree", "node"], "left")
     if rule == "c45":
         splits_ok = F.col("term").isNotNull()
     else:
+        j = with_absent_terms(j, vocab_size)
         # the winner must have both sides; a pseudo or one-sided winner ends the branch
         splits_ok = (
             F.col("term").isNotNull() & (F.col("pseudo") == 0) & E.mr_has_both_sides("n", "k", "n1", "k1")
@@ -173,14 +171,26 @@ def route(assign: DataFrame, terms: DataFrame, splits: DataFrame) -> DataFrame:
     rows bound for a child that closes at once (``open_l`` / ``open_r`` false): its
     size is already known from the split, so its rows are never needed again.
     """
-    j = assign.join(
-        splits.select("tree", "node", F.col("term").alias("_t"), F.col("open_l").alias("_ol"), F.col("open_r").alias("_or")),
-        ["tree", "node"],
-    )
-    j = j.join(terms.select("doc_id", "terms"), "doc_id")
+    j = assign.join(_targets(splits), ["tree", "node"])
+    return _sides(terms.select("doc_id", "terms").join(j.hint("shuffle_hash"), "doc_id"))
+
+
+def route_root(terms: DataFrame, splits: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """``route`` for the root level: every row is at the root of every tree, ``terms`` has its label."""
+    fan = terms.select("doc_id", "label", "terms", trees_column(labels).alias("tree"))
+    y = (F.col("label") == F.col("tree")).cast("int").alias("y")
+    rows = fan.select("doc_id", "terms", "tree", F.lit("").alias("node"), y)
+    return _sides(rows.join(_targets(splits), ["tree", "node"]))
+
+
+def _targets(splits: DataFrame) -> DataFrame:
+    return splits.select("tree", "node", F.col("term").alias("_t"), F.col("open_l").alias("_ol"), F.col("open_r").alias("_or"))
+
+
+def _sides(rows: DataFrame) -> DataFrame:
     present = F.array_contains("terms", F.col("_t"))
     side = F.when(present, F.lit("L")).otherwise(F.lit("R"))
-    return j.filter(F.when(present, F.col("_ol")).otherwise(F.col("_or"))).select(
+    return rows.filter(F.when(present, F.col("_ol")).otherwise(F.col("_or"))).select(
         "doc_id", "tree", F.concat("node", side).alias("node"), "y"
     )
 
@@ -198,27 +208,38 @@ def grow_forest(
 ) -> DataFrame:
     """Grow one tree per label, all trees in the same jobs.
 
-    ``terms``: (doc_id, terms) of the training rows; ``base``: (doc_id, label).
+    ``terms``: (doc_id, [label,] terms) of the training rows; ``base``: (doc_id, label).
     Returns the node table ``tree, node, depth, term, score, n, k, is_leaf, label``.
     Driver work per level: two counts of node-level tables.
     """
     if rule not in ("c45", "mr"):
         raise ValueError(f"unknown rule {rule!r}")
+    sizes = base.groupBy("label").agg(F.count(F.lit(1)).alias("c"))
     n_all = base.count()
     if n_all == 0:
         raise ValueError("empty training set")
     parts = buckets or bucket_count(spark, n_all * len(labels))
+    rows: list[Scratch] = []  # the per-row tables in use
+    old: list[Scratch] = []  # those of the level before
+    nodes_at: list[Scratch] = []
+    try:
+        labelled = terms if "label" in terms.columns else terms.join(base.select("doc_id", "label"), "doc_id")
+        labelled = labelled.select("doc_id", "label", "terms")
+        return _grow(spark, labelled, sizes, n_all, labels, vocab_size, rule, max_depth, stop_entropy, parts, rows, old, nodes_at)
+    finally:
+        for items in (rows, old, nodes_at):
+            drop_scratch(spark, items)
+
+
+def _grow(spark, terms, sizes, n_all, labels, vocab_size, rule, max_depth, stop_entropy, parts, rows, old, nodes_at) -> DataFrame:
     # both per-row tables are bucketed by doc_id with the same bucket count: the
     # per-level joins between them read co-located buckets, no exchange
-    tables: list[str] = []
-    terms = write_bucketed(terms.select("doc_id", "terms"), "terms", buckets=parts, registry=tables)
-    assign = write_bucketed(initial_assign(base, labels), "assign0", buckets=parts, registry=tables)
-    root = assign.groupBy("tree", "node").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("y").cast("bigint").alias("k")
-    )
+    terms, made = write_bucketed(terms, "terms", buckets=parts)
+    rows.append(made)
+    assign = None
     # trees whose class has no row still get a root (k = 0)
     lab = spark.createDataFrame([(x,) for x in labels], "tree string")
-    frontier = lab.join(root.select("tree", "k"), "tree", "left").select(
+    frontier = lab.join(sizes.select(F.col("label").alias("tree"), F.col("c").alias("k")), "tree", "left").select(
         "tree",
         F.lit("").alias("node"),
         F.lit(0).alias("depth"),
@@ -238,21 +259,14 @@ def grow_forest(
         if closes_only:
             level = _leaf_rows(frontier)
         else:
-            level = decide_level(
-                frontier, assign, terms, frontier_rows, rule, vocab_size, max_depth, stop_entropy, level=depth
-            )
-        nodes = write_table(level.coalesce(node_partitions(spark, frontier_rows)), f"nodes{depth}")
+            at = assign, terms
+            stats_of = lambda nodes: root_stats(at[1], labels) if at[0] is None else level_stats(*at, nodes)  # noqa: B023, E731
+            level = decide_level(frontier, stats_of, frontier_rows, rule, vocab_size, max_depth, stop_entropy, level=depth)
+        nodes = write_table(level.coalesce(node_partitions(spark, frontier_rows)), f"nodes{depth}", nodes_at)
         levels.append(nodes)
         # which children stay open is known now, from the split counts
         child = depth + 1
-        splits = (
-            nodes.filter(~F.col("is_leaf"))
-            .select("tree", "node", "term", "n", "k", "n1", "k1",
-                    (F.col("n") - F.col("n1")).alias("n0"), (F.col("k") - F.col("k1")).alias("k0"))
-            .select("*",
-                    (~closes("n1", "k1", F.lit(child), rule, vocab_size, max_depth, stop_entropy)).alias("open_l"),
-                    (~closes("n0", "k0", F.lit(child), rule, vocab_size, max_depth, stop_entropy)).alias("open_r"))
-        )
+        splits = open_splits(nodes, child, rule, vocab_size, max_depth, stop_entropy)
         # one small job: how many nodes split, and how many (row, tree) pairs go on
         got = splits.agg(
             F.count(F.lit(1)).alias("c"),
@@ -269,24 +283,38 @@ def grow_forest(
         if closes_only:
             continue  # every child closes at once: no rows to route
         splits = maybe_broadcast(splits, n_split, node_row_bytes(depth))
-        assign = write_bucketed(
-            route(assign, terms, splits), f"assign{depth}", buckets=parts, prepartitioned=True, registry=tables
-        )
+        moved = route_root(terms, splits, labels) if assign is None else route(assign, terms, splits)
+        if assign is not None:
+            old.append(rows.pop())
+        fresh, made = write_bucketed(moved, f"assign{depth}", buckets=parts, prepartitioned=assign is not None)
+        rows.append(made)
+        assign = fresh
+        drop_scratch(spark, old)
         if routed < COMPACT_SHARE * terms_rows:
             # distinct active rows <= routed pairs: keep only their term sets. Both sides
             # are bucketed by doc_id, so the semi-join and the distinct need no exchange.
             active = assign.select("doc_id").distinct()
-            terms = write_bucketed(
-                terms.join(active, "doc_id", "left_semi"), f"terms{depth}", buckets=parts,
-                prepartitioned=True, registry=tables,
-            )
+            kept = terms.join(active.hint("shuffle_hash"), "doc_id", "left_semi")
+            terms, made = write_bucketed(kept, f"terms{depth}", buckets=parts, prepartitioned=True)
+            old.append(rows[0])
+            rows[0] = made
             terms_rows = routed
-    # the node tables are plain parquet; the bucketed per-row tables are no longer needed
-    drop_tables(spark, tables)
+            drop_scratch(spark, old)
     out = levels[0].select(*NODE_COLUMNS)
     for lv in levels[1:]:
         out = out.unionByName(lv.select(*NODE_COLUMNS))
-    return out.repartition(node_partitions(spark, total_rows))
+    return write_table(out.repartition(node_partitions(spark, total_rows)), "forest-nodes")
+
+
+def open_splits(nodes: DataFrame, child: int, rule: str, vocab_size: int, max_depth: int, stop_entropy: float) -> DataFrame:
+    """The split nodes of a level with their children's counts and whether each child stays open."""
+    sides = nodes.filter(~F.col("is_leaf")).select(
+        "tree", "node", "term", "n", "k", "n1", "k1",
+        (F.col("n") - F.col("n1")).alias("n0"), (F.col("k") - F.col("k1")).alias("k0"),
+    )
+    stays = [(~closes(n, k, F.lit(child), rule, vocab_size, max_depth, stop_entropy)).alias(o)
+             for n, k, o in (("n1", "k1", "open_l"), ("n0", "k0", "open_r"))]
+    return sides.select("*", *stays)
 
 
 def tree_rules(nodes: DataFrame) -> DataFrame:

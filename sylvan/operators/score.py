@@ -15,52 +15,61 @@ from sylvan.functions.text import OTHER
 from sylvan.operators.features import maybe_broadcast, trees_column
 
 
-def tree_predict(nodes: DataFrame, docs: DataFrame, labels: Sequence[str], terms_col: str = "terms") -> DataFrame:
-    """E1 for all trees: ``(doc_id, tree, pred)``.
+def tree_predict(
+    nodes: DataFrame, docs: DataFrame, labels: Sequence[str], terms_col: str = "terms", keep: Sequence[str] = ()
+) -> DataFrame:
+    """E1 for all trees: ``(doc_id, *keep, tree, pred)``.
 
     ``docs`` has ``doc_id`` and a term array (test rows are not cut to the vocabulary;
-    membership is all the walk asks). A row at a leaf stays there, so after
-    ``max(depth)`` steps every row sits on its leaf.
+    membership is all the walk asks). Step d joins the nodes of depth d only, so the side that
+    is joined stays small near the root whatever the size of the forest. A row that meets a
+    leaf takes its label along and joins no more nodes.
     """
-    stats = nodes.agg(F.max("depth").alias("d"), F.count(F.lit(1)).alias("c")).first()
-    depth, count = int(stats["d"] or 0), int(stats["c"])
-    table = maybe_broadcast(nodes.select("tree", "node", "term", "is_leaf", "label"), count, 96 + depth)
+    nodes = nodes.select("tree", "node", "depth", "term", "is_leaf", F.col("label").alias("_leaf"))
+    counts = {r["depth"]: r["c"] for r in nodes.groupBy("depth").agg(F.count(F.lit(1)).alias("c")).collect()}  # one row per level
     state = docs.select(
         "doc_id",
+        *keep,
         F.coalesce(F.col(terms_col), F.array().cast("array<string>")).alias("_terms"),
         trees_column(labels).alias("tree"),
         F.lit("").alias("node"),
+        F.lit(None).cast("string").alias("pred"),
     )
-    for _ in range(depth):
+    for d in sorted(counts):
+        table = maybe_broadcast(nodes.filter(F.col("depth") == d).drop("depth"), counts[d], 96 + d)
         j = state.join(table, ["tree", "node"], "left")
         side = F.when(F.array_contains("_terms", F.col("term")), F.lit("L")).otherwise(F.lit("R"))
-        nxt = F.when(F.col("is_leaf") | F.col("is_leaf").isNull(), F.col("node")).otherwise(F.concat("node", side))
-        state = j.select("doc_id", "_terms", "tree", nxt.alias("node"))
-    out = state.join(table, ["tree", "node"], "left")
-    return out.select("doc_id", "tree", F.coalesce("label", F.lit(OTHER)).alias("pred"))
+        state = j.select(
+            "doc_id",
+            *keep,
+            "_terms",
+            "tree",
+            F.when(F.col("is_leaf") | F.col("is_leaf").isNull(), F.col("node")).otherwise(F.concat("node", side)).alias("node"),
+            F.coalesce("pred", F.when(F.col("is_leaf"), F.col("_leaf"))).alias("pred"),
+        )
+    return state.select("doc_id", *keep, "tree", F.coalesce("pred", F.lit(OTHER)).alias("pred"))
 
 
-def forest_vote(preds: DataFrame, sizes: DataFrame) -> DataFrame:
-    """One label per row.
+def forest_vote(preds: DataFrame, sizes: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One label per row (``doc_id, *keep, pred``).
 
     No tree claims its class -> the largest class overall; one -> it; several ->
     the largest class among the claimants. Size ties -> the smaller label.
-    ``sizes`` (label, n_train) has one row per tree (bounded), so it is broadcast.
+    ``sizes`` (label, n_train) has one row per tree.
     """
-    s = F.broadcast(sizes.select(F.col("label").alias("tree"), "n_train"))
+    s = maybe_broadcast(sizes.select(F.col("label").alias("tree"), "n_train"), sizes.count())
     j = preds.join(s, "tree")
     key = F.struct((-F.col("n_train")).alias("neg"), F.col("tree").alias("label"))
-    agg = j.groupBy("doc_id").agg(
+    agg = j.groupBy("doc_id", *keep).agg(
         F.min(F.when(F.col("pred") != F.lit(OTHER), key)).alias("v"), F.min(key).alias("g")
     )
-    return agg.select("doc_id", F.coalesce(F.col("v.label"), F.col("g.label")).alias("pred"))
+    return agg.select("doc_id", *keep, F.coalesce(F.col("v.label"), F.col("g.label")).alias("pred"))
 
 
-def accuracy(truth: DataFrame, voted: DataFrame) -> DataFrame:
-    """``n_test, n_correct, accuracy`` as a one-row DataFrame (no driver map)."""
-    j = truth.select("doc_id", "label").join(voted, "doc_id", "left")
+def accuracy(voted: DataFrame) -> DataFrame:
+    """``n_test, n_correct, accuracy`` of ``(label, pred)`` rows as a one-row DataFrame."""
     hit = F.when(F.col("pred") == F.col("label"), 1).otherwise(0)
-    return j.agg(
+    return voted.agg(
         F.count(F.lit(1)).alias("n_test"),
         F.sum(hit).cast("bigint").alias("n_correct"),
         F.round(F.avg(hit.cast("double")), 6).alias("accuracy"),

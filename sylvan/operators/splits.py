@@ -6,36 +6,56 @@ are ``(tree, node, term)`` and partial aggregation combines hot terms map-side.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.functions import entropy as E
+from sylvan.operators.features import trees_column
 
 NODE_KEYS = ["tree", "node"]
 
 
+def root_stats(terms: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """Statistics of all root nodes: ``(tree, node, term, n1, k1)``.
+
+    At the root every tree holds every row, so rows are counted once by (label, term); the
+    small result is then spread over the trees.
+    """
+    counts = terms.select("label", F.explode("terms").alias("term")).groupBy("label", "term").agg(F.count(F.lit(1)).alias("c"))
+    return spread_over_trees(counts, labels)
+
+
+def spread_over_trees(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """``(label, term, c)`` to ``(tree, node, term, n1, k1)``: n1 over all labels, k1 of the tree's."""
+    per_term = counts.groupBy("term").agg(
+        F.sum("c").alias("n1"), F.map_from_entries(F.collect_list(F.struct("label", "c"))).alias("by_label")
+    )
+    fan = per_term.select("term", "n1", "by_label", trees_column(labels).alias("tree"))
+    k1 = F.coalesce(F.try_element_at("by_label", F.col("tree")), F.lit(0)).cast("bigint")
+    return fan.select("tree", F.lit("").alias("node"), "term", "n1", k1.alias("k1"))
+
+
 def level_stats(assign: DataFrame, terms: DataFrame, open_nodes: DataFrame) -> DataFrame:
-    """A6 + A7 (+ J1): ``(tree, node, term, n1, k1)`` over the open nodes.
+    """A6 + A7 (+ J1) below the root: ``(tree, node, term, n1, k1)`` over the open nodes.
 
-    ``assign`` (doc_id, tree, node, y) and ``terms`` (doc_id, terms) are both
-    hash-partitioned by ``doc_id``, so their join needs no exchange; ``open_nodes``
-    is a node-level table (broadcast by the caller after a size check).
+    ``assign`` (doc_id, tree, node, y) and ``terms`` (doc_id, terms) are bucketed by
+    ``doc_id`` alike, so their join needs no exchange; a bucket's assignments (about
+    ``PAIRS_PER_BUCKET``) are its hash table, so it needs no sort either. ``open_nodes`` is a
+    node-level table (broadcast by the caller after a size check).
     """
     active = assign.join(open_nodes.select(*NODE_KEYS), NODE_KEYS, "left_semi")
-    rows = active.join(terms.select("doc_id", "terms"), "doc_id").select(
-        "tree", "node", "y", F.explode("terms").alias("term")
-    )
+    rows = terms.select("doc_id", "terms").join(active.hint("shuffle_hash"), "doc_id")
+    rows = rows.select("tree", "node", "y", F.explode("terms").alias("term"))
     return rows.groupBy("tree", "node", "term").agg(
         F.count(F.lit(1)).alias("n1"), F.sum("y").cast("bigint").alias("k1")
     )
 
 
-def scored_candidates(stats: DataFrame, open_nodes: DataFrame, rule: str, vocab_size: int) -> DataFrame:
-    """Candidate splits with ``score`` under ``rule`` ('c45' or 'mr').
-
-    Columns: tree, node, term, n1, k1, n, k, score, pseudo (1 = the absent-term
-    pseudo-candidate of the mr rule, which has no posting row).
-    """
+def scored_candidates(stats: DataFrame, open_nodes: DataFrame, rule: str) -> DataFrame:
+    """Every term with a statistics row, with its ``score`` under ``rule`` ('c45' or 'mr'; NULL:
+    no candidate). Columns: tree, node, term, n1, k1, n, k, score, pseudo (0)."""
     j = stats.join(open_nodes.select("tree", "node", "n", "k", "path_terms"), NODE_KEYS)
     if rule == "c45":
         out = j.withColumn("score", E.score_c45("n", "k", "n1", "k1")).withColumn("pseudo", F.lit(0))
@@ -44,56 +64,50 @@ def scored_candidates(stats: DataFrame, open_nodes: DataFrame, rule: str, vocab_
     if rule != "mr":
         raise ValueError(f"unknown rule {rule!r}")
     # T5: a term used on the path was dropped from the subtree's columns
-    j = j.filter(~F.array_contains("path_terms", F.col("term")))
-    real = j.withColumn("score", E.score_mr("n", "k", "n1", "k1")).withColumn("pseudo", F.lit(0))
-    # vocabulary terms absent from every row of the node have no posting row; they all
-    # score like (n1=0, k1=0). One pseudo-candidate stands for them when any exists.
-    present = j.groupBy(*NODE_KEYS).agg(F.count(F.lit(1)).alias("n_present"))
-    absent = (
-        open_nodes.join(present, NODE_KEYS, "left")
-        .filter(F.lit(vocab_size) - F.size("path_terms") - F.coalesce("n_present", F.lit(0)) > 0)
-        .select(
-            "tree",
-            "node",
-            F.lit(None).cast("string").alias("term"),
-            F.lit(0).cast("bigint").alias("n1"),
-            F.lit(0).cast("bigint").alias("k1"),
-            "n",
-            "k",
-        )
-        .withColumn("score", E.score_mr("n", "k", "n1", "k1"))
-        .withColumn("pseudo", F.lit(1))
-    )
-    cols = ["tree", "node", "term", "n1", "k1", "n", "k", "score", "pseudo"]
-    return real.select(*cols).unionByName(absent.select(*cols)).filter(F.col("score").isNotNull())
+    j = j.filter(~F.array_contains("path_terms", F.col("term"))).drop("path_terms")
+    return j.withColumn("score", E.score_mr("n", "k", "n1", "k1")).withColumn("pseudo", F.lit(0))
+
+
+def _rank(pseudo: Column, term: Column, n1: Column, k1: Column, score: Column) -> Column:
+    """Order: higher score (rounded to ``RANK_DIGITS``) first, then real terms before the
+    pseudo-candidate, then the smaller term."""
+    return F.struct(
+        (-E.rank_score(score)).alias("neg"), pseudo.alias("pseudo"), term.alias("term"),
+        n1.alias("n1"), k1.alias("k1"), score.alias("score"),
+    )
+
+
+_SPLIT = ["term", "n1", "k1", "score", "pseudo"]
 
 
 def best_splits(cands: DataFrame) -> DataFrame:
-    """The best candidate per node.
+    """The best candidate per node and ``n_present``, its number of statistics rows.
 
-    Order: higher score (rounded to ``RANK_DIGITS``) first, then real terms before
-    the pseudo-candidate, then the smaller term. Expressed as ``min(struct)`` so it
-    is a plain aggregate with a partial (map-side) phase — a hot node never sends
-    all its candidates to one task.
+    ``min(struct)`` and a count in one aggregate with a partial (map-side) phase: a hot node
+    never sends all its candidates to one task.
     """
-    key = F.struct(
-        (-E.rank_score(F.col("score"))).alias("neg"),
-        F.col("pseudo").alias("pseudo"),
-        F.col("term").alias("term"),
-        F.col("n1").alias("n1"),
-        F.col("k1").alias("k1"),
-        F.col("score").alias("score"),
-    )
-    best = cands.groupBy(*NODE_KEYS).agg(F.min(key).alias("b"))
-    return best.select(
-        "tree",
-        "node",
-        F.col("b.term").alias("term"),
-        F.col("b.n1").alias("n1"),
-        F.col("b.k1").alias("k1"),
-        F.col("b.score").alias("score"),
-        F.col("b.pseudo").alias("pseudo"),
+    key = _rank(*[F.col(c) for c in ("pseudo", "term", "n1", "k1", "score")])
+    best = cands.groupBy(*NODE_KEYS).agg(
+        F.min(F.when(F.col("score").isNotNull(), key)).alias("b"), F.count(F.lit(1)).alias("n_present")
     )
+    return best.select("tree", "node", *[F.col(f"b.{c}").alias(c) for c in _SPLIT], "n_present")
+
+
+def with_absent_terms(nodes: DataFrame, vocab_size: int) -> DataFrame:
+    """The mr rule's absent terms, on node rows left-joined with their best split.
+
+    Vocabulary terms in no row of the node have no statistics row; they all score like
+    (n1 = 0, k1 = 0), so one pseudo-candidate stands for them where any exists.
+    """
+    zero = F.lit(0).cast("bigint")
+    columns = nodes.withColumn("_zero", zero)
+    score = E.score_mr("n", "k", "_zero", "_zero")
+    absent = F.lit(vocab_size) - F.size("path_terms") - F.coalesce("n_present", F.lit(0)) > 0
+    pseudo = _rank(F.lit(1), F.lit(None).cast("string"), zero, zero, score)
+    real = _rank(*[F.col(c) for c in ("pseudo", "term", "n1", "k1", "score")])
+    best = F.least(F.when(F.col("score").isNotNull(), real), F.when(absent & score.isNotNull(), pseudo))
+    kept = [c for c in nodes.columns if c not in _SPLIT]
+    return columns.select(*kept, best.alias("_b")).select(*kept, *[F.col(f"_b.{c}").alias(c) for c in _SPLIT])
 
 
 def top_splits(cands: DataFrame, k: int = 5) -> DataFrame:
@@ -107,4 +121,5 @@ def top_splits(cands: DataFrame, k: int = 5) -> DataFrame:
     w = Window.partitionBy(*NODE_KEYS).orderBy(
         (-E.rank_score(F.col("score"))).asc(), F.col("pseudo").asc(), F.col("term").asc_nulls_last()
     )
+    cands = cands.filter(F.col("score").isNotNull())
     return cands.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -1,22 +1,26 @@
 """The whole classification job with its load-or-compute switches (IO7).
 
-``run_job`` prepares or reloads the features, grows or reloads the forest, then
-scores the test rows. Prepared tables and the forest live under one store folder, as
-parquet: ``features/{terms,test,vocab,sizes}`` and ``forest/rule=…/tree=…``.
-Defaults are the classic job's: minimum word occurrences 200, the map-reduce rule,
-depth 20, and stemming with stop-word removal.
+``run_table_job`` takes any table with ``doc_id, text, label``; ``run_file_job`` a CSV, JSON or
+Parquet path with column names; ``run_job`` one of the driver profiles. The job prepares or
+reloads the features, grows or reloads the forest, then scores the test rows. Prepared tables
+(in the chosen format) and the forest (parquet) live under one store folder:
+``features/{train,test,postings,vocab,terms,sizes}`` and ``forest/rule=…/tree=…``. What follows
+reads the stored tables, in a computing run as in a loading one.
+Defaults are the classic job's: minimum word occurrences 200, the map-reduce rule, depth 20,
+and stemming with stop-word removal.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sylvan.operators import features as X
 from sylvan.plans import pipeline as P
-from sylvan.sources.files import load_forest, save_forest
+from sylvan.sources.files import load_forest, read_labelled, save_forest
+from sylvan.sources.tables import PROFILES, labelled_text
 
 
 @dataclass(frozen=True)
@@ -26,56 +30,103 @@ class JobParams:
     max_depth: int = 20
     stem: bool = True
     stop_words: bool = True
+    stop_before_stem: bool = False
+    store_format: str = "parquet"  # or "json"
 
 
-def save_features(feats: X.Features, store: str) -> None:
-    base = f"{store.rstrip('/')}/features"
-    feats.terms.write.mode("overwrite").parquet(f"{base}/terms")
-    feats.test_docs.write.mode("overwrite").parquet(f"{base}/test")
-    feats.vocab.write.mode("overwrite").parquet(f"{base}/vocab")
-    feats.sizes.write.mode("overwrite").parquet(f"{base}/sizes")
+def _tables(feats: X.Features) -> dict[str, DataFrame]:
+    return {
+        "train": feats.train_docs, "test": feats.test_docs, "postings": feats.posts,
+        "vocab": feats.vocab, "terms": feats.terms, "sizes": feats.sizes,
+    }
+
+
+#: Stored columns in DDL; ``{id}`` is the id's type.
+SCHEMAS = {
+    "train": "doc_id {id}, label string, tokens array<string>",
+    "test": "doc_id {id}, label string, tokens array<string>",
+    "postings": "doc_id {id}, label string, term string",
+    "vocab": "term string, df bigint",
+    "terms": "doc_id {id}, label string, terms array<string>",
+    "sizes": "label string, n_train bigint",
+}
+
 
+def save_features(feats: X.Features, store: str, fmt: str = "parquet") -> None:
+    for name, df in _tables(feats).items():
+        df.write.mode("overwrite").format(fmt).save(f"{store.rstrip('/')}/features/{name}")
 
-def load_features(spark: SparkSession, store: str) -> X.Features:
-    """Rebuild the features from the store; the label list and vocabulary size are
-    two small reads (one row per label, one count)."""
+
+def load_features(spark: SparkSession, store: str, fmt: str = "parquet", id_type: str = "bigint") -> X.Features:
+    """The saved features, table by table. The label list (one string per tree) and the
+    vocabulary size are two small reads."""
     base = f"{store.rstrip('/')}/features"
-    terms = spark.read.parquet(f"{base}/terms")
-    sizes = spark.read.parquet(f"{base}/sizes")
-    vocab = spark.read.parquet(f"{base}/vocab")
-    labels = sorted(r.label for r in sizes.select("label").collect())
-    empty = terms.select("doc_id", "label", F.explode("terms").alias("term")).limit(0)
+    t = {n: spark.read.schema(ddl.format(id=id_type)).format(fmt).load(f"{base}/{n}") for n, ddl in SCHEMAS.items()}
     return X.Features(
-        labels=labels,
-        train_docs=terms.select("doc_id", "label", F.col("terms").alias("tokens")),
-        test_docs=spark.read.parquet(f"{base}/test"),
-        posts=empty,
-        base=terms.select("doc_id", "label"),
-        vocab=vocab,
-        vocab_size=vocab.count(),
-        terms=terms,
-        sizes=sizes,
+        labels=sorted(r.label for r in t["sizes"].select("label").collect()),
+        train_docs=t["train"],
+        test_docs=t["test"],
+        posts=t["postings"],
+        base=t["terms"].select("doc_id", "label"),
+        vocab=t["vocab"],
+        vocab_size=t["vocab"].count(),
+        terms=t["terms"],
+        sizes=t["sizes"],
     )
 
 
-def run_job(
-    spark: SparkSession,
-    sf_dir: str,
+def run_table_job(
+    raw: DataFrame,
     store: str,
-    profile: str = P.DEFAULT_PROFILE,
+    labels: Sequence[str] | None = None,
+    drop_accented: bool = True,
     params: JobParams = JobParams(),
     compute_features: bool = True,
     compute_forest: bool = True,
 ) -> DataFrame:
     """Accuracy of the job (one row). With ``compute_*`` off, the stored tables are used."""
+    spark = raw.sparkSession
+    how = {"stem": params.stem, "stop_words": params.stop_words, "stop_before_stem": params.stop_before_stem}
     if compute_features:
-        feats = P.prepare(spark, sf_dir, profile, params.min_df, stem=params.stem, stop_words=params.stop_words)
-        save_features(feats, store)
-    else:
-        feats = load_features(spark, store)
+        save_features(P.prepare_table(raw, labels, drop_accented, params.min_df, **how), store, params.store_format)
+    feats = load_features(spark, store, params.store_format, raw.schema["doc_id"].dataType.simpleString())
     forest_path = f"{store.rstrip('/')}/forest"
     if compute_forest:
         nodes = P.train(spark, feats, rule=params.rule, max_depth=params.max_depth)
         save_forest(nodes, params.rule, forest_path)
     nodes = load_forest(spark, forest_path, rule=params.rule).drop("rule")
-    return P.evaluate(spark, feats, nodes, stem=params.stem, stop_words=params.stop_words)[2]
+    return P.evaluate(spark, feats, nodes, **how)[2]
+
+
+def run_file_job(
+    spark: SparkSession,
+    path: str,
+    store: str,
+    fmt: str = "csv",
+    text_col: str = "text",
+    label_col: str = "label",
+    id_col: str | None = None,
+    labels: Sequence[str] | None = None,
+    drop_accented: bool = True,
+    params: JobParams = JobParams(),
+    read_options: dict | None = None,
+    **switches,
+) -> DataFrame:
+    """``run_table_job`` on a file of the user's own."""
+    raw = read_labelled(spark, path, fmt, text_col, label_col, id_col, **(read_options or {}))
+    return run_table_job(raw, store, labels, drop_accented, params, **switches)
+
+
+def run_job(
+    spark: SparkSession,
+    sf_dir: str,
+    store: str,
+    profile: str = P.DEFAULT_PROFILE,
+    params: JobParams = JobParams(),
+    compute_features: bool = True,
+    compute_forest: bool = True,
+) -> DataFrame:
+    """``run_table_job`` on a profile of the driver tables."""
+    p = PROFILES[profile]
+    raw = labelled_text(spark, sf_dir, profile)
+    return run_table_job(raw, store, p.labels, p.drop_accented, params, compute_features, compute_forest)

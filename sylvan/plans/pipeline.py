@@ -11,9 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sylvan.functions.text import remove_stop_words
 from sylvan.operators import features as X
-from sylvan.operators.clean import clean, with_tokens
+from sylvan.operators.clean import clean_tokens
 from sylvan.operators.forest import grow_forest
 from sylvan.operators.score import accuracy, forest_vote, tree_predict
 from sylvan.sources.tables import PROFILES, labelled_text
@@ -23,11 +22,35 @@ DEFAULT_PROFILE = "lang"
 DEFAULT_MIN_DF = 50
 
 
-def cleaned_tokens(spark: SparkSession, sf_dir: str, profile: str = DEFAULT_PROFILE, stop_words: bool = False) -> DataFrame:
-    """``doc_id, label, tokens`` of a profile after F1, F2/F3, S2 and T1b (stop words optional)."""
+def cleaned_tokens(
+    spark: SparkSession,
+    sf_dir: str,
+    profile: str = DEFAULT_PROFILE,
+    stop_words: bool = False,
+    stem: bool = False,
+    stop_before_stem: bool = False,
+) -> DataFrame:
+    """``doc_id, label, tokens`` of a profile after F1, F2/F3, S2 and T1b (T1c, T1e on request)."""
     p = PROFILES[profile]
     raw = labelled_text(spark, sf_dir, profile)
-    return with_tokens(clean(raw, p.labels, p.drop_accented), stop_words=stop_words).select("doc_id", "label", "tokens")
+    return clean_tokens(raw, p.labels, p.drop_accented, stop_words, stem, stop_before_stem)
+
+
+def prepare_table(
+    raw: DataFrame,
+    labels: Sequence[str] | None = None,
+    drop_accented: bool = True,
+    min_df: int = DEFAULT_MIN_DF,
+    stem: bool = False,
+    stop_words: bool = False,
+    stop_before_stem: bool = False,
+) -> X.Features:
+    """Features of any table with ``doc_id, text, label`` (labels None: all that occur)."""
+    toks = clean_tokens(raw, labels, drop_accented)
+    names = X.tree_labels(raw.sparkSession, toks, labels)
+    return X.build_features(
+        raw.sparkSession, toks, names, min_df, stem=stem, stop_words=stop_words, stop_before_stem=stop_before_stem
+    )
 
 
 def prepare(
@@ -37,11 +60,11 @@ def prepare(
     min_df: int = DEFAULT_MIN_DF,
     stem: bool = False,
     stop_words: bool = False,
+    stop_before_stem: bool = False,
 ) -> X.Features:
     p = PROFILES[profile]
-    toks = cleaned_tokens(spark, sf_dir, profile, stop_words=stop_words and not stem)
-    labels = X.tree_labels(spark, toks, p.labels)
-    return X.build_features(spark, toks, labels, min_df, stem=stem, stop_words=stop_words)
+    raw = labelled_text(spark, sf_dir, profile)
+    return prepare_table(raw, p.labels, p.drop_accented, min_df, stem, stop_words, stop_before_stem)
 
 
 def train(
@@ -59,24 +82,25 @@ def train(
     )
 
 
-def test_terms(feats: X.Features, stem: bool = False, stop_words: bool = False) -> DataFrame:
-    """``doc_id, label, terms`` of the test rows: their distinct words (stemmed like training)."""
-    if not stem:
+def test_terms(feats: X.Features, stem: bool = False, stop_words: bool = False, stop_before_stem: bool = False) -> DataFrame:
+    """``doc_id, label, terms`` of the test rows: their distinct words, treated like training."""
+    posts = X.postings(feats.test_docs, stem=stem, stop_words=stop_words, stop_before_stem=stop_before_stem)
+    if not (stem or stop_words):
         return feats.test_docs.select("doc_id", "label", F.array_distinct("tokens").alias("terms"))
-    posts = X.postings(feats.test_docs, stem=True, stop_words=stop_words)
     sets = posts.groupBy("doc_id").agg(F.collect_set("term").alias("terms"))
     return feats.test_docs.select("doc_id", "label").join(sets, "doc_id", "left")
 
 
 def evaluate(
-    spark: SparkSession, feats: X.Features, nodes: DataFrame, stem: bool = False, stop_words: bool = False
+    spark: SparkSession,
+    feats: X.Features,
+    nodes: DataFrame,
+    stem: bool = False,
+    stop_words: bool = False,
+    stop_before_stem: bool = False,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(per-tree predictions, voted predictions, accuracy) on the test rows."""
-    docs = test_terms(feats, stem=stem, stop_words=stop_words)
-    preds = tree_predict(nodes, docs, feats.labels)
-    voted = forest_vote(preds, feats.sizes)
-    return preds, voted, accuracy(docs, voted)
-
-
-def stop_word_tokens(df: DataFrame) -> DataFrame:
-    return df.withColumn("tokens", remove_stop_words(F.col("tokens")))
+    docs = test_terms(feats, stem, stop_words, stop_before_stem)
+    preds = tree_predict(nodes, docs, feats.labels, keep=["label"])
+    voted = forest_vote(preds, feats.sizes, keep=["label"])
+    return preds.drop("label"), voted.drop("label"), accuracy(voted)

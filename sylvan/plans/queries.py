@@ -15,6 +15,7 @@ from sylvan.functions import text as T
 from sylvan.operators import clean as C
 from sylvan.operators import features as X
 from sylvan.operators import splits as S
+from sylvan.operators.forest import route, route_root
 from sylvan.operators.forest import tree_rules as render_rules
 from sylvan.plans import pipeline as P
 from sylvan.sources import files as IO
@@ -58,6 +59,26 @@ def clean_no_alpha(spark, sf):
     return _filtered(spark, sf).filter(T.no_letter(F.col("text"))).select("doc_id", "label")
 
 
+def clean_topic_subset(spark, sf):
+    """F1 with a strict subset of the labels: the other rows go."""
+    return C.filter_labels(labelled_text(spark, sf, LANG), ["en", "fr"]).select("doc_id", "label")
+
+
+def _some_without_letters(spark, sf):
+    """The labelled rows, those of label ``es`` with their ASCII letters taken out: rows for F2 to catch."""
+    bare = F.when(F.col("label") == "es", F.regexp_replace("text", "[a-zA-Z]", "")).otherwise(F.col("text"))
+    return _filtered(spark, sf).withColumn("text", bare)
+
+
+def clean_no_alpha_caught(spark, sf):
+    return _some_without_letters(spark, sf).filter(T.no_letter(F.col("text"))).select("doc_id", "label")
+
+
+def clean_rejects_caught(spark, sf):
+    """S1 with both halves at work (a row in both is listed twice, as by the union)."""
+    return C.reject_sets(_some_without_letters(spark, sf), drop_accented=True).select("doc_id", "label")
+
+
 def clean_accented(spark, sf):
     return _filtered(spark, sf).filter(T.has_accent(F.col("text"))).select("doc_id", "label")
 
@@ -91,6 +112,21 @@ def token_stages(spark, sf):
     return t.select("doc_id", "label", F.array_join("tokens", " ").alias("tokens"))
 
 
+def _stemmed_tokens(spark, sf, stop_before_stem):
+    t = P.cleaned_tokens(spark, sf, LANG, stop_words=True, stem=True, stop_before_stem=stop_before_stem)
+    return t.select("doc_id", "label", F.array_join("tokens", " ").alias("tokens"))
+
+
+def token_stages_stemmed(spark, sf):
+    """T1f: stemmed tokens in order, stop words dropped after stemming."""
+    return _stemmed_tokens(spark, sf, stop_before_stem=False)
+
+
+def token_stages_stop_first(spark, sf):
+    """T1f with stop words dropped before stemming."""
+    return _stemmed_tokens(spark, sf, stop_before_stem=True)
+
+
 # ---- split, postings, vocabulary ---------------------------------------------------------
 
 
@@ -99,7 +135,8 @@ def train_test_split(spark, sf):
 
 
 def doc_index(spark, sf):
-    return X.dense_index(_cleaned(spark, sf).select("doc_id"), "doc_id", "idx", start=1)
+    rows = _cleaned(spark, sf).select("doc_id", "label", F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
+    return X.dense_index(rows, "doc_id", "idx", start=1)
 
 
 def label_index(spark, sf):
@@ -116,10 +153,17 @@ def vocabulary(spark, sf):
 
 
 def postings_in_vocab(spark, sf):
-    p = _train_postings(spark, sf)
+    p = write_table(_train_postings(spark, sf), "postings")
     return X.postings_in_vocab(p, X.vocabulary(p, MIN_DF)).select("doc_id", "term")
 
 
+def doc_terms(spark, sf):
+    """The whole sentence x word matrix in sparse form: every row with its vocabulary words."""
+    p = write_table(_train_postings(spark, sf), "postings")
+    t = X.doc_terms(p, X.vocabulary(p, MIN_DF))
+    return t.select("doc_id", "label", F.array_join("terms", " ").alias("terms"))
+
+
 def class_sizes(spark, sf):
     base = X.doc_base(_train_postings(spark, sf))
     return X.class_sizes(spark, base, sorted(PROFILES[LANG].labels))
@@ -131,7 +175,7 @@ def one_vs_rest(spark, sf):
 
 
 def matrix_summary(spark, sf):
-    p = _train_postings(spark, sf)
+    p = write_table(_train_postings(spark, sf), "postings")
     v = X.vocabulary(p, MIN_DF)
     base = X.doc_base(p).agg(F.count(F.lit(1)).alias("n_docs"))
     terms = v.agg(F.count(F.lit(1)).alias("n_terms"))
@@ -143,11 +187,11 @@ def matrix_summary(spark, sf):
 
 
 def term_pivot(spark, sf):
-    return X.term_pivot(_train_postings(spark, sf), PIVOT_WORDS)
+    return X.term_pivot(write_table(_train_postings(spark, sf), "postings"), PIVOT_WORDS)
 
 
 def term_unpivot(spark, sf):
-    wide = X.term_pivot(_train_postings(spark, sf), PIVOT_WORDS)
+    wide = X.term_pivot(write_table(_train_postings(spark, sf), "postings"), PIVOT_WORDS)
     return X.term_unpivot(wide, PIVOT_WORDS).select("doc_id", "label", "term", _big("value"))
 
 
@@ -169,13 +213,9 @@ def _root(spark, sf):
     n_all = base.agg(F.count(F.lit(1))).scalar()
     root = sizes.select(F.col("label").alias("tree"), n_all.cast("bigint").alias("n"), F.col("n_train").alias("k"))
     piv = X.postings_in_vocab(p, v)
-    fan = piv.select("term", "label", X.trees_column(labels).alias("tree"))
-    stats = fan.groupBy("tree", "term").agg(
-        F.count(F.lit(1)).cast("bigint").alias("n1"),
-        F.sum(F.when(F.col("label") == F.col("tree"), 1).otherwise(0)).cast("bigint").alias("k1"),
-    )
-    # one row per tree (bounded by the label count)
-    return root, stats.join(F.broadcast(root), "tree")
+    counts = piv.groupBy("label", "term").agg(F.count(F.lit(1)).alias("c"))
+    stats = S.spread_over_trees(counts, labels).drop("node")
+    return root, stats.join(X.maybe_broadcast(root, len(labels)), "tree")
 
 
 def entropy(spark, sf):
@@ -205,10 +245,9 @@ def gain_ratio(spark, sf):
 
 def _root_cands(spark, sf):
     root, st = _root(spark, sf)
-    nodes = F.broadcast(
-        root.select("tree", F.lit("").alias("node"), "n", "k", F.array().cast("array<string>").alias("path_terms"))
-    )
-    return S.scored_candidates(st.select("tree", F.lit("").alias("node"), "term", "n1", "k1"), nodes, "c45", 0)
+    nodes = root.select("tree", F.lit("").alias("node"), "n", "k", F.array().cast("array<string>").alias("path_terms"))
+    nodes = X.maybe_broadcast(nodes, len(PROFILES[LANG].labels))
+    return S.scored_candidates(st.select("tree", F.lit("").alias("node"), "term", "n1", "k1"), nodes, "c45")
 
 
 def best_split(spark, sf):
@@ -269,10 +308,18 @@ def tree_rules(spark, sf):
 def route_level(spark, sf):
     """Where every training row sits in every tree after the root split (level 1)."""
     feats, nodes = _forest(spark, sf, "c45", 1)
-    splits = F.broadcast(nodes.filter(~F.col("is_leaf")).select("tree", "node", "term"))
-    fan = feats.terms.select("doc_id", "terms", X.trees_column(feats.labels).alias("tree"), F.lit("").alias("node"))
-    side = F.when(F.array_contains("terms", F.col("term")), F.lit("L")).otherwise(F.lit("R"))
-    return fan.join(splits, ["tree", "node"]).select("doc_id", "tree", F.concat("node", side).alias("node"))
+    splits = nodes.filter(~F.col("is_leaf")).select("tree", "node", "term", F.lit(True).alias("open_l"), F.lit(True).alias("open_r"))
+    splits = X.maybe_broadcast(splits, len(feats.labels))
+    return route_root(feats.terms, splits, feats.labels).select("doc_id", "tree", "node")
+
+
+def route_two_levels(spark, sf):
+    """Where every training row sits after two levels, the second step by ``forest.route``."""
+    feats, nodes = _forest(spark, sf, "c45", 2)
+    opened = nodes.filter(~F.col("is_leaf")).select("tree", "node", "depth", "term", F.lit(True).alias("open_l"), F.lit(True).alias("open_r"))
+    first, second = (X.maybe_broadcast(opened.filter(F.col("depth") == d), 2 * len(feats.labels)) for d in (0, 1))
+    rows = write_table(route_root(feats.terms, first, feats.labels), "routed")
+    return route(rows, feats.terms, second).select("doc_id", "tree", "node")
 
 
 def _scored(spark, sf):
@@ -323,6 +370,43 @@ def job_compute_then_load(spark, sf):
     return run_job(spark, sf, store, LANG, params, compute_features=False, compute_forest=False)
 
 
+def _defaults(spark, sf):
+    """The classic job's own parameters: min_df 200, rule mr, depth 20, stemmed, stop words out."""
+    from sylvan.plans.job import JobParams
+
+    p = JobParams()
+    return _forest(spark, sf, p.rule, p.max_depth, min_df=p.min_df, stem=p.stem, stop_words=p.stop_words)
+
+
+def forest_job_defaults(spark, sf):
+    return _nodes_out(_defaults(spark, sf)[1])
+
+
+def accuracy_job_defaults(spark, sf):
+    feats, nodes = _defaults(spark, sf)
+    return P.evaluate(spark, feats, nodes, stem=True, stop_words=True)[2]
+
+
+def forest_role_c45_depth8(spark, sf):
+    return _nodes_out(_forest(spark, sf, "c45", 8, profile="role", min_df=10)[1])
+
+
+def job_from_csv(spark, sf):
+    """IO1 + IO7: the documents written as a CSV with the user's own column names, and the job run
+    on that file (JSON store, rule mr, depth 3, stemming)."""
+    from sylvan.plans.job import JobParams, run_file_job
+    from sylvan.session import scratch_path
+
+    path, store = scratch_path(spark, "user-csv"), scratch_path(spark, "job")
+    own = labelled_text(spark, sf, LANG).select(F.col("text").alias("Text"), F.col("doc_id").alias("Number"), F.col("label").alias("Topic"))
+    IO.write(own, path, "csv", quoteAll="true")
+    params = JobParams(min_df=MIN_DF, rule="mr", max_depth=3, stem=True, stop_words=True, store_format="json")
+    return run_file_job(
+        spark, path, store, "csv", "Text", "Topic", "Number", sorted(PROFILES[LANG].labels), PROFILES[LANG].drop_accented,
+        params, {"multiLine": "true"},
+    )
+
+
 def forest_store_roundtrip(spark, sf):
     nodes = _forest(spark, sf, "c45", 2)[1]
     back = IO.load_forest(spark, IO.save_forest(nodes, "c45"))
@@ -355,5 +439,7 @@ QUERIES = {
         node_stats, tree_rules, route_level, tree_predict, forest_predict, accuracy,
         forest_store_roundtrip, io_csv_roundtrip, io_json_roundtrip,
         stem_vocabulary, forest_c45_stemmed_depth2, accuracy_mr_stemmed, job_compute_then_load,
+        clean_topic_subset, clean_no_alpha_caught, clean_rejects_caught, token_stages_stemmed, token_stages_stop_first,
+        doc_terms, route_two_levels, forest_job_defaults, accuracy_job_defaults, forest_role_c45_depth8, job_from_csv,
     ]
 }

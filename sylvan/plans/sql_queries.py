@@ -17,7 +17,7 @@ from sylvan.plans.sql_twins import (
     clean_text_sql,
     with_prep,
 )
-from sylvan.functions.text import ACCENT_CLASS
+from sylvan.functions.text import ACCENT_CLASS, SPARK_ENGLISH_STOP_WORDS
 from sylvan.plans.queries import PIVOT_WORDS
 from sylvan.sources.tables import PROFILES
 
@@ -44,6 +44,24 @@ def _with(body: str, **kw) -> str:
     return with_prep(body, **kw)
 
 
+_BARE = (
+    f"SELECT doc_id, label, CASE WHEN label = 'es' THEN regexp_replace(text, '[a-zA-Z]', '', 'g') ELSE text END AS text FROM ({_F1})"
+)
+
+
+def _stem_stages(stop_first: bool) -> str:
+    """Token arrays stemmed word by word, stop words dropped before or after."""
+    before = f"WHERE term NOT IN ({_STOP})" if stop_first else ""
+    after = "" if stop_first else f" FILTER (WHERE s.stem NOT IN ({_STOP}))"
+    return _with(
+        ",\ntw AS (SELECT * FROM (SELECT doc_id, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS pos FROM tok) "
+        f"{before}),\ndw AS (SELECT DISTINCT term FROM tw),\n{stem_ctes('dw', 'ts')},\n"
+        f"st AS (SELECT w.doc_id, string_agg(s.stem, ' ' ORDER BY w.pos){after} AS tokens FROM tw w JOIN ts s ON s.term = w.term "
+        "GROUP BY w.doc_id)\nSELECT t.doc_id, t.label, coalesce(st.tokens, '') AS tokens FROM tok t LEFT JOIN st ON st.doc_id = t.doc_id"
+    )
+
+
+_STOP = ", ".join(q(x) for x in SPARK_ENGLISH_STOP_WORDS)
 _PIVOT_COLS = ", ".join(
     f"CAST(count(CASE WHEN p.term = {q(w)} THEN 1 END) AS BIGINT) AS \"{w}\"" for w in PIVOT_WORDS
 )
@@ -67,6 +85,14 @@ SQL = {
         f"SELECT doc_id, label FROM ({_F1}) WHERE NOT regexp_matches(text, '[a-zA-Z]') "
         f"UNION ALL SELECT doc_id, label FROM ({_F1}) WHERE regexp_matches(text, '{ACCENT_CLASS}')"
     ),
+    "clean_topic_subset": f"SELECT doc_id, label FROM ({RAW['lang']}) WHERE label IN ('en', 'fr')",
+    "clean_no_alpha_caught": f"SELECT doc_id, label FROM ({_BARE}) WHERE NOT regexp_matches(text, '[a-zA-Z]')",
+    "clean_rejects_caught": (
+        f"SELECT doc_id, label FROM ({_BARE}) WHERE NOT regexp_matches(text, '[a-zA-Z]') "
+        f"UNION ALL SELECT doc_id, label FROM ({_BARE}) WHERE regexp_matches(text, '{ACCENT_CLASS}')"
+    ),
+    "token_stages_stemmed": _stem_stages(False),
+    "token_stages_stop_first": _stem_stages(True),
     "clean_except": _with("SELECT doc_id, label FROM clean", drop_accented=True),
     "clean_text": _with(f"SELECT doc_id, label, {clean_text_sql('text')} AS clean_text FROM clean"),
     "tokenize": _with("SELECT doc_id, CAST(len(tokens) AS BIGINT) AS n_tokens, array_to_string(tokens, ' ') AS tokens FROM tok"),
@@ -76,13 +102,20 @@ SQL = {
     ),
     "token_stages": _with("SELECT doc_id, label, array_to_string(tokens, ' ') AS tokens FROM tok", stop_words=True),
     "train_test_split": _with("SELECT doc_id, is_train FROM sp"),
-    "doc_index": _with("SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) AS BIGINT) AS idx FROM tok"),
+    "doc_index": _with(
+        "SELECT doc_id, label, md5(array_to_string(tokens, ' ')) AS tokens_md5, "
+        "CAST(row_number() OVER (ORDER BY doc_id) AS BIGINT) AS idx FROM tok"
+    ),
     "label_index": _with(
         "SELECT label, CAST(row_number() OVER (ORDER BY label) - 1 AS BIGINT) AS label_index FROM (SELECT DISTINCT label FROM tok)"
     ),
     "postings": _with("SELECT doc_id, label, term FROM posts"),
     "vocabulary": _with("SELECT term, CAST(df AS BIGINT) AS df FROM vocab"),
     "postings_in_vocab": _with("SELECT doc_id, term FROM dt"),
+    "doc_terms": _with(
+        "SELECT b.doc_id, b.label, coalesce(string_agg(d.term, ' ' ORDER BY d.term), '') AS terms "
+        "FROM base b LEFT JOIN dt d ON d.doc_id = b.doc_id GROUP BY b.doc_id, b.label"
+    ),
     "class_sizes": _with("SELECT label, n_train FROM sizes"),
     "one_vs_rest": _with(
         "SELECT b.doc_id, t.tree, CASE WHEN b.label = t.tree THEN t.tree ELSE 'Other' END AS ovr_label "
@@ -121,6 +154,11 @@ SQL = {
     "route_level": forest_sql(
         "SELECT doc_id, tree, node FROM a1", "c45", 1
     ),
+    "route_two_levels": forest_sql("SELECT doc_id, tree, node FROM a2", "c45", 2),
+    "forest_job_defaults": forest_sql(NODE_OUT, "mr", 20, stem=True, stop_words=True, min_df=200),
+    "accuracy_job_defaults": scoring_sql(_ACC, "mr", 20, stem=True, stop_words=True, min_df=200),
+    "forest_role_c45_depth8": forest_sql(NODE_OUT, "c45", 8, profile="role", min_df=10),
+    "job_from_csv": scoring_sql(_ACC, "mr", 3, stem=True, stop_words=True),
     "tree_predict": scoring_sql("SELECT doc_id, tree, pred FROM preds", "c45", 3),
     "forest_predict": scoring_sql("SELECT doc_id, pred FROM voted", "c45", 3),
     "accuracy": scoring_sql(_ACC, "c45", 3),

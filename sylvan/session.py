@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -56,29 +56,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/sylvan-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint (survives executor loss).
-
-    The frame is persisted first so the checkpoint write reads the cached blocks
-    instead of recomputing the plan; the cache is dropped once the files exist.
-    ``Dataset.checkpoint`` keeps the physical output partitioning, so a frame
-    hash-partitioned by ``doc_id`` stays co-partitioned after the cut.
-    """
-    checkpoint_dir(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out
-
-
-def write_table(df: DataFrame, name: str) -> DataFrame:
+def write_table(df: DataFrame, name: str, registry: list[Scratch] | None = None) -> DataFrame:
     """Cut lineage by writing parquet to a fresh folder of the shared checkpoint folder.
 
     One job (a reliable ``checkpoint`` needs a second pass or a cache), columnar and
-    compressed; read back with the known schema, so no inference job.
+    compressed; read back with the known schema, so no inference job. With a ``registry``
+    the caller deletes the files by ``drop_scratch``.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    if registry is not None:
+        registry.append(Scratch(path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -92,41 +80,42 @@ def shuffle_partitions(spark: SparkSession) -> int:
 MAX_BROADCAST_BYTES = 64 << 20
 
 
+@dataclass(frozen=True)
+class Scratch:
+    """A written intermediate table: its files, and its catalog entry when it is bucketed."""
+
+    path: str
+    table: str | None = None
+
+
+def drop_scratch(spark: SparkSession, items: list[Scratch]) -> None:
+    """Deletes intermediate tables, files and catalog entries alike, and empties the list.
+
+    The files go through Hadoop's file-system API, so any shared store works.
+    """
+    while items:
+        item = items.pop()
+        if item.table:
+            spark.sql(f"DROP TABLE IF EXISTS {item.table}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(item.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_bucketed(
-    df: DataFrame,
-    name: str,
-    key: str = "doc_id",
-    buckets: int | None = None,
-    prepartitioned: bool = False,
-    registry: list[str] | None = None,
-) -> DataFrame:
+    df: DataFrame, name: str, key: str = "doc_id", buckets: int | None = None, prepartitioned: bool = False
+) -> tuple[DataFrame, Scratch]:
     """Write ``df`` as a parquet table bucketed by ``key`` in the shared folder and read it back.
 
     Two such tables with the same bucket count join on ``key`` without an exchange on
     either side, level after level; the written files also cut the lineage.
     ``prepartitioned``: the rows already come out of a join of such tables (partitioned
     by ``key`` into ``buckets``), so each task writes one bucket and no shuffle is added.
-    The table is registered in the session catalog (bucketing lives there); its name is
-    appended to ``registry`` so the caller can drop the entries (``drop_tables``) when done.
+    Bucketing lives in the session catalog; the second value is for ``drop_scratch``.
     """
     spark = df.sparkSession
     n = buckets or shuffle_partitions(spark)
     path = scratch_path(spark, name)
     table = f"sylvan_{name}_{path.rsplit('-', 1)[1]}"
-    (
-        (df if prepartitioned else df.repartition(n, key))
-        .write.format("parquet")
-        .bucketBy(n, key)
-        .sortBy(key)
-        .option("path", path)
-        .saveAsTable(table)
-    )
-    if registry is not None:
-        registry.append(table)
-    return spark.table(table)
-
-
-def drop_tables(spark: SparkSession, names: list[str]) -> None:
-    """Drop catalog entries made by ``write_bucketed`` (external tables: files stay put)."""
-    for name in names:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    rows = df if prepartitioned else df.repartition(n, key)
+    rows.write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(table)
+    return spark.table(table), Scratch(path, table)

@@ -40,13 +40,14 @@ NODE_SCHEMA = T.StructType(
     ]
 )
 
-# CSV dialect: header line, RFC-4180 quoting (quote doubled inside quoted fields), multi-line
-# records allowed so texts with newlines survive.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+# CSV dialect: header line, RFC-4180 quoting (quote doubled inside quoted fields), one record per
+# line, so that large files are split. Texts with line ends need ``multiLine=True`` (a file is
+# then read by one task).
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = LABELLED_CSV_SCHEMA, **options) -> DataFrame:
-    """IO1: header CSV with an explicit schema."""
+    """IO1: header CSV with an explicit schema (columns are taken by position)."""
     return spark.read.options(**{**CSV_OPTIONS, **options}).schema(schema).csv(path)
 
 
@@ -65,7 +66,36 @@ def write(df: DataFrame, path: str, fmt: str = "parquet", **options) -> str:
 
 def csv_roundtrip(df: DataFrame) -> DataFrame:
     path = write(df, scratch_path(df.sparkSession, "csv"), "csv")
-    return read_csv(df.sparkSession, path, LABELLED_CSV_SCHEMA)
+    return read_csv(df.sparkSession, path, LABELLED_CSV_SCHEMA, multiLine=True)
+
+
+def read_labelled(
+    spark: SparkSession,
+    path: str,
+    fmt: str = "csv",
+    text_col: str = "text",
+    label_col: str = "label",
+    id_col: str | None = None,
+    **options,
+) -> DataFrame:
+    """A user's own table (csv, json or parquet) as ``doc_id, text, label``.
+
+    CSV columns are found by the header's names and read as strings. Without an id column a row's
+    id is the digest of its text and label, so equal rows share one.
+    """
+    if fmt == "csv":
+        names = spark.read.options(**{**CSV_OPTIONS, **options}).csv(path).columns  # the header only
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        df = read_csv(spark, path, schema, **options)
+    elif fmt == "json":
+        cols = [c for c in (id_col, text_col, label_col) if c]
+        df = read_json(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in cols]))
+    else:
+        df = spark.read.options(**options).format(fmt).load(path)
+    text, label = F.col(text_col).cast("string"), F.col(label_col).cast("string")
+    none = F.lit("\0")
+    doc_id = F.col(id_col) if id_col else F.sha2(F.concat_ws("\1", F.coalesce(label, none), F.coalesce(text, none)), 256)
+    return df.select(doc_id.alias("doc_id"), text.alias("text"), label.alias("label"))
 
 
 def json_roundtrip(df: DataFrame) -> DataFrame:

@@ -1,16 +1,64 @@
-"""The whole job: a load-only run reproduces the compute run."""
+"""The whole job: a load-only run reproduces the compute run, table by table, in either format."""
+
+import pytest
 
 from tests.conftest import SF001
 
 
-def test_compute_then_load_gives_the_same_accuracy(spark):
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_compute_then_load_gives_the_same_accuracy(spark, fmt):
     from sylvan.plans.job import JobParams, run_job
     from sylvan.session import scratch_path
 
     store = scratch_path(spark, "job-test")
-    params = JobParams(min_df=10, rule="mr", max_depth=3)
+    params = JobParams(min_df=10, rule="mr", max_depth=3, store_format=fmt)
     first = run_job(spark, SF001, store, "lang", params).first()
     again = run_job(spark, SF001, store, "lang", params, compute_features=False, compute_forest=False).first()
     assert first.n_test > 0 and tuple(first) == tuple(again)
     # the classic defaults
     assert JobParams() == JobParams(min_df=200, rule="mr", max_depth=20, stem=True, stop_words=True)
+
+
+def test_loading_keeps_every_table(spark):
+    from sylvan.plans import pipeline as P
+    from sylvan.plans.job import _tables, load_features, save_features
+    from sylvan.session import scratch_path
+
+    feats = P.prepare(spark, SF001, "role", 5)
+    store = scratch_path(spark, "job-test")
+    save_features(feats, store)
+    back = load_features(spark, store, id_type="string")
+    for name, df in _tables(feats).items():
+        assert sorted(map(repr, df.collect())) == sorted(map(repr, _tables(back)[name].collect())), name
+    assert back.vocab_size == feats.vocab_size and back.labels == feats.labels
+
+
+def test_stop_words_before_or_after_stemming(spark):
+    from sylvan.operators.clean import clean_tokens
+
+    rows = [(1, "The running dogs are happy, the dogs", "a"), (2, "", "a"), (3, None, "a"), (4, "having because", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string")
+
+    def tokens(**how):
+        return {r.doc_id: r.tokens for r in clean_tokens(df, ["a", "b"], False, **how).collect()}
+
+    assert tokens()[1] == ["the", "running", "dogs", "are", "happy", "the", "dogs"]
+    stemmed = tokens(stem=True)
+    assert stemmed[1] == ["the", "run", "dog", "ar", "happi", "the", "dog"] and stemmed[3] == []
+    assert tokens(stem=True, stop_words=True)[1] == ["run", "dog", "ar", "happi", "dog"]
+    assert tokens(stem=True, stop_words=True, stop_before_stem=True)[1] == ["run", "dog", "happi", "dog"]
+    assert tokens(stop_words=True)[4] == []
+
+
+def test_own_json_table_without_ids(spark):
+    from sylvan.plans.job import JobParams, run_file_job
+    from sylvan.session import scratch_path
+    from sylvan.sources.tables import labelled_text
+
+    path = scratch_path(spark, "own-json")
+    labelled_text(spark, SF001, "lang").selectExpr("text as body", "label as topic").write.json(path)
+    got = run_file_job(
+        spark, path, scratch_path(spark, "job-test"), "json", "body", "topic", drop_accented=False,
+        params=JobParams(min_df=10, max_depth=2, stem=False, stop_words=False),
+    ).first()
+    assert got.n_test > 0 and 0 < got.accuracy <= 1

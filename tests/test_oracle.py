@@ -43,8 +43,11 @@ def test_query_matches_sql_twin(spark, duck, name):
 
 def test_every_query_has_a_twin():
     import __spark_entry__ as E
+    from sylvan.plans.queries import QUERIES
+    from sylvan.plans.sql_queries import SQL
 
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(E.queries()) and set(SQL) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):

@@ -21,23 +21,87 @@ def no_auto_broadcast(spark):
     spark.conf.set("spark.sql.adaptive.enabled", old_a)
 
 
-def test_level_join_between_bucketed_tables_has_no_exchange(spark, no_auto_broadcast):
-    from sylvan.operators.forest import initial_assign
+@pytest.fixture()
+def level(spark):
+    """A bucketed row table, the assignments of level 1 and the nodes there."""
+    from sylvan.operators.forest import route_root
+    from sylvan.session import drop_scratch, write_bucketed
+
+    label = F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("label")
+    rows = spark.range(200).select(F.col("id").alias("doc_id"), label, F.array(F.lit("w"), F.lit("v")).alias("terms"))
+    terms, t = write_bucketed(rows, "t_terms", buckets=4)
+    splits = spark.createDataFrame([(x, "", "w", True, True) for x in "ab"], "tree string, node string, term string, open_l boolean, open_r boolean")
+    assign, a = write_bucketed(route_root(terms, F.broadcast(splits), ["a", "b"]), "t_assign", buckets=4)
+    nodes = spark.createDataFrame([("a", "L"), ("b", "L")], "tree string, node string")
+    yield terms, assign, F.broadcast(nodes)
+    drop_scratch(spark, [t, a])
+
+
+def test_level_join_between_bucketed_tables_has_no_exchange_and_no_sort(spark, no_auto_broadcast, level):
     from sylvan.operators.splits import level_stats
-    from sylvan.session import write_bucketed
 
-    base = spark.range(200).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("label"))
-    terms = write_bucketed(base.select("doc_id", F.array(F.lit("w"), F.lit("v")).alias("terms")), "t_terms", buckets=4)
-    assign = write_bucketed(initial_assign(base, ["a", "b"]), "t_assign", buckets=4)
-    nodes = F.broadcast(spark.createDataFrame([("a", ""), ("b", "")], "tree string, node string"))
+    terms, assign, nodes = level
     plan = _plan(level_stats(assign, terms, nodes))
-    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan
     assert "Exchange hashpartitioning(doc_id" not in plan
     # the only shuffle is the (tree, node, term) aggregation, after a partial aggregate
     assert plan.count("Exchange hashpartitioning") == 1
     assert "partial_count" in plan
 
 
+def test_routing_has_no_exchange_and_no_sort(spark, no_auto_broadcast, level):
+    from sylvan.operators.forest import route
+
+    terms, assign, nodes = level
+    splits = F.broadcast(nodes.select("tree", "node", F.lit("v").alias("term"), F.lit(True).alias("open_l"), F.lit(True).alias("open_r")))
+    plan = _plan(route(assign, terms, splits))
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan and "Exchange hashpartitioning" not in plan
+    assert route(assign, terms, splits).count() == 400
+
+
+def test_one_explode_for_a_level_of_the_mr_rule(spark, no_auto_broadcast, level):
+    from sylvan.operators.splits import best_splits, level_stats, scored_candidates, with_absent_terms
+
+    terms, assign, nodes = level
+    one = F.lit(1).cast("bigint")
+    opened = nodes.select("tree", "node", one.alias("n"), one.alias("k"), F.array(F.lit("w")).alias("path_terms"))
+    best = best_splits(scored_candidates(level_stats(assign, terms, opened), opened, "mr"))
+    plan = _plan(with_absent_terms(opened.join(F.broadcast(best), ["tree", "node"], "left"), 5))
+    assert plan.count("Generate explode") == 1
+
+
+def test_root_statistics_hold_no_row_per_tree(spark, no_auto_broadcast, level):
+    from sylvan.operators.splits import root_stats
+
+    plan = _plan(root_stats(level[0], ["a", "b"]))
+    # from the bottom: words, the two aggregates, then the trees
+    assert plan.index("Generate explode([a,b])") < plan.index("HashAggregate") < plan.rindex("Generate explode(terms")
+
+
+def test_growth_leaves_no_row_tables_behind(spark, monkeypatch):
+    import os
+
+    from sylvan.operators import forest as W
+    from sylvan.session import checkpoint_dir
+
+    def left():
+        at = checkpoint_dir(spark).removeprefix("file:")
+        return {x for x in os.listdir(at) if x.split("-")[1].startswith(("assign", "terms", "nodes"))} - before
+
+    rows = spark.range(60).select(
+        F.col("id").alias("doc_id"), (F.col("id") * 5 % 17 % 3).cast("string").alias("label"),
+        F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: F.concat(F.lit("w"), (F.col("id") * i % 11).cast("string"))).alias("terms"),
+    )
+    before: set = set()
+    before = left()
+    nodes = W.grow_forest(spark, rows, rows, ["0", "1", "2"], 11, "c45", 5)
+    assert nodes.filter("depth > 1").count() > 0 and not left()
+    monkeypatch.setattr(W, "route", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        W.grow_forest(spark, rows, rows, ["0", "1", "2"], 11, "c45", 5)
+    assert not left()
+
+
 def test_cleaning_moves_the_text_once(spark, no_auto_broadcast):
     from sylvan.operators.clean import clean
     from sylvan.sources.tables import labelled_text

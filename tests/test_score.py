@@ -89,7 +89,8 @@ def test_votes(spark):
     voted = {r.doc_id: r.pred for r in forest_vote(preds, sizes).collect()}
     assert voted == {1: "A", 2: "C", 3: "B", 4: "C"}
     truth = spark.createDataFrame([(1, "A"), (2, "C"), (3, "B"), (4, "C")], "doc_id long, label string")
-    acc = accuracy(truth, forest_vote(preds, sizes)).first()
+    with_truth = lambda t: forest_vote(preds.join(t, "doc_id"), sizes, keep=["label"])
+    acc = accuracy(with_truth(truth)).first()
     assert (acc.n_test, acc.n_correct, acc.accuracy) == (4, 4, 1.0)
     wrong = spark.createDataFrame([(1, "B"), (2, "A")], "doc_id long, label string")
-    assert accuracy(wrong, forest_vote(preds, sizes)).first().accuracy == 0.0
+    assert accuracy(with_truth(wrong)).first().accuracy == 0.0
