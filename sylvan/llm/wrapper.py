@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html as _html
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,6 +33,8 @@ from sylvan.session import write_table
 #: CONSTANT_PAGES of them, show its text at its place. A page differs if less than half of its
 #: matched text nodes equal the reference's.
 CONSTANT_SHARE, CONSTANT_PAGES = 0.9, 5
+#: Elements nested deeper become siblings, as in browsers; no text is lost.
+MAX_DEPTH = 256
 
 # ---- fixed values: element kinds and class words --------------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -66,19 +69,20 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "kids", "text", "shape", "size", "up")
+    __slots__ = ("tag", "attrs", "kids", "text", "shape", "size", "up", "depth")
 
     def __init__(self, tag: str, attrs: str = "", text: str = "", up: Node | None = None):
         self.tag, self.attrs, self.text, self.up = tag, attrs, text, up
         self.kids: list[Node] = []
         self.shape, self.size = 0, 1
+        self.depth = 0 if up is None else up.depth + 1
 
 
 def parse(page: str) -> Node:
     """The DOM tree of a page; broken markup is mended as browsers do in the common cases
     (unclosed paragraphs, items and cells, stray end tags, a cut end)."""
     root = here = Node("#root")
-    at = 0
+    at = depth = 0
 
     def add_text(s: str) -> None:
         if s and not s.isspace():
@@ -98,6 +102,7 @@ def parse(page: str) -> Node:
                 node = node.up
             if node.up is not None:
                 here = node.up
+                depth = here.depth
             continue
         attrs = m[3] if m[2] else m[6]
         ends = {"p"} if tag in CLOSES_P else {tag} if tag in ("li", "tr", "option") else {"td", "th"} if tag in ("td", "th") else (
@@ -107,6 +112,7 @@ def parse(page: str) -> Node:
             while node.up is not None and (node.tag in INLINE or node.tag in ends):
                 if node.tag in ends:
                     here = node.up
+                    depth = here.depth
                     break
                 node = node.up
         node = Node(tag, attrs, up=here)
@@ -114,8 +120,9 @@ def parse(page: str) -> Node:
         if tag in RAW:
             end = re.compile(rf"(?i)</{re.escape(tag)}\b[^>]*(?:>|\Z)").search(page, at)
             at = end.end() if end else len(page)
-        elif tag not in VOID and not attrs.rstrip().endswith("/"):
+        elif tag not in VOID and not attrs.rstrip().endswith("/") and depth < MAX_DEPTH:
             here = node
+            depth = node.depth
     add_text(page[at:])
     return root
 
@@ -138,6 +145,7 @@ class Matcher:
     children aligned by dynamic programming. Scores depend on shapes alone and are kept."""
 
     def __init__(self):
+        sys.setrecursionlimit(max(sys.getrecursionlimit(), 32 * MAX_DEPTH))  # score() descends both trees
         self.known: dict = {}
         self.scores: dict[tuple[int, int], int] = {}
 
