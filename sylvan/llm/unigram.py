@@ -30,7 +30,7 @@ from sylvan.llm.common import map_text, pick
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Memoised segments per worker, and the longest one that is kept.
-MEMO_LIMIT, MEMO_BYTES = 600_000, 64
+MEMO_LIMIT, MEMO_BYTES = 400_000, 64
 #: Segments solved at once.
 BATCH = 1 << 13
 

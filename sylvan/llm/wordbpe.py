@@ -14,7 +14,7 @@ import re
 from array import array
 
 #: Memoised chunks per worker (about 200 bytes each); the table is emptied beyond that.
-MEMO_LIMIT = 600_000
+MEMO_LIMIT = 400_000
 
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-;=?@\[-`{}~]*)", re.ASCII)
 
