@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sylvan.llm.common import T_to_arrow, pick, slices, text_bytes
-from sylvan.llm.wordbpe import WordIds
+from sylvan.llm.wordbpe import word_ids
 from sylvan.operators.ordered import running_sums, write_ranged
 from sylvan.session import shuffle_partitions
 
@@ -124,7 +124,7 @@ def write_codes(df: DataFrame, path: str, tokenizer_path: str, end_id: int,
     arrow = T_to_arrow(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = WordIds(tokenizer_path)
+        enc = word_ids(tokenizer_path)
         end = np.array([end_id], enc.code).tobytes()
         part = TaskContext.get().partitionId()
         ids: list = []

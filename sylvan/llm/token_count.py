@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sylvan.llm.common import map_text, pick
-from sylvan.llm.wordbpe import WordCounts
+from sylvan.llm.wordbpe import word_counts
 from sylvan.session import write_table
 
 CACHE_SCHEMA = T.StructType(
@@ -80,13 +80,10 @@ def token_counts(
     misses = keyed.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).join(stored, "digest", "left_anti")
     same = digested["digest"].eqNullSafe(misses["digest"]) & digested["doc_id"].eqNullSafe(misses["doc_id"])
     texts = digested.join(misses.hint("shuffle_hash"), same, "left_semi").select("digest", "text")
-    # Rows with equal id and content would be encoded twice; each map task keeps one of them.
-    made = []
 
     def per_slice(batch: list[bytes]) -> dict[str, list]:
-        if not made:
-            made.append(WordCounts(tokenizer_path))
-        return {"n_tokens": [made[0].count(t) for t in batch]}
+        count = word_counts(tokenizer_path).count
+        return {"n_tokens": [count(t) for t in batch]}
 
     counted = map_text(texts, per_slice, [("n_tokens", T.LongType())], keep=("digest",))
     new = write_table(counted.groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")), "token-misses")

@@ -1,20 +1,21 @@
 """Word-wise use of the ``tokenizers`` library, equal to encoding whole texts.
 
 Both BPE files pre-tokenize so that no token crosses the chunk borders chosen here, hence the
-tokens of a text are those of its chunks. Chunks recur, so their encodings are memoised per
-Python worker, in a table of bounded size. A missed chunk made of Latin letters and closing
-punctuation goes straight to the library's BPE model (its pre-tokens are known: the letters,
-then the punctuation); any other chunk, and any text whose chunk borders could matter, goes
-through the library's whole pipeline.
+tokens of a text are those of its chunks. Chunks recur, so their encodings are memoised, in a
+table of bounded size that a Python worker keeps from task to task. A missed chunk made of Latin
+letters and closing punctuation goes straight to the library's BPE model (its pre-tokens are
+known: the letters, then the punctuation, each looked up on its own); any other chunk, and any
+text whose chunk borders could matter, goes through the library's whole pipeline.
 """
 
 from __future__ import annotations
 
 import re
 from array import array
+from functools import cache
 
-#: Memoised chunks per worker (about 200 bytes each); the table is emptied beyond that.
-MEMO_LIMIT = 400_000
+#: Memoised chunks of each of two generations (about 200 bytes each).
+MEMO_LIMIT = 200_000
 
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-;=?@\[-`{}~]*)", re.ASCII)
 
@@ -43,53 +44,77 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
-class WordCounts(dict):
+class Memo(dict):
+    """A bounded memo: when the young generation is full it becomes the old one, and the old one
+    goes. What is asked for again moves back into the young one, so frequent keys stay."""
+
+    def __init__(self):
+        self.old: dict = {}
+
+    def solve(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.solve(key)
+        if len(self) >= MEMO_LIMIT:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class WordCounts(Memo):
     """Token count of a chunk without ASCII white space, for a BPE file that drops white space,
     lower-cases, and splits letters from punctuation (``word_bpe_49k.json``)."""
 
     def __init__(self, path: str):
+        super().__init__()
         self.tok = load(path)
 
-    def __missing__(self, chunk: bytes) -> int:
-        if len(self) >= MEMO_LIMIT:
-            self.clear()
+    def solve(self, chunk: bytes) -> int:
         s = chunk.decode("utf-8", "replace")
-        if m := _SIMPLE.fullmatch(s):
-            tokenize = self.tok.model.tokenize
-            n = len(tokenize(visible(m[1].lower()))) + (len(tokenize(m[2])) if m[2] else 0)
-        else:
-            n = len(self.tok.encode(s, add_special_tokens=False))
-        self[chunk] = n
-        return n
+        m = _SIMPLE.fullmatch(s)
+        if not m:
+            return len(self.tok.encode(s, add_special_tokens=False))
+        letters, marks = m[1].lower(), m[2]
+        if marks or letters != s:
+            return self[letters.encode()] + (len(self.tok.model.tokenize(marks)) if marks else 0)
+        return len(self.tok.model.tokenize(s if s.isascii() else visible(s)))
 
     def count(self, text: bytes) -> int:
         return sum(map(self.__getitem__, text.split()))
 
 
-class WordIds(dict):
+class WordIds(Memo):
     """Ids (as unsigned 16 or 32 bit, by vocabulary size) of ``' ' + chunk`` for a byte-level BPE
     file without prefix space (``byte_bpe_50k.json``)."""
 
     def __init__(self, path: str):
+        super().__init__()
         self.tok = load(path)
+        self.marks: dict[str, bytes] = {"": b""}  # runs of punctuation of a few characters
         self.code = "H" if self.tok.get_vocab_size() <= 1 << 16 else "I"
 
     def whole(self, text: str) -> bytes:
         return array(self.code, self.tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= MEMO_LIMIT:
-            self.clear()
-        if m := _SIMPLE.fullmatch(chunk):
-            tokenize = self.tok.model.tokenize
-            got = tokenize(visible(" " + m[1]))
-            if m[2]:
-                got += tokenize(m[2])
-            ids = array(self.code, [t.id for t in got]).tobytes()
-        else:
-            ids = self.whole(" " + chunk)
-        self[chunk] = ids
-        return ids
+    def pretoken(self, s: str) -> bytes:
+        return array(self.code, [t.id for t in self.tok.model.tokenize(s)]).tobytes()
+
+    def solve(self, chunk: str) -> bytes:
+        m = _SIMPLE.fullmatch(chunk)
+        if not m:
+            return self.whole(" " + chunk)
+        letters, marks = m[1], m[2]
+        if not marks:
+            return self.pretoken("Ġ" + letters if letters.isascii() else visible(" " + letters))
+        if marks not in self.marks:
+            if len(marks) > 4 or len(self.marks) > 10_000:
+                return self[letters] + self.pretoken(marks)
+            self.marks[marks] = self.pretoken(marks)
+        return self[letters] + self.marks[marks]
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text. A chunk begins at each single space; two white-space characters
@@ -101,3 +126,15 @@ class WordIds(dict):
         if "" in chunks or "<|" in text or any(map(str.isspace, chunks)):
             return self.whole(text)
         return self.whole(chunks[0]) + b"".join(map(self.__getitem__, chunks[1:]))
+
+
+@cache
+def word_counts(path: str) -> WordCounts:
+    """The worker's own instance; it outlives a task."""
+    return WordCounts(path)
+
+
+@cache
+def word_ids(path: str) -> WordIds:
+    """The worker's own instance; it outlives a task."""
+    return WordIds(path)
