@@ -273,9 +273,12 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     by the text's digest; of rows equal in both, any one)."""
     digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
     place = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("doc_id"), digest.alias("digest"))
-    found = near_duplicates(df.select(place.alias("place"), F.col(text_col).alias("text")), "place", "text")
-    first = write_table(found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct(), "simhash-kept")
+    rows = df.select(place.alias("place"), F.col(text_col).alias("text"))
+    found = write_table(near_duplicates(rows, "place", "text"), "simhash-rows")
+    hits = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id")
+    first = write_table(hits.distinct(), "simhash-kept")
     marked = df.withColumn("_sh_place", place)
     kept = marked.join(first.hint("shuffle_hash"), marked["_sh_place"] == first["doc_id"], "left_semi")
-    once = first.count() == kept.select("_sh_place").count()
-    return (kept if once else kept.dropDuplicates(["_sh_place"])).select(*df.columns)
+    if hits.count() > first.count():  # rows equal in id and text
+        kept = kept.dropDuplicates(["_sh_place"])
+    return kept.select(*df.columns)

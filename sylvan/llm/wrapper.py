@@ -3,7 +3,7 @@
 Every page is parsed to a DOM tree and aligned, by simple tree matching, with its host's
 reference page (the one with the smallest id hash). Each page votes on each text node of the
 reference: matched, and with the same text. Nodes that (nearly) all differing pages of the host
-show alike are constant: template. The matched nodes of a page that are constant go; of the
+show alike are constant: template. Blocks of a page that hold constant nodes only go; of the
 varying slots, those in the article stay. A page's roles (navigation, advert, comments ...) are
 read from tags and class names, and the article is the ``article``/``main`` element or, without
 one, the whole body.
@@ -31,7 +31,7 @@ from sylvan.session import write_table
 
 #: A node is constant if at least CONSTANT_SHARE of the differing pages, and at least
 #: CONSTANT_PAGES of them, show its text at its place. A page differs if less than half of its
-#: matched text nodes equal the reference's.
+#: article's characters lie in nodes that equal the reference's.
 CONSTANT_SHARE, CONSTANT_PAGES = 0.9, 5
 #: Elements nested deeper become siblings, as in browsers; no text is lost.
 MAX_DEPTH = 256
@@ -271,15 +271,14 @@ def _within(node: Node, other: Node) -> bool:
     return False
 
 
-def main_text(root: Node, template: set[int]) -> str:
-    """Blocks of the article in page order, without the text nodes (by ``id``) of the template."""
-    blocks: list[str] = []
-    run: list[str] = []
+def article_blocks(root: Node) -> list[list[Node]]:
+    """The article's blocks in page order, each with its text nodes ("#blank" ones between words)."""
+    blocks: list[list[Node]] = []
+    run: list[Node] = []
 
     def close() -> None:
-        words = "".join(run).split()
-        if words:
-            blocks.append(" ".join(words))
+        if any(n.tag == "#text" for n in run):
+            blocks.append(run.copy())
         run.clear()
 
     for main in main_nodes(root):
@@ -289,18 +288,25 @@ def main_text(root: Node, template: set[int]) -> str:
             node = stack.pop()
             if node is None:
                 close()
-            elif node.tag == "#text":
-                if id(node) not in template:
-                    run.append(node.text)
-            elif node.tag == "#blank":
-                run.append(" ")
+            elif node.tag in ("#text", "#blank"):
+                run.append(node)
             elif node is main or not is_dropped(node, inside):
                 if node.tag not in INLINE:
                     close()
                     stack.append(None)
                 stack.extend(reversed(node.kids))
         close()
-    return " ".join(blocks)
+    return blocks
+
+
+def main_text(root: Node, template: set[int]) -> str:
+    """The article's text. A block goes if all its text nodes (by ``id``) are template."""
+    out = []
+    for block in article_blocks(root):
+        if template and all(id(n) in template for n in block if n.tag == "#text"):
+            continue
+        out += "".join(n.text if n.tag == "#text" else " " for n in block).split()
+    return " ".join(out)
 
 
 def host(url: Column) -> Column:
@@ -344,13 +350,14 @@ def induce(pages: DataFrame) -> DataFrame:
             for part in slices(whole, "html"):
                 for name, page, seed in zip(*_columns(part, "host", "html", "seed"), strict=True):
                     ref, at = _reference(matcher, trees, name, seed)
-                    pairs = [(at[id(q)], same_text(p, q)) for p, q in matcher.align(matcher.tree(page), ref) if q.tag == "#text"]
-                    if 2 * sum(s for _, s in pairs) >= len(pairs):
-                        continue  # no differing page
+                    tree = matcher.tree(page)
+                    same = [(p, at[id(q)]) for p, q in matcher.align(tree, ref) if q.tag == "#text" and same_text(p, q)]
+                    own = {id(n): len(n.text) for block in article_blocks(tree) for n in block if n.tag == "#text"}
+                    if 2 * sum(own.get(id(p), 0) for p, _ in same) >= sum(own.values()):
+                        continue  # a copy of the reference, or nearly
                     total, per = votes.get(name, (0, {}))
-                    for n, s in pairs:
-                        if s:
-                            per[n] = per.get(n, 0) + 1
+                    for _, n in same:
+                        per[n] = per.get(n, 0) + 1
                     votes[name] = (total + 1, per)
                 if len(votes) > 1000:
                     yield flush()

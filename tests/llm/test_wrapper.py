@@ -9,13 +9,13 @@ from sylvan.llm.queries import op4_html_extract
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var t="</p>";</script></head><body>
 <header>Site name</header><nav><ul><li><a href="/">Home</a></li></ul></nav><!-- x --><div class="ad">Buy &amp; save</div>
 <aside class="sidebar">Side</aside><div class="cookie-notice">We use cookies</div><article><h1>Title {n}</h1>
-<p>First   text &lt;{n}&gt;<br>after<p>Second <b>bo</b>ld&nbsp;{n}</p><div>Share this page</div><form><input>Send</form>
+<p>First   text &lt;{n}&gt;<br>after {n}<p>Second <b>bo</b>ld&nbsp;{n}</p><div>Share this page</div><form><input>Send</form>
 <ul><li>one {n}<li>two</ul></article><section id="comments"><article class="comment">Nice!</article></section>
 <footer>&copy; host</footer></body></html>"""
 
 
 def expected(n, share=False):
-    return f"Title {n} First text <{n}> after Second bold {n} {'Share this page ' if share else ''}one {n}{' two' if share else ''}"
+    return f"Title {n} First text <{n}> after {n} Second bold {n} {'Share this page ' if share else ''}one {n}{' two' if share else ''}"
 
 
 def frame(spark, pages):
