@@ -110,10 +110,11 @@ def run_file_job(
     drop_accented: bool = True,
     params: JobParams = JobParams(),
     read_options: dict | None = None,
+    id_type: str | None = None,
     **switches,
 ) -> DataFrame:
     """``run_table_job`` on a file of the user's own."""
-    raw = read_labelled(spark, path, fmt, text_col, label_col, id_col, **(read_options or {}))
+    raw = read_labelled(spark, path, fmt, text_col, label_col, id_col, id_type, **(read_options or {}))
     return run_table_job(raw, store, labels, drop_accented, params, **switches)
 
 

@@ -403,7 +403,7 @@ def job_from_csv(spark, sf):
     params = JobParams(min_df=MIN_DF, rule="mr", max_depth=3, stem=True, stop_words=True, store_format="json")
     return run_file_job(
         spark, path, store, "csv", "Text", "Topic", "Number", sorted(PROFILES[LANG].labels), PROFILES[LANG].drop_accented,
-        params, {"multiLine": "true"},
+        params, {"multiLine": "true"}, "bigint",
     )
 
 

@@ -76,12 +76,14 @@ def read_labelled(
     text_col: str = "text",
     label_col: str = "label",
     id_col: str | None = None,
+    id_type: str | None = None,
     **options,
 ) -> DataFrame:
     """A user's own table (csv, json or parquet) as ``doc_id, text, label``.
 
-    CSV columns are found by the header's names and read as strings. Without an id column a row's
-    id is the digest of its text and label, so equal rows share one.
+    CSV columns are found by the header's names and read as strings; ``id_type`` casts the id
+    (ids are compared: of equal rows the smallest stays). Without an id column a row's id is the
+    digest of its text and label, so equal rows share one.
     """
     if fmt == "csv":
         names = spark.read.options(**{**CSV_OPTIONS, **options}).csv(path).columns  # the header only
@@ -95,6 +97,8 @@ def read_labelled(
     text, label = F.col(text_col).cast("string"), F.col(label_col).cast("string")
     none = F.lit("\0")
     doc_id = F.col(id_col) if id_col else F.sha2(F.concat_ws("\1", F.coalesce(label, none), F.coalesce(text, none)), 256)
+    if id_type:
+        doc_id = doc_id.cast(id_type)
     return df.select(doc_id.alias("doc_id"), text.alias("text"), label.alias("label"))
 
 
