@@ -122,10 +122,10 @@ WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {WO
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 k AS (SELECT *, CAST([3, 1, 2][(row_number() OVER (ORDER BY source IS NULL, source) - 1) % 3 + 1] AS DOUBLE) AS weight,
         CAST(2 * source_size AS DOUBLE) AS cap, CAST(sum(source_size) OVER () AS DOUBLE) AS everything FROM s),
-f AS (SELECT *, (CAST(1.5 AS DOUBLE) * everything
+f AS (SELECT *, row_number() OVER (ORDER BY cap / weight, source) AS place, (CAST(1.5 AS DOUBLE) * everything
           - coalesce(sum(cap) OVER (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
         / sum(weight) OVER (ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM k),
-v AS (SELECT coalesce(min(level) FILTER (weight * level < cap), max(level)) AS level FROM f),
+v AS (SELECT coalesce(arg_min(level, place) FILTER (weight * level < cap), 0) AS level FROM f),
 t AS (SELECT k.source, source_size, least(weight * v.level, cap) AS target FROM k, v),
 c AS (SELECT d.doc_id, d.size, t.source_size, t.target,
         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate, {draw} AS u

