@@ -21,13 +21,15 @@ are rows of their own. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sylvan.llm.common import map_text, pick
+from sylvan.llm.common import T_to_arrow, map_text, pick
 from sylvan.session import write_table
 
 SHINGLE = 4
@@ -169,7 +171,7 @@ def _leaves(x, parent, f, top, max_bits, top_budget) -> None:
 
 def group_links(fps: np.ndarray, walk: int, prefix: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Star links ``(member, centre)`` among the fingerprints sent to one group."""
-    x = np.unique(_rotate(fps.view(np.uint64), walk))
+    x = np.unique(_rotate(np.ascontiguousarray(fps).view(np.uint64), walk))
     top = THIRDS[walk]
     lo_of = lambda p: int(np.searchsorted(x, np.uint64(p << (64 - bits)))) if bits else 0
     hi_of = lambda p: int(np.searchsorted(x, np.uint64(((p + 1) << (64 - bits)) - 1), "right")) if bits else len(x)
@@ -219,11 +221,46 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     walks = fps.select("fp", F.explode(F.array(*rotated)).alias("w"))
     dealt = walks.select("fp", F.col("w.walk").alias("walk"), F.explode("w.prefixes").alias("prefix"))
 
-    def links(key, rows: pd.DataFrame) -> pd.DataFrame:
-        a, b = group_links(rows["fp"].to_numpy(np.int64), int(key[0]), int(key[1]), bits)
-        return pd.DataFrame({"a": a, "b": b})
+    schema = T.StructType().add("a", "long").add("b", "long")
+    arrow = T_to_arrow(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, members in _groups(batches):
+            a, b = group_links(members, int(key[0]), int(key[1]), bits)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], schema=arrow)
+
+    # the rows of a group are neighbours in one partition; a group alone is held at a time
+    sorted_ = dealt.repartition("walk", "prefix").sortWithinPartitions("walk", "prefix")
+    return sorted_.select("walk", "prefix", "fp").mapInArrow(run, schema)
 
-    return dealt.groupBy("walk", "prefix").applyInPandas(links, "a bigint, b bigint")
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+    """Runs of equal (walk, prefix) with two fingerprints or more."""
+    key, held = None, []
+    for batch in batches:
+        walk, prefix, fp = (np.asarray(batch.column(c)) for c in range(3))
+        if not len(fp):
+            continue
+        cuts = np.flatnonzero((walk[1:] != walk[:-1]) | (prefix[1:] != prefix[:-1])) + 1
+        begins, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(fp)]))
+        first = (walk[0], prefix[0])
+        if key is not None and key != first:
+            if sum(map(len, held)) > 1:
+                yield key, np.concatenate(held)
+            held = []
+        # the last run may go on in the next batch; runs of one row have no pair
+        whole = [(b, e) for b, e in zip(begins[:-1].tolist(), ends[:-1].tolist(), strict=True) if e - b > 1 or b == 0]
+        for b, e in whole:
+            members = np.concatenate([*held, fp[b:e]]) if b == 0 else fp[b:e]
+            if b == 0:
+                held = []
+            if len(members) > 1:
+                yield (walk[b], prefix[b]), members
+        key = (walk[-1], prefix[-1])
+        held.append(fp[begins[-1] :])
+    if sum(map(len, held)) > 1:
+        yield key, np.concatenate(held)
 
 
 def components(links: DataFrame) -> DataFrame:
