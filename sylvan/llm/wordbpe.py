@@ -15,7 +15,7 @@ from array import array
 from functools import cache
 
 #: Memoised chunks of each of two generations (about 200 bytes each).
-MEMO_LIMIT = 200_000
+MEMO_LIMIT = 300_000
 
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-;=?@\[-`{}~]*)", re.ASCII)
 
