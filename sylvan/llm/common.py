@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -22,7 +23,7 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterat
     """``batch`` in consecutive pieces of about ``limit`` text bytes, so memory stays bounded."""
     sizes = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary())
     start, total = 0, 0
-    for i, n in enumerate(pa.compute.binary_length(sizes).to_pylist()):
+    for i, n in enumerate(pc.binary_length(sizes).to_pylist()):
         total += n or 0
         if total > limit and i > start:
             yield batch.slice(start, i - start)
