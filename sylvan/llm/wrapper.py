@@ -6,7 +6,8 @@ reference: matched, and with the same text. Nodes that (nearly) all differing pa
 show alike are constant: template. Blocks of a page that hold constant nodes only go; of the
 varying slots, those in the article stay. A page's roles (navigation, advert, comments ...) are
 read from tags and class names, and the article is the ``article``/``main`` element or, without
-one, the whole body.
+one, the whole body. A name or a form takes no article away: an element named like an extra stays
+if it holds most of the text that is not template, or the page's only article or main element.
 
 A null or empty page gives '' and 0. Pages without a host are a host of their own. Repeated
 pages agree with each other: they do not vote (only pages that differ from the reference do),
@@ -19,6 +20,7 @@ import html as _html
 import re
 import sys
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -48,23 +50,32 @@ CLOSES_P = frozenset(
     "menu nav ol p pre section table ul".split()
 )
 DROPPED = frozenset(
-    "aside button canvas datalist dialog footer form head iframe input menu nav noscript object option script select style "
+    "aside button canvas datalist dialog footer head iframe input menu nav noscript object option script select style "
     "svg template textarea title video audio".split()
 )
-DROPPED_ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search".split())
+DROPPED_ROLES = frozenset("alert banner complementary contentinfo dialog menu menubar navigation search".split())
 DROPPED_WORDS = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer "
     "discussion disqus footer gdpr menu modal nav navbar navigation newsletter notice notices notification popup promo "
     "promotion recommended related replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar "
     "widget".split()
 )
+#: Words that say nothing of an element's role. A compound class or id counts as a dropped name
+#: only if its other words are among these: 'comment-list', but not 'no-comments'.
+PLAIN_WORDS = frozenset(
+    "above area bar below block body bottom box btn button buttons center col column container content desktop entry fb fixed form "
+    "global google group header holder icon icons inline inner item items left link links list main mobile outer page panel post "
+    "primary region right row secondary section site slot sticky text title top unit wp wrap wrapper x".split()
+)
+#: A named element stays if it holds at least half of the text and at least this many characters.
+LEAST_KEPT = 100
 # ------------------------------------------------------------------------------------------
 
 _TOKEN = re.compile(
     r"<!--(?s:.*?)(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)"
 )
-_ATTR = re.compile(r"(?i)\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
-_HIDDEN = re.compile(r"(?i)(?:^|\s)hidden(?=\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true")
+_ATTR = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NONE = re.compile(r"(?i)display\s*:\s*none")
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -228,38 +239,103 @@ def same_text(a: Node, b: Node) -> bool:
     return a.text == b.text or a.text.split() == b.text.split()
 
 
+@lru_cache(maxsize=20_000)
+def _kind(attrs: str) -> str:
+    """What an element's attributes say: "hidden" (or a role outside the article), "form", "named", "main" or ""."""
+    kind = ""
+    for m in _ATTR.finditer(attrs):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name == "hidden" or name == "aria-hidden" and value.strip() == "true" or name == "style" and _NONE.search(value):
+            return "hidden"
+        if name == "role":
+            roles = value.split()
+            if not DROPPED_ROLES.isdisjoint(roles):
+                return "hidden"
+            kind = kind or ("form" if "form" in roles else "main" if "main" in roles else "")
+        elif name in ("class", "id"):
+            for token in value.split():
+                words = set(_WORD.findall(token))
+                if words & DROPPED_WORDS and words <= DROPPED_WORDS | PLAIN_WORDS:
+                    kind = "named"
+    return kind
+
+
 def is_dropped(node: Node, in_article: bool) -> bool:
-    """Whether the element's tag, role or class words say that it is no article text."""
-    tag, attrs = node.tag, node.attrs
-    if tag in DROPPED or tag == "header" and not in_article:
+    """Whether the element's tag, role or hiding attributes say that it is no article text."""
+    if node.tag in DROPPED or node.tag == "header" and not in_article:
         return True
-    if not attrs or tag in ("html", "body"):
-        return False
-    for m in _ATTR.finditer(attrs):
-        value = (m[2] or m[3] or m[4] or "").lower()
-        words = set(_WORD.findall(value))
-        if words & (DROPPED_ROLES if m[1].lower() == "role" else DROPPED_WORDS):
+    return bool(node.attrs) and node.tag not in ("html", "body") and _kind(node.attrs) == "hidden"
+
+
+def is_named(node: Node) -> str:
+    """ "form" or "named" if a form or a name says that the element is no article text."""
+    if node.tag in ("#text", "#blank", "html", "body"):
+        return ""
+    kind = _kind(node.attrs) if node.attrs else ""
+    return "named" if kind == "named" else "form" if node.tag == "form" or kind == "form" else ""
+
+
+class Weights:
+    """Characters of text below an element that are neither template nor dropped for tag or role."""
+
+    def __init__(self, template: set[int]):
+        self.template, self.kept = template, {}
+
+    def of(self, top: Node) -> int:
+        if id(top) not in self.kept:
+            stack = [(top, False)]
+            while stack:
+                node, done = stack.pop()
+                if done:
+                    self.kept[id(node)] = sum(self.kept.get(id(k), 0) for k in node.kids)
+                elif node.tag == "#text":
+                    self.kept[id(node)] = 0 if id(node) in self.template else len(" ".join(node.text.split()))
+                elif node.tag != "#blank" and (node is top or not is_dropped(node, True)):
+                    stack.append((node, True))
+                    stack.extend((k, False) for k in node.kids)
+        return self.kept[id(top)]
+
+    def goes(self, node: Node, whole: Node) -> bool:
+        """Whether a name or a form takes the element away from ``whole``."""
+        kind = is_named(node)
+        if not kind:
+            return False
+        own = self.of(node)
+        return 2 * own < self.of(whole) or own < (LEAST_KEPT if kind == "named" else 1)
+
+
+def _holds_article(node: Node) -> bool:
+    stack = list(node.kids)
+    while stack:
+        node = stack.pop()
+        if node.tag in ("article", "main") and is_named(node) != "named":
             return True
-    return bool(_HIDDEN.search(attrs))
+        stack.extend(node.kids)
+    return False
 
 
-def main_nodes(root: Node) -> list[Node]:
-    """The article elements (outermost), else the main elements, else the whole page."""
-    found: dict[str, list[Node]] = {"article": [], "main": []}
-    stack = [(root, False)]
+def main_nodes(root: Node, weights: Weights | None = None) -> list[Node]:
+    """The article elements (outermost), else the main elements, else the whole page. Articles in
+    elements that go by their name (comments, teasers) count only if the page has no others."""
+    weights = weights or Weights(set())
+    articles, mains, named_articles, named_mains = [], [], [], []
+    stack = [(root, False, False)]
     while stack:
-        node, inside = stack.pop()
+        node, inside, named = stack.pop()
         if node.tag[0] == "#" and node.tag != "#root" or is_dropped(node, inside):
             continue
+        named = named or is_named(node) == "named" and weights.goes(node, root)
         if node.tag == "article" and not inside:
-            found["article"].append(node)
+            (named_articles if named else articles).append(node)
             inside = True
-        elif node.tag == "main" or "main" in node.attrs and re.search(r"(?i)role\s*=\s*[\"']?main\b", node.attrs):
-            found["main"].append(node)
-        stack.extend((k, inside) for k in reversed(node.kids))
-    if found["article"]:
-        return found["article"]
-    mains = found["main"]
+        elif node.tag == "main" or node.attrs and _kind(node.attrs) == "main":
+            (named_mains if named else mains).append(node)
+        stack.extend((k, inside, named) for k in reversed(node.kids))
+    if articles:
+        return articles
+    mains = mains or named_mains
+    if not mains and named_articles and not any(n is not None and n.tag == "#text" for n in _kept_nodes(root, weights)):
+        return named_articles
     return [m for m in mains if not any(o is not m and _within(m, o) for o in mains)] or [root]
 
 
@@ -271,38 +347,45 @@ def _within(node: Node, other: Node) -> bool:
     return False
 
 
-def article_blocks(root: Node) -> list[list[Node]]:
+def _kept_nodes(main: Node, weights: Weights) -> Iterator[Node | None]:
+    """The text and blank nodes of the article in page order, None where a block ends."""
+    inside = main.tag == "article"
+    stack: list[Node | None] = [main]
+    while stack:
+        node = stack.pop()
+        if node is None or node.tag in ("#text", "#blank"):
+            yield node
+        elif node is main or not is_dropped(node, inside):
+            # without an article element, one in a named container is kept with it
+            if node is not main and weights.goes(node, main) and not (main.tag == "#root" and _holds_article(node)):
+                continue
+            if node.tag not in INLINE:
+                yield None
+                stack.append(None)
+            stack.extend(reversed(node.kids))
+    yield None
+
+
+def article_blocks(root: Node, template: set[int] = frozenset()) -> list[list[Node]]:
     """The article's blocks in page order, each with its text nodes ("#blank" ones between words)."""
     blocks: list[list[Node]] = []
     run: list[Node] = []
-
-    def close() -> None:
-        if any(n.tag == "#text" for n in run):
-            blocks.append(run.copy())
-        run.clear()
-
-    for main in main_nodes(root):
-        inside = main.tag == "article"
-        stack: list[Node | None] = [main]
-        while stack:
-            node = stack.pop()
-            if node is None:
-                close()
-            elif node.tag in ("#text", "#blank"):
+    weights = Weights(template)
+    for main in main_nodes(root, weights):
+        for node in _kept_nodes(main, weights):
+            if node is not None:
                 run.append(node)
-            elif node is main or not is_dropped(node, inside):
-                if node.tag not in INLINE:
-                    close()
-                    stack.append(None)
-                stack.extend(reversed(node.kids))
-        close()
+                continue
+            if any(n.tag == "#text" for n in run):
+                blocks.append(run.copy())
+            run.clear()
     return blocks
 
 
 def main_text(root: Node, template: set[int]) -> str:
     """The article's text. A block goes if all its text nodes (by ``id``) are template."""
     out = []
-    for block in article_blocks(root):
+    for block in article_blocks(root, template):
         if template and all(id(n) in template for n in block if n.tag == "#text"):
             continue
         out += "".join(n.text if n.tag == "#text" else " " for n in block).split()

@@ -105,3 +105,26 @@ def test_hosts(spark):
 @pytest.mark.parametrize("cls,kept", [("comment-list", False), ("post-body", True), ("main-nav", False), ("loading", True), ("ad-slot", False)])
 def test_class_words(cls, kept):
     assert W.main_text(W.parse(f'<div class="{cls}">t</div>'), set()) == ("t" if kept else "")
+
+
+LONG = "Words of the article that vary from page to page and make up nearly all of what the page says to its readers."
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="with-sidebar"><p>{}</p></div>', '<main class="no-comments"><p>{}</p></main>', "<form><div>{}</div></form>",
+    '<article class="post hentry category-social"><p>{}</p></article>', '<article title="The hidden costs"><p>{}</p></article>',
+    '<form id="page"><nav>Menu</nav><article>{}</article></form>', '<div class="sidebar"><main>{}</main></div>',
+    '<div class="sidebar"><article>{}</article></div>', '<article class="social">{}</article>', '<main class="widget">{}</main>',
+    '<article><div data-note="hidden" title="display: none">{}</div></article>',
+])
+def test_names_take_no_article(page):
+    for text in ("Few words", LONG):
+        assert W.main_text(W.parse(page.format(text)), set()) == text
+
+
+def test_named_element_with_most_of_the_text_stays():
+    assert W.main_text(W.parse(f'<div class="menu">{LONG}</div><div>More</div>'), set()) == f"{LONG} More"
+    extras = '<div class="comments">Nice</div><p hidden>h</p><p style="display: none">n</p><form>Send</form><p aria-hidden=true>a</p>'
+    assert W.main_text(W.parse(f"<p>{LONG}</p>{extras}"), set()) == LONG
+    related = '<div class="related"><article>Teaser</article></div>'
+    assert W.main_text(W.parse(f"<article>{LONG}</article>{related}"), set()) == LONG
