@@ -1,9 +1,12 @@
 """HTML extraction by wrapper induction.
 
-Every page is parsed to a DOM tree and aligned, by simple tree matching, with its host's
-reference page (the one with the smallest id hash). Each page votes on each text node of the
-reference: matched, and with the same text. Nodes that (nearly) all differing pages of the host
-show alike are constant: template. Blocks of a page that hold constant nodes only go; of the
+A host's pages are grouped by layout (the containers they have, by tag and class), those of rare
+layouts together. Every page is parsed to a DOM tree and aligned, by simple tree matching, with
+its group's reference page (the one with the smallest id hash). Each page votes on each text node
+of the reference: matched, and with the same text. For what the reference lacks, it votes on each
+other text of its article by the tags above it. What (nearly) all differing pages of the group
+show alike is constant: template. A group of fewer than ``CONSTANT_PAGES`` + 1 pages has none; of
+its pages, only tags, roles and names tell what is no article. Blocks of a page that hold constant nodes only go; of the
 varying slots, those in the article stay. A page's roles (navigation, advert, comments ...) are
 read from tags and class names, and the article is the ``article``/``main`` element or, without
 one, the whole body. A name or a form takes no article away: an element named like an extra stays
@@ -16,6 +19,7 @@ so copies never make content look constant. An empty table gives an empty result
 
 from __future__ import annotations
 
+import hashlib
 import html as _html
 import re
 import sys
@@ -35,6 +39,8 @@ from sylvan.session import write_table
 #: CONSTANT_PAGES of them, show its text at its place. A page differs if less than half of its
 #: article's characters lie in nodes that equal the reference's.
 CONSTANT_SHARE, CONSTANT_PAGES = 0.9, 5
+#: A layout with fewer pages of a host cannot have a template: such layouts form one group.
+LAYOUT_PAGES = CONSTANT_PAGES + 1
 #: Elements nested deeper become siblings, as in browsers; no text is lost.
 MAX_DEPTH = 256
 
@@ -397,15 +403,58 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
+def layout(html: Column) -> Column:
+    """A number for the set of a page's containers, by tag and the letters that their class begins with."""
+    tags = F.regexp_extract_all(html, F.lit(r"(?i)<((?:body|main|article|section|div|header|footer|aside|nav|form|table)\b[^>]*)"), F.lit(1))
+
+    def kind(tag: Column) -> Column:
+        of = F.regexp_extract(tag, r"(?i)\sclass\s*=\s*[\"']?\s*([a-z_-]*)", 1)
+        return F.lower(F.concat_ws(" ", F.regexp_extract(tag, r"^\w+", 0), of))
+
+    return F.xxhash64(F.array_join(F.array_sort(F.array_distinct(F.transform(tags, kind))), "\n"))
+
+
+def grouped(pages: DataFrame) -> DataFrame:
+    """The pages with their group in ``host``: the host and the layout, if the host has enough pages of it."""
+    pages = pages.withColumn("layout", layout(F.col("html")))
+    sizes = pages.filter("length(html) > 0").groupBy(F.col("host").alias("of"), F.col("layout").alias("common")).count()
+    sizes = write_table(sizes.filter(F.col("count") >= LAYOUT_PAGES).drop("count"), "wrapper-layouts")
+    small = maybe_broadcast(sizes, sizes.count(), 96)
+    both = pages.join(small, (F.col("host") == F.col("of")) & (F.col("layout") == F.col("common")), "left")
+    group = F.concat_ws(" ", "host", F.col("common").cast("string"))
+    return both.withColumn("host", group).drop("of", "common", "layout")
+
+
+def text_key(node: Node, text: str, paths: dict[int, str]) -> int:
+    """A number below -1 for a text under its tags, from the root down."""
+    up, todo = node.up, []
+    while up is not None and id(up) not in paths:
+        todo.append(up)
+        up = up.up
+    for one in reversed(todo):
+        paths[id(one)] = hashlib.blake2b(f"{'' if one.up is None else paths[id(one.up)]}/{one.tag}".encode(), digest_size=8).hexdigest()
+    mark = hashlib.blake2b(f"{paths[id(node.up)]} {text}".encode("utf-8", "replace"), digest_size=8).digest()
+    return -2 - (int.from_bytes(mark, "big") >> 2)
+
+
+def other_texts(blocks: list[list[Node]], taken: set[int]) -> dict[int, int]:
+    """``id`` and number of the article's text nodes that are not in ``taken``."""
+    paths: dict[int, str] = {}
+    nodes = (n for block in blocks for n in block if n.tag == "#text" and id(n) not in taken)
+    return {id(n): text_key(n, " ".join(n.text.split()), paths) for n in nodes}
+
+
 def _columns(batch: pa.RecordBatch, *names: str) -> list[list]:
     return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 
 
 def induce(pages: DataFrame) -> DataFrame:
-    """``host, seed, constant``: each host's reference page and the numbers (in page order) of
-    its constant text nodes, from the votes of all pages ``(page_id, host, html)``.
+    """``host, seed, constant``: each group's reference page, the numbers (in page order) of its
+    constant text nodes and those (below -1, see ``text_key``) of constant texts that it lacks, from
+    the votes of all ``grouped`` pages ``(page_id, host, html)``.
 
-    Votes are summed per host before they leave a task. The reference pages are found on ids
+    Votes are summed per group before they leave a task. Votes on texts that the reference lacks
+    carry a digest of the article: equal articles have one vote. The reference pages are found on ids
     and joined by host: broadcast when their counted bytes are small, else by a shuffle whose
     hot hosts AQE splits (no step needs a host's pages together).
     """
@@ -417,16 +466,18 @@ def induce(pages: DataFrame) -> DataFrame:
     # rows with the same id: one of them (the smallest page) is the reference
     seeds = write_table(seeds.groupBy("host").agg(F.min("html").alias("seed")), "wrapper-seeds")
     voting = pages.filter("length(html) > 0").select("host", "html").join(_sized(seeds), "host")
-    schema = T.StructType().add("host", "string").add("node", "integer").add("same", "long").add("pages", "long")
+    schema = T.StructType().add("host", "string").add("node", "long").add("mark", "binary").add("same", "long").add("pages", "long")
     arrow = T_to_arrow(schema)
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher, trees, votes = Matcher(), {}, {}
+        matcher, trees, votes, others = Matcher(), {}, {}, set()
 
         def flush():
-            rows = [(h, n, s, p) for h, (p, per) in votes.items() for n, s in [(-1, 0), *per.items()]]
+            rows = [(h, n, None, s, p) for h, (p, per) in votes.items() for n, s in [(-1, 0), *per.items()]]
+            rows += [(h, n, mark, 0, 0) for h, n, mark in others]
             votes.clear()
-            cols = list(zip(*rows, strict=True)) if rows else [[], [], [], []]
+            others.clear()
+            cols = list(zip(*rows, strict=True)) if rows else [[] for _ in arrow]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)
 
         for whole in batches:
@@ -435,24 +486,33 @@ def induce(pages: DataFrame) -> DataFrame:
                     ref, at = _reference(matcher, trees, name, seed)
                     tree = matcher.tree(page)
                     same = [(p, at[id(q)]) for p, q in matcher.align(tree, ref) if q.tag == "#text" and same_text(p, q)]
-                    own = {id(n): len(n.text) for block in article_blocks(tree) for n in block if n.tag == "#text"}
+                    blocks = article_blocks(tree)
+                    own = {id(n): len(n.text) for block in blocks for n in block if n.tag == "#text"}
                     if 2 * sum(own.get(id(p), 0) for p, _ in same) >= sum(own.values()):
                         continue  # a copy of the reference, or nearly
                     total, per = votes.get(name, (0, {}))
                     for _, n in same:
                         per[n] = per.get(n, 0) + 1
                     votes[name] = (total + 1, per)
-                if len(votes) > 1000:
+                    words = " ".join(" ".join(n.text.split()) for block in blocks for n in block if n.tag == "#text")
+                    mark = hashlib.blake2b(words.encode("utf-8", "replace"), digest_size=8).digest()
+                    others.add((name, -1, mark))
+                    others.update((name, n, mark) for n in other_texts(blocks, {id(p) for p, _ in same}).values())
+                if len(votes) > 1000 or len(others) > 100_000:
                     yield flush()
         yield flush()
 
-    got = voting.mapInArrow(vote, schema).groupBy("host", "node").agg(F.sum("same").alias("same"), F.sum("pages").alias("pages"))
-    voted = write_table(got, "wrapper-votes")
-    voters = voted.filter("node = -1").select("host", F.col("pages").alias("voters"))
-    constant = voted.filter("node >= 0").join(voters, "host")
-    constant = constant.filter((F.col("same") >= CONSTANT_PAGES) & (F.col("same") >= CONSTANT_SHARE * F.col("voters")))
+    got = voting.mapInArrow(vote, schema).groupBy("host", "node", "mark").agg(F.sum("same").alias("same"), F.sum("pages").alias("pages"))
+    # a marked row is one article: it counts once, whatever the number of its copies
+    once = F.col("mark").isNotNull()
+    counts = [F.sum(F.when(once, 1).otherwise(F.col("same"))).alias("same"), F.sum(F.when(~once, F.col("pages"))).alias("pages")]
+    voted = got.groupBy("host", "node").agg(*counts).filter(F.col("node").eqNullSafe(-1) | (F.col("same") >= CONSTANT_PAGES))
+    voted = write_table(voted, "wrapper-votes")
+    voters = voted.filter("node = -1").select("host", F.col("pages").alias("voters"), F.col("same").alias("articles"))
+    least = CONSTANT_SHARE * F.when(F.col("node") >= 0, F.col("voters")).otherwise(F.col("articles"))
+    constant = voted.filter("node <> -1").join(voters, "host").filter(F.col("same") >= least)
     constant = constant.groupBy("host").agg(F.sort_array(F.collect_list("node")).alias("constant"))  # nodes of one page
-    none = F.array().cast("array<int>")
+    none = F.array().cast("array<bigint>")
     return seeds.join(constant, "host", "left").select("host", "seed", F.coalesce("constant", none).alias("constant"))
 
 
@@ -475,7 +535,7 @@ def _reference(matcher: Matcher, trees: dict, name: str, seed: str) -> tuple[Nod
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """``page_id, url, text, n_chars`` of every page."""
-    pages = pick(df, page_id=id_col, url=url_col, html=html_col).withColumn("host", host(F.col("url")))
+    pages = grouped(pick(df, page_id=id_col, url=url_col, html=html_col).withColumn("host", host(F.col("url"))))
     wrappers = write_table(induce(pages), "wrappers")
     # a wrapper without constant nodes takes nothing away: its pages need no alignment
     wrappers = wrappers.filter(F.size("constant") > 0)
@@ -499,6 +559,13 @@ def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_c
                     tree, gone = matcher.tree(page), set(constant)
                     pairs = matcher.align(tree, ref)
                     template = {id(p) for p, q in pairs if q.tag == "#text" and at[id(q)] in gone and same_text(p, q)}
+                    if constant[0] < -1:
+                        blocks = article_blocks(tree, template)
+                        own = {id(n): len(n.text) for block in blocks for n in block if n.tag == "#text"}
+                        more = {n for n, key in other_texts(blocks, template).items() if key in gone}
+                        # pages that share most of their text are copies of each other, not template
+                        if 2 * sum(own[n] for n in more) < sum(own.values()):
+                            template |= more
                     texts.append(main_text(tree, template))
                 cols = [part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, arrow, strict=True)], schema=arrow)

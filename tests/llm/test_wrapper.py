@@ -128,3 +128,30 @@ def test_named_element_with_most_of_the_text_stays():
     assert W.main_text(W.parse(f"<p>{LONG}</p>{extras}"), set()) == LONG
     related = '<div class="related"><article>Teaser</article></div>'
     assert W.main_text(W.parse(f"<article>{LONG}</article>{related}"), set()) == LONG
+
+
+def _texts(spark, pages):
+    return {r.page_id: r.text for r in W.extract(frame(spark, pages)).collect()}
+
+
+def test_layouts_have_templates_of_their_own(spark):
+    one = "<body><div class='blog'><article><h1>T {n}</h1><p>Story of {n} and {m}</p><p>Share it</p></article></div></body>"
+    two = "<body><main class='shop'><table><tr><td>Item {n} at {m}</td></tr></table><section>Call us</section></main></body>"
+    error = "<body><div class='error'><p>Gone {n}</p></div></body>"
+    made = [(i, (one, one, one, two, two)[i % 5] if i else error, i * 37 + 5) for i in range(40)]
+    pages = [(i, "http://mixed.example/", page.format(n=f"n{m}", m=f"m{m}")) for i, page, m in made]
+    want = {i: f"T n{m} Story of n{m} and m{m}" if page == one else f"Item n{m} at m{m}" if page == two else f"Gone n{m}" for i, page, m in made}
+    assert _texts(spark, pages) == want
+
+
+def test_template_that_the_reference_lacks(spark):
+    page = "<body><article><p>Story of {n}, of {n} again</p>{more}</article></body>"
+    ids = spark.range(20).selectExpr("id", "xxhash64(id) as h").orderBy("h").collect()
+    first = ids[0].id
+    pages = [(i, "http://a/", page.format(n=f"n{i}", more="" if i == first else "<p>Share it</p>")) for i in range(20)]
+    assert _texts(spark, pages) == {i: f"Story of n{i}, of n{i} again" for i in range(20)}
+    # near copies of one another that differ from the reference keep their common text
+    copies = [(i, "http://a/", page.format(n="x", more=f"<p>A long text {'on the same words ' * 9}</p><p>Seen {i}</p>")) for i in range(20)]
+    copies[first] = pages[first]
+    got = _texts(spark, copies)
+    assert all("A long text" in got[i] and f"Seen {i}" in got[i] for i in range(20) if i != first)
