@@ -1,10 +1,13 @@
 """WARC fixity audit by Merkle trees over records and ordered offset ranges.
 
-An archive is a table of records in stream order: ``pos`` (byte offset in the whole stream),
-``length``, ``digest``. A leaf range covers ``RANGE_BYTES`` of offsets, each level above covers
+An archive is a folder of segment files (Parquet) that hold the records' bytes in stream order. What
+is audited is read from them: ``pos`` (byte offset in the whole stream), ``length`` and ``digest``, hashed anew. A leaf range covers ``RANGE_BYTES`` of offsets, each level above covers
 ``FANOUT`` ranges of the one below, up to one root. A node's digest covers its children's
 numbers and digests in order. Two replicas are compared from the root down: only children of
-differing nodes are looked at, and in the end the records of differing leaf ranges.
+differing nodes are looked at, and in the end the records of differing leaf ranges. There
+``audit`` compares what lies at the same offset, ``audit_records`` finds each record wherever it lies:
+a lost, added or longer record moves what follows, and equal ranges hold equal records at equal
+offsets, so leaving them out changes no count of copies.
 
 Null pages are empty payloads. Repeated records are records of their own, at their own
 offsets. Empty archives have no node: two of them are equal. DataFrame expressions only.
@@ -12,16 +15,16 @@ offsets. Empty archives have no node: two of them are equal. DataFrame expressio
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sylvan.llm.common import pick
-from sylvan.operators.ordered import running_sums, write_ranged
-from sylvan.session import write_table
+from sylvan.operators.ordered import PID, POS, running_sums, write_ranged
+from sylvan.session import shuffle_partitions, write_table
 
 RANGE_BYTES = 64 << 10
 FANOUT = 16
-SEGMENT_BYTES = 1 << 30  # a WARC file of the stream
+SEGMENT_BYTES = 1 << 30  # a WARC file of the stream; segment files hold less on average
 
 
 def warc_record(page_id: Column, url: Column, html: Column) -> Column:
@@ -38,16 +41,36 @@ def warc_record(page_id: Column, url: Column, html: Column) -> Column:
     return F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
-def write_archive(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Lays the records out in ascending (id, url, digest) order: ``page_id, url, pos, length, digest``."""
+def write_segments(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Writes the records' bytes into segment files, in ascending (id, url, digest) order: ``page_id,
+    url, record``, ``head`` (characters before the payload; null without one), file and place."""
     pages = pick(df, page_id=id_col, url=url_col, html=html_col)
     record = warc_record(F.col("page_id"), F.col("url"), F.col("html"))
-    made = pages.select("page_id", "url", record.alias("record"))
-    rows = made.select(
-        "page_id", "url", F.octet_length("record").cast("bigint").alias("length"), F.sha2("record", 256).alias("digest")
-    )
-    ranged = write_ranged(rows, ["page_id", "url", "digest"], "warc-order")
-    return running_sums(ranged, {"pos": F.col("length")}).select("page_id", "url", "pos", "length", "digest")
+    made = pages.withColumn("record", record).withColumn("digest", F.sha2("record", 256))
+    made = made.withColumn("head", F.length("record") - F.length("html") - 4).drop("html")
+    total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
+    parts = max(shuffle_partitions(df.sparkSession), 1 + 2 * total // SEGMENT_BYTES)
+    return write_ranged(made, ["page_id", "url", "digest"], "warc-segments", parts, compression="zstd").drop("digest")
+
+
+def copy_segments(segments: DataFrame, change) -> DataFrame:
+    """Segment files of their own with what ``change`` makes of the pages ``(page_id, url, html, ...)``."""
+    html = F.expr("substring(record, head + 1, length(record) - head - 4)")
+    pages = change(segments.withColumn("html", html).drop("record"))
+    record = warc_record(F.col("page_id"), F.col("url"), F.col("html"))
+    return write_table(pages.withColumn("record", record).drop("html"), "warc-segments", compression="zstd")
+
+
+def read_archive(segments: DataFrame) -> DataFrame:
+    """Reads and hashes the records of segment files: ``page_id, url, pos, length, digest``."""
+    length = F.octet_length("record").cast("bigint").alias("length")
+    index = segments.select("page_id", "url", length, F.sha2("record", 256).alias("digest"), PID, POS)
+    return running_sums(index, {"pos": F.col("length")}).select("page_id", "url", "pos", "length", "digest")
+
+
+def write_archive(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Writes the segment files and reads them: ``page_id, url, pos, length, digest``."""
+    return read_archive(write_segments(df, id_col, url_col, html_col))
 
 
 def digest_of(children: Column) -> Column:
@@ -80,9 +103,8 @@ def _differing(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.filter(~F.col("digest").eqNullSafe(F.col("b_digest"))).select(F.coalesce("at", "b_at").alias("at"))
 
 
-def audit(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``pos, status`` of every record in which the replicas ``(pos, length, digest)`` differ:
-    ``corrupt`` (other bytes), ``missing`` (only in a) or ``extra`` (only in b)."""
+def _bad_ranges(a: DataFrame, b: DataFrame) -> DataFrame:
+    """The numbers (``range``) of the leaf ranges in which two archives differ."""
     tree_a, tree_b = merkle_levels(a), merkle_levels(b)
     while len(tree_a) < len(tree_b):  # a shorter archive has fewer levels: its top stands for all
         tree_a.append(tree_a[-1])
@@ -94,10 +116,44 @@ def audit(a: DataFrame, b: DataFrame) -> DataFrame:
         inside = F.floor(F.col("at") / FANOUT).cast("bigint") == F.col("parent")
         below = [x.join(parents, inside, "left_semi") for x in (level_a, level_b)]
         bad = write_table(_differing(*below), "merkle-bad")
-    ranges = bad.select(F.col("at").alias("range"))
+    return bad.select(F.col("at").alias("range"))
+
+
+def audit(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``pos, status`` of every place in which the replicas ``(pos, length, digest)`` differ:
+    ``corrupt`` (other bytes), ``missing`` (only in a) or ``extra`` (only in b)."""
+    ranges = _bad_ranges(a, b)
     leaf = F.floor(F.col("pos") / RANGE_BYTES).cast("bigint") == F.col("range")
     ra, rb = (x.select("pos", "digest").join(ranges, leaf, "left_semi") for x in (a, b))
     rb = rb.select(F.col("pos").alias("b_pos"), F.col("digest").alias("b_digest"))
     both = ra.join(rb, F.col("pos") == F.col("b_pos"), "full_outer").filter(~F.col("digest").eqNullSafe(F.col("b_digest")))
     status = F.when(F.col("b_pos").isNull(), "missing").when(F.col("pos").isNull(), "extra").otherwise("corrupt")
     return both.select(F.coalesce("pos", "b_pos").alias("pos"), status.alias("status"))
+
+
+def audit_records(a: DataFrame, b: DataFrame) -> DataFrame:
+    """``page_id, url, pos, b_pos, status`` of every record in which the replicas ``(page_id, url, pos,
+    length, digest)`` differ, wherever it lies: ``corrupt`` (other bytes), ``missing`` (only in a) or
+    ``extra`` (only in b; ``pos`` is null). Of equal records the last ones are the surplus."""
+    ranges = _bad_ranges(a, b)
+    leaf = F.floor(F.col("pos") / RANGE_BYTES).cast("bigint") == F.col("range")
+    cols = ["page_id", "url", "digest", "pos"]
+    ra, rb = (x.select(*cols, F.lit(n).alias("in_a")).join(ranges, leaf, "left_semi") for x, n in ((a, 1), (b, 0)))
+    both = ra.unionByName(rb)
+    counts = both.groupBy("page_id", "url", "digest").agg(F.sum("in_a").alias("na"), F.count(F.lit(1)).alias("n"))
+    # counted before rows meet: only records with other numbers of copies are numbered
+    odd = counts.filter("2 * na <> n").select(
+        F.col("page_id").alias("o_id"), F.col("url").alias("o_url"), F.col("digest").alias("o_digest"), F.least("na", F.expr("n - na")).alias("paired")
+    )
+    odd = write_table(odd, "warc-odd")
+    same = F.col("page_id").eqNullSafe(F.col("o_id")) & F.col("url").eqNullSafe(F.col("o_url")) & (F.col("digest") == F.col("o_digest"))
+    number = F.row_number().over(Window.partitionBy("page_id", "url", "digest", "in_a").orderBy("pos"))
+    left = both.join(odd, same).withColumn("k", number).filter("k > paired")
+    left = left.withColumn("k", F.row_number().over(Window.partitionBy("page_id", "url", "in_a").orderBy("pos")))
+    left = write_table(left.select("page_id", "url", "pos", "in_a", "k"), "warc-left")
+    x = left.filter("in_a = 1").drop("in_a")
+    y = left.filter("in_a = 0").select(F.col("page_id").alias("b_id"), F.col("url").alias("b_url"), F.col("pos").alias("b_pos"), F.col("k").alias("b_k"))
+    pair = F.col("page_id").eqNullSafe(F.col("b_id")) & F.col("url").eqNullSafe(F.col("b_url")) & (F.col("k") == F.col("b_k"))
+    status = F.when(F.col("b_pos").isNull(), "missing").when(F.col("pos").isNull(), "extra").otherwise("corrupt")
+    named = [F.coalesce("page_id", "b_id").alias("page_id"), F.coalesce("url", "b_url").alias("url")]
+    return x.join(y, pair, "full_outer").select(*named, "pos", "b_pos", status.alias("status"))

@@ -60,15 +60,14 @@ def damaged(pages: DataFrame) -> DataFrame:
 
 
 def op6_warc_fixity(spark, sf) -> DataFrame:
-    """Audits a damaged replica of the archive of all pages; one row per record, with its place."""
-    pages = read_table(spark, sf, "pages").select("page_id", "url", "html")
-    archive = write_table(fixity.write_archive(pages), "warc-a")
-    record = fixity.warc_record(F.col("page_id"), F.col("url"), F.col("html"))
-    replica = damaged(pages).select(F.col("page_id").alias("id"), F.sha2(record, 256).alias("new_digest"))
-    replica = replica.filter(F.coalesce(F.pmod("id", F.lit(389)) != 5, F.lit(True)))
-    held = archive.join(replica, F.col("page_id").eqNullSafe(F.col("id")))
-    held = write_table(held.select("pos", "length", F.col("new_digest").alias("digest")), "warc-b")
-    found = fixity.audit(archive, held).withColumnRenamed("pos", "found_pos")
+    """Audits a damaged replica of the archive of all pages; one row per record, with its place.
+    Both are segment files of their own, read and hashed; lost records move all that follows them."""
+    segments = fixity.write_segments(read_table(spark, sf, "pages"))
+    lost = F.coalesce(F.pmod("page_id", F.lit(389)) == 5, F.lit(False))
+    copied = fixity.copy_segments(segments, lambda pages: damaged(pages).filter(~lost))
+    archive = write_table(fixity.read_archive(segments), "warc-a")
+    replica = write_table(fixity.read_archive(copied), "warc-b")
+    found = fixity.audit_records(archive, replica).filter("pos is not null").select(F.col("pos").alias("found_pos"), "status")
     rows = archive.join(found, F.col("pos") == F.col("found_pos"), "left")
     segment = F.floor(F.col("pos") / fixity.SEGMENT_BYTES).cast("bigint")
     return rows.select(

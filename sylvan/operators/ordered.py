@@ -20,7 +20,7 @@ PID, POS = "_ord_pid", "_ord_pos"
 _POS_BITS = 33  # monotonically_increasing_id: partition number above, position below
 
 
-def write_ranged(df: DataFrame, keys: Sequence[str], name: str = "ranged", parts: int | None = None) -> DataFrame:
+def write_ranged(df: DataFrame, keys: Sequence[str], name: str = "ranged", parts: int | None = None, **options: str) -> DataFrame:
     """``df`` range-partitioned and sorted by ``keys``, written, with ``_ord_pid`` and ``_ord_pos``."""
     n = parts or shuffle_partitions(df.sparkSession)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
@@ -29,7 +29,7 @@ def write_ranged(df: DataFrame, keys: Sequence[str], name: str = "ranged", parts
     tagged = tagged.withColumn(PID, F.shiftright(POS, _POS_BITS)).withColumn(
         POS, F.col(POS).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
     )
-    return write_table(tagged, name)
+    return write_table(tagged, name, **options)
 
 
 def dense_index(

@@ -56,7 +56,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/sylvan-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def write_table(df: DataFrame, name: str, registry: list[Scratch] | None = None) -> DataFrame:
+def write_table(df: DataFrame, name: str, registry: list[Scratch] | None = None, **options: str) -> DataFrame:
     """Cut lineage by writing parquet to a fresh folder of the shared checkpoint folder.
 
     One job (a reliable ``checkpoint`` needs a second pass or a cache), columnar and
@@ -64,7 +64,7 @@ def write_table(df: DataFrame, name: str, registry: list[Scratch] | None = None)
     the caller deletes the files by ``drop_scratch``.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     if registry is not None:
         registry.append(Scratch(path))
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -123,6 +123,23 @@ def test_audit_of_unequal_archives(spark):
     assert fixity.audit(a, none).filter("status = 'missing'").count() == 4000
 
 
+def test_shifted_records_are_found(spark):
+    """Two archives laid out on their own: what follows a lost, longer or added record is intact."""
+    pages = [(i, f"u{i}", f"page {i} " * 300) for i in range(300)] + [(7, "u7", "page 7 " * 300)] * 2 + [(None, None, None)]
+    held = [p for p in pages if p[0] != 3]
+    held[held.index((7, "u7", "page 7 " * 300))] = (7, "u7", "other")
+    held.remove((7, "u7", "page 7 " * 300))
+    held = [(p[0], p[1], p[2] + "longer") if p[0] == 50 else p for p in held] + [(400, "u400", "new"), (20, "v", "new")]
+    schema = "page_id long, url string, html string"
+    segments = fixity.write_segments(spark.createDataFrame(pages, schema))
+    assert all(r.record.startswith("WARC/1.0") and r.record.endswith("\r\n\r\n") for r in segments.collect())
+    a, b = fixity.read_archive(segments), fixity.write_archive(spark.createDataFrame(held, schema))
+    got = sorted((r.page_id, r.url, r.status) for r in fixity.audit_records(a, b).collect())
+    want = [(3, "u3", "missing"), (7, "u7", "corrupt"), (7, "u7", "missing"), (20, "v", "extra"), (50, "u50", "corrupt"), (400, "u400", "extra")]
+    assert got == want
+    assert fixity.audit_records(a, a).count() == 0
+
+
 def test_damaged_keeps_rows(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     assert damaged(pages).count() == pages.count()
