@@ -48,7 +48,9 @@ def dedupe_text_label(df: DataFrame, text: str = "text", label: str = "label", d
     keep = df.groupBy(F.sha2(F.col(text), 256).alias("_h"), F.col(label)).agg(F.min(doc_id).alias(doc_id))
     # a sort-merge semi-join (it spills): the rows move once, hash-partitioned by doc_id, so
     # the regex work after it is spread over all tasks
-    return df.join(keep.select(doc_id).hint("merge"), doc_id, "left_semi")
+    rows = df.join(keep.select(doc_id).hint("merge"), doc_id, "left_semi")
+    # copies may share their id (the digest of a row without one); they lie in one partition by now
+    return rows.dropDuplicates([doc_id, text, label])
 
 
 def clean(

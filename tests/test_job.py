@@ -62,3 +62,21 @@ def test_own_json_table_without_ids(spark):
         params=JobParams(min_df=10, max_depth=2, stem=False, stop_words=False),
     ).first()
     assert got.n_test > 0 and 0 < got.accuracy <= 1
+
+
+def test_repeated_rows_without_ids_count_once(spark):
+    from sylvan.plans import pipeline as P
+    from sylvan.plans.job import _tables
+    from sylvan.sources.files import read_labelled
+    from sylvan.sources.tables import labelled_text
+    from sylvan.session import scratch_path
+
+    rows = labelled_text(spark, SF001, "lang").selectExpr("text as body", "label as topic").distinct()
+    found = []
+    for name, df in (("once", rows), ("thrice", rows.union(rows).union(rows))):
+        path = scratch_path(spark, name)
+        df.write.json(path)
+        own = read_labelled(spark, path, "json", "body", "topic")
+        feats = P.prepare_table(own, min_df=5, stem=False, drop_accented=False)
+        found.append({k: sorted(map(repr, t.collect())) for k, t in _tables(feats).items()})
+    assert found[0] == found[1]
