@@ -77,6 +77,18 @@ KNOWN = {
     "unlicense": 1.0,
     "zlib": 1.0,
 }
+# More identifiers by family, each version with and without -only and -or-later.
+_FAMILIES = {
+    1.0: ["afl-3.0", "apache-1.0", "apache-1.1", "artistic-2.0", "bsd-4-clause", "bsd-3-clause-clear", "cc-by-1.0", "cc-by-2.0", "cc-by-2.5",
+          "cc-by-3.0", "curl", "ecl-2.0", "mit-0", "ms-pl", "ncsa", "ofl-1.1", "openssl", "postgresql", "psf-2.0", "python-2.0", "upl-1.0",
+          "wtfpl", "x11", "zpl-2.1"],
+    0.6: ["cc-by-sa-1.0", "cc-by-sa-2.0", "cc-by-sa-2.5", "cc-by-sa-3.0", "cddl-1.0", "cddl-1.1", "cpl-1.0", "epl-1.0", "eupl-1.1", "eupl-1.2",
+          "ipl-1.0", "mpl-1.0", "mpl-1.1", "ms-rl",
+          *(f"lgpl-{v}{end}" for v in ("2.0", "2.1", "3.0") for end in ("", "-only", "-or-later"))],
+    0.4: ["cecill-2.1", "osl-3.0", *(f"{kind}{end}" for kind in ("agpl-1.0", "gpl-1.0") for end in ("", "-only", "-or-later"))],
+    0.2: [f"cc-by-{kind}-{v}" for kind in ("nc", "nd", "nc-sa", "nc-nd") for v in ("1.0", "2.0", "2.5", "3.0", "4.0")],
+}
+KNOWN |= {name: value for value, names in _FAMILIES.items() for name in names}
 PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 # ------------------------------------------------------------------------------------------
 
@@ -91,8 +103,13 @@ _FOLD = bytes(
     for b in range(256)
 )
 _RAW_WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
-_TOKEN = re.compile(rb"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.:+-]*)")
-_LEAD = re.compile(rb"""[ \t]*[:=]?[ \t"']*(?:(?:the|an?)[ \t]+)?""", re.I)
+#: White space with line ends and the comment leaders after them.
+_WRAP = rb"[ \t\f\v]*+(?:(?:\r\n?|\n)[ \t]*+(?:\*++(?!/)|//[/!]?+|#++|;++|--|%++|>++)?+[ \t\f\v]*+)*+"
+_OPERAND = rb"([()]|[A-Za-z0-9][A-Za-z0-9.:+-]*)"
+_TOKEN, _WRAPPED = re.compile(rb"[ \t]*" + _OPERAND), re.compile(_WRAP + _OPERAND)
+_LEAD = re.compile(_WRAP + rb"[:=]?" + _WRAP + rb"""["']*""" + _WRAP + rb"(?:(?:the|an?)(?=\s)" + _WRAP + rb")?", re.I)
+#: The form of a public identifier: a name, a version, perhaps what goes with it.
+_FORM = re.compile(r"[A-Z][A-Za-z]*(?:-[A-Za-z]+)*-\d+\.\d+(?:\.\d+)*(?:-[A-Za-z]+)*\+?|LicenseRef-[A-Za-z0-9.-]+")
 
 
 def parse(tokens: list[str]) -> tuple[list[str], int]:
@@ -149,16 +166,20 @@ def evaluate(postfix: list[str]) -> float:
 
 def expression_at(raw: bytes, pos: int, known_only: bool) -> tuple[str, list[str], float] | None:
     """The licence expression at ``pos``: its text, its identifiers, its value."""
-    pos = _LEAD.match(raw, pos).end()
+    start, pos = pos, _LEAD.match(raw, pos).end()
+    # prose on the line after an empty tag is no identifier
+    known_only = known_only or b"\n" in raw[start:pos] or b"\r" in raw[start:pos]
     tokens: list[str] = []
-    while m := _TOKEN.match(raw, pos):
+    depth = 0
+    while m := (_WRAPPED if depth > 0 or not tokens or tokens[-1].lower() in PRECEDENCE else _TOKEN).match(raw, pos):
         tokens.append(m[1].decode("ascii"))
+        depth += (m[1] == b"(") - (m[1] == b")")
         pos = m.end()
     if tokens:  # a full stop that ends the sentence is not part of an identifier
         tokens[-1] = tokens[-1].rstrip(".:-")
     postfix, n = parse(tokens)
     ids = [t for t in postfix if t not in PRECEDENCE]
-    if not ids or known_only and ids[0].lower().rstrip("+") not in KNOWN:
+    if not ids or known_only and ids[0].lower().rstrip("+") not in KNOWN and not _FORM.fullmatch(ids[0]):
         return None
     return " ".join(tokens[:n]), ids, evaluate(postfix)
 

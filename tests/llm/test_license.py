@@ -55,3 +55,22 @@ def test_query_columns(spark):
     df = op1_license_scan(spark, "/root/testdata/sf0.001")
     assert df.count() == 200
     assert [f.dataType.simpleString() for f in df.schema][:8] == ["bigint"] * 5 + ["string", "string", "double"]
+
+
+def test_wrapped_expressions_and_other_identifiers():
+    auto = L._automaton()
+    want = {
+        "Licensed under\nMIT OR Apache-2.0": ["MIT OR Apache-2.0"],
+        "SPDX-License-Identifier: (MIT OR\n Apache-2.0)": ["( MIT OR Apache-2.0 )"],
+        " * Licensed under the\r\n * MIT": ["MIT"],
+        "# SPDX-License-Identifier: GPL-2.0 WITH\n# Classpath-exception-2.0\n# More": ["GPL-2.0 WITH Classpath-exception-2.0"],
+        "SPDX-License-Identifier:\n// MIT\n// AND more": ["MIT"],
+        "SPDX-License-Identifier:\n\nSome prose": [],
+        "Licensed under\na bridge": [],
+        "licensed under EUPL-1.2": ["EUPL-1.2"],
+        "released under the CC-BY-SA-3.0": ["CC-BY-SA-3.0"],
+        "licensed under LGPL-2.1-or-later.": ["LGPL-2.1-or-later"],
+        "available under Sleepycat-9.1": ["Sleepycat-9.1"],
+        "available under COVID-19": [],
+    }
+    assert {text: L.scan(text.encode(), auto)["expressions"] for text in want} == want
