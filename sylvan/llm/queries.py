@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylvan.llm import dac, fixity, license_scan, merkle, mixing, repetition, simhash, token_count, unigram, wrapper
+from sylvan.llm import align, dac, filter_audit, fixity, license_scan, merkle, mixing, repetition, simhash, token_count, unigram, wrapper
 from sylvan.session import scratch_path, write_table
 from sylvan.sources.tables import read_table
 
@@ -104,10 +104,20 @@ def op10_token_codes(spark, sf) -> DataFrame:
     return dac.read_documents(spark, path, docs.schema["doc_id"].dataType)
 
 
+def op11_token_align(spark, sf) -> DataFrame:
+    paths = tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    return align.alignment(read_table(spark, sf, "documents"), *paths)
+
+
+def op12_filter_audit(spark, sf) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_token_count, op3_merkle_fingerprint, op4_html_extract, op5_quality_rules,
         op6_warc_fixity, op7_source_mix, op8_sentencepiece, op9_simhash, op10_token_codes,
+        op11_token_align, op12_filter_audit,
     )
 }

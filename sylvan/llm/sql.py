@@ -135,9 +135,45 @@ SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM n
 """
 
 
+def _audit() -> str:
+    letters = "(VALUES ('A', 0), ('B', 1), ('C', 2), ('D', 3), ('E', 4)) AS {0}({0}, {0}n)"
+    names = ["p", "q", "r", "s", "t"]
+    distinct = " AND ".join(f"{x} <> {y}" for i, x in enumerate(names) for y in names[i + 1 :])
+    fails = f"""[len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+       100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t), regexp_matches(t, '[#$%&*|]'), later]"""
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), {WORD}) AS words
+           FROM documents),
+e AS (SELECT *, coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, FALSE) AS later FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+      FROM labels GROUP BY doc_id),
+f AS (SELECT part, {fails} AS fails, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic FROM e LEFT JOIN l ON e.doc_id = l.doc_id),
+m AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+o AS (SELECT p || q || r || s || t AS filter_order, [pn, qn, rn, sn, tn] AS line FROM {", ".join(letters.format(x) for x in names)}
+      WHERE {distinct}),
+k AS (SELECT filter_order, step, line[step] + 1 AS own, list_slice(line, 1, step - 1) AS before FROM o, range(1, 6) AS g(step)),
+x AS (SELECT part, filter_order, step, own, n, good, toxic, fails[own] AS fail,
+             list_bool_or(list_transform(before, lambda b: fails[b + 1])) AS gone,
+             len(list_filter(fails, lambda b: b)) AS failed
+      FROM m, k),
+y AS (SELECT part, filter_order, step, own,
+        CAST(sum(CASE WHEN NOT fail AND NOT coalesce(gone, FALSE) THEN n ELSE 0 END) AS BIGINT) AS kept,
+        CAST(sum(CASE WHEN fail AND NOT coalesce(gone, FALSE) THEN n ELSE 0 END) AS BIGINT) AS removed,
+        CAST(sum(CASE WHEN fail AND coalesce(gone, FALSE) THEN n ELSE 0 END) AS BIGINT) AS redundant,
+        CAST(sum(CASE WHEN fail AND failed = 1 THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+        CAST(sum(CASE WHEN fail AND NOT coalesce(gone, FALSE) THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+        CAST(sum(CASE WHEN fail AND NOT coalesce(gone, FALSE) THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+      FROM x GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM y
+"""
+
+
 SQL: dict[str, str] = {
     "op3_merkle_fingerprint": _merkle(),
     "op5_quality_rules": _repetition(),
     "op6_warc_fixity": _fixity(),
     "op7_source_mix": _mixing(),
+    "op12_filter_audit": _audit(),
 }
