@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sylvan.llm import align, dac, filter_audit, fixity, license_scan, merkle, mixing, repetition, simhash, token_count, unigram, wrapper
+from sylvan.llm import align, dac, filter_audit, fixity, license_scan, merkle, mixing, multi_index, repetition, simhash, token_count, unigram, wrapper
 from sylvan.session import scratch_path, write_table
 from sylvan.sources.tables import read_table
 
@@ -113,11 +113,15 @@ def op12_filter_audit(spark, sf) -> DataFrame:
     return filter_audit.audit(read_table(spark, sf, "documents"), read_table(spark, sf, "labels"))
 
 
+def op13_embedding_dedup(spark, sf) -> DataFrame:
+    return multi_index.near_duplicates(read_table(spark, sf, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_license_scan, op2_token_count, op3_merkle_fingerprint, op4_html_extract, op5_quality_rules,
         op6_warc_fixity, op7_source_mix, op8_sentencepiece, op9_simhash, op10_token_codes,
-        op11_token_align, op12_filter_audit,
+        op11_token_align, op12_filter_audit, op13_embedding_dedup,
     )
 }
