@@ -3,9 +3,9 @@
 ``run_table_job`` takes any table with ``doc_id, text, label``; ``run_file_job`` a CSV, JSON or
 Parquet path with column names; ``run_job`` one of the driver profiles. The job prepares or
 reloads the features, grows or reloads the forest, then scores the test rows. Prepared tables
-(in the chosen format) and the forest (parquet) live under one store folder:
-``features/{train,test,postings,vocab,terms,sizes}`` and ``forest/rule=…/tree=…``. What follows
-reads the stored tables, in a computing run as in a loading one.
+(in the chosen format) and the forest (parquet) live under one store folder, ``features`` and
+``forest/<rule>``, as versions with a manifest (``sources.store``). What follows reads the stored
+tables, in a computing run as in a loading one; a loading run asks for the same parameters.
 Defaults are the classic job's: minimum word occurrences 200, the map-reduce rule, depth 20,
 and stemming with stop-word removal.
 """
@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sylvan.operators import features as X
 from sylvan.plans import pipeline as P
+from sylvan.session import table_scope
 from sylvan.sources.files import load_forest, read_labelled, save_forest
+from sylvan.sources.store import StoreError, TableStore
 from sylvan.sources.tables import PROFILES, labelled_text
 
 
@@ -41,40 +43,40 @@ def _tables(feats: X.Features) -> dict[str, DataFrame]:
     }
 
 
-#: Stored columns in DDL; ``{id}`` is the id's type.
-SCHEMAS = {
-    "train": "doc_id {id}, label string, tokens array<string>",
-    "test": "doc_id {id}, label string, tokens array<string>",
-    "postings": "doc_id {id}, label string, term string",
-    "vocab": "term string, df bigint",
-    "terms": "doc_id {id}, label string, terms array<string>",
-    "sizes": "label string, n_train bigint",
-}
+def save_features(feats: X.Features, store: str, fmt: str = "parquet", params: dict | None = None) -> None:
+    """The prepared tables as one version of ``store/features``: readers see all of them or none."""
+    info = {"kind": "features", "params": params or {}, "labels": feats.labels, "vocab_size": feats.vocab_size}
+    _features_store(feats.posts.sparkSession, store).commit(_tables(feats), info, fmt)
 
 
-def save_features(feats: X.Features, store: str, fmt: str = "parquet") -> None:
-    for name, df in _tables(feats).items():
-        df.write.mode("overwrite").format(fmt).save(f"{store.rstrip('/')}/features/{name}")
-
-
-def load_features(spark: SparkSession, store: str, fmt: str = "parquet", id_type: str = "bigint") -> X.Features:
-    """The saved features, table by table. The label list (one string per tree) and the
-    vocabulary size are two small reads."""
-    base = f"{store.rstrip('/')}/features"
-    t = {n: spark.read.schema(ddl.format(id=id_type)).format(fmt).load(f"{base}/{n}") for n, ddl in SCHEMAS.items()}
+def load_features(spark: SparkSession, store: str, id_type: str | None = None, params: dict | None = None) -> X.Features:
+    """The saved features, table by table, with the stored schemas; label list and vocabulary size
+    come from the manifest. ``id_type`` and ``params``, where given, must be those stored."""
+    at = _features_store(spark, store)
+    version = at.latest()
+    stored = version.schema("terms")["doc_id"].dataType.simpleString()
+    if id_type is not None and id_type != stored:
+        raise StoreError(f"the stored ids are {stored}, not {id_type}")
+    if params is not None and params != version.info["params"]:
+        raise StoreError(f"the features were prepared with {version.info['params']}, not {params}")
+    t = {name: at.read(name, version) for name in version.tables}
     return X.Features(
-        labels=sorted(r.label for r in t["sizes"].select("label").collect()),
+        labels=list(version.info["labels"]),
         train_docs=t["train"],
         test_docs=t["test"],
         posts=t["postings"],
         base=t["terms"].select("doc_id", "label"),
         vocab=t["vocab"],
-        vocab_size=t["vocab"].count(),
+        vocab_size=version.info["vocab_size"],
         terms=t["terms"],
         sizes=t["sizes"],
     )
 
 
+def _features_store(spark: SparkSession, store: str) -> TableStore:
+    return TableStore(spark, f"{store.rstrip('/')}/features")
+
+
 def run_table_job(
     raw: DataFrame,
     store: str,
@@ -87,15 +89,19 @@ def run_table_job(
     """Accuracy of the job (one row). With ``compute_*`` off, the stored tables are used."""
     spark = raw.sparkSession
     how = {"stem": params.stem, "stop_words": params.stop_words, "stop_before_stem": params.stop_before_stem}
-    if compute_features:
-        save_features(P.prepare_table(raw, labels, drop_accented, params.min_df, **how), store, params.store_format)
-    feats = load_features(spark, store, params.store_format, raw.schema["doc_id"].dataType.simpleString())
+    prepared = {"min_df": params.min_df, "drop_accented": drop_accented, **how}
     forest_path = f"{store.rstrip('/')}/forest"
-    if compute_forest:
-        nodes = P.train(spark, feats, rule=params.rule, max_depth=params.max_depth)
-        save_forest(nodes, params.rule, forest_path)
-    nodes = load_forest(spark, forest_path, rule=params.rule).drop("rule")
-    return P.evaluate(spark, feats, nodes, **how)[2]
+    with table_scope(spark):  # every table on the way goes when the job ends or fails
+        if compute_features:
+            made = P.prepare_table(raw, labels, drop_accented, params.min_df, **how)
+            save_features(made, store, params.store_format, prepared)
+        feats = load_features(spark, store, raw.schema["doc_id"].dataType.simpleString(), prepared)
+        if compute_forest:
+            nodes = P.train(spark, feats, rule=params.rule, max_depth=params.max_depth)
+            save_forest(nodes, params.rule, forest_path, {**prepared, "max_depth": params.max_depth}, feats.labels)
+        nodes = load_forest(spark, forest_path, rule=params.rule)
+        accuracy = P.evaluate(spark, feats, nodes.drop("rule"), **how)[2]
+        return spark.createDataFrame(accuracy.collect(), accuracy.schema)  # one row
 
 
 def run_file_job(

@@ -407,9 +407,21 @@ def job_from_csv(spark, sf):
     )
 
 
+def job_toxic_store(spark, sf):
+    """IO5 + IO7 with number-like labels (0, 1): the job on the ``toxic`` profile computes and stores,
+    then a second run scores with the loaded features and forest (c45, depth 3)."""
+    from sylvan.plans.job import JobParams, run_job
+    from sylvan.session import scratch_path
+
+    store = scratch_path(spark, "job")
+    params = JobParams(min_df=10, rule="c45", max_depth=3, stem=False, stop_words=False)
+    run_job(spark, sf, store, "toxic", params)
+    return run_job(spark, sf, store, "toxic", params, compute_features=False, compute_forest=False)
+
+
 def forest_store_roundtrip(spark, sf):
     nodes = _forest(spark, sf, "c45", 2)[1]
-    back = IO.load_forest(spark, IO.save_forest(nodes, "c45"))
+    back = IO.load_forest(spark, IO.save_forest(nodes, "c45"), "c45")
     return back.select("rule", "tree", "node", _big("depth"), "term", E.out_score(F.col("score")).alias("score"), "is_leaf", "label")
 
 
@@ -441,5 +453,6 @@ QUERIES = {
         stem_vocabulary, forest_c45_stemmed_depth2, accuracy_mr_stemmed, job_compute_then_load,
         clean_topic_subset, clean_no_alpha_caught, clean_rejects_caught, token_stages_stemmed, token_stages_stop_first,
         doc_terms, route_two_levels, forest_job_defaults, accuracy_job_defaults, forest_role_c45_depth8, job_from_csv,
+        job_toxic_store,
     ]
 }

@@ -159,6 +159,7 @@ SQL = {
     "accuracy_job_defaults": scoring_sql(_ACC, "mr", 20, stem=True, stop_words=True, min_df=200),
     "forest_role_c45_depth8": forest_sql(NODE_OUT, "c45", 8, profile="role", min_df=10),
     "job_from_csv": scoring_sql(_ACC, "mr", 3, stem=True, stop_words=True),
+    "job_toxic_store": scoring_sql(_ACC, "c45", 3, profile="toxic", min_df=10),
     "tree_predict": scoring_sql("SELECT doc_id, tree, pred FROM preds", "c45", 3),
     "forest_predict": scoring_sql("SELECT doc_id, pred FROM voted", "c45", 3),
     "accuracy": scoring_sql(_ACC, "c45", 3),

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: The innermost open ``table_scope``.
+_SCOPE: ContextVar[TableScope | None] = ContextVar("sylvan_scope", default=None)
+
+
 def get_spark(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "sylvan") -> SparkSession:
     """Local session used by tests and bench. On a cluster the caller builds its own."""
     builder = (
@@ -51,9 +58,47 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint folder for written tables."""
+    """A fresh sub-folder of the shared checkpoint folder for written tables; inside a
+    ``table_scope`` that scope owns it."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/sylvan-{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/sylvan-{name}-{uuid.uuid4().hex[:12]}"
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.items.append(Scratch(path))
+    return path
+
+
+class TableScope:
+    """Owns what is written or cached while it is open (IO8), whichever function writes it."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.items: list[Scratch] = []
+        self.cached: list[DataFrame] = []
+
+    def cache(self, df: DataFrame) -> DataFrame:
+        """``df`` held in executor memory and disk until the scope ends."""
+        self.cached.append(df.persist())
+        return self.cached[-1]
+
+    def close(self) -> None:
+        while self.cached:
+            self.cached.pop().unpersist()
+        drop_scratch(self.spark, self.items)
+
+
+@contextmanager
+def table_scope(spark: SparkSession) -> Iterator[TableScope]:
+    """A scope for written tables: when the block ends, normally or by an error, their files and
+    cached copies are freed. Results must have been read, or written elsewhere, by then. Scopes
+    nest: each frees its own."""
+    scope = TableScope(spark)
+    token = _SCOPE.set(scope)
+    try:
+        yield scope
+    finally:
+        _SCOPE.reset(token)
+        scope.close()
 
 
 def write_table(df: DataFrame, name: str, registry: list[Scratch] | None = None, **options: str) -> DataFrame:

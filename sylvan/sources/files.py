@@ -6,11 +6,17 @@ a fresh folder under the session's shared checkpoint folder unless a path is giv
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sylvan.session import scratch_path
+from sylvan.sources.store import StoreError, TableStore, folder_key
+
+RULES = ("c45", "mr")  # the split rules whose forests a store holds
 
 LABELLED_CSV_SCHEMA = T.StructType(
     [
@@ -107,19 +113,52 @@ def json_roundtrip(df: DataFrame) -> DataFrame:
     return read_json(df.sparkSession, path, TOKENS_SCHEMA)
 
 
-def save_forest(nodes: DataFrame, rule: str, path: str | None = None) -> str:
-    """IO5: the node table, partitioned by rule and tree (one folder per tree)."""
-    path = path or scratch_path(nodes.sparkSession, "forest")
-    out = nodes.select(*[F.col(f.name).cast(f.dataType) for f in NODE_SCHEMA.fields]).withColumn("rule", F.lit(rule))
-    out.write.mode("overwrite").partitionBy("rule", "tree").parquet(path)
+def save_forest(
+    nodes: DataFrame, rule: str, path: str | None = None, params: dict | None = None, labels: Sequence[str] | None = None
+) -> str:
+    """IO5: the node table of a forest, one folder per tree, as a version of the rule's store.
+
+    The tree's label is a column of the data (its folder is named by a digest), so any label
+    comes back as it was. The manifest holds the rule, the parameters and the label list, which
+    is one string per tree (taken from the nodes where it is not given)."""
+    spark = nodes.sparkSession
+    path = path or scratch_path(spark, "forest")
+    out = nodes.select(*[F.col(f.name).cast(f.dataType) for f in NODE_SCHEMA.fields], F.lit(rule).alias("rule"))
+    if labels is None:
+        labels = [r.tree for r in nodes.select("tree").distinct().collect()]
+    info = {"kind": "forest", "rule": rule, "params": params or {}, "labels": sorted(labels)}
+    out = out.withColumn("folder", folder_key(F.col("tree")))
+    _forest_store(spark, path, rule).commit({"nodes": out}, info, partition_by={"nodes": ["folder"]})
     return path
 
 
 def load_forest(spark: SparkSession, path: str, rule: str | None = None, trees: list[str] | None = None) -> DataFrame:
-    """IO5 read side; filters on rule / tree prune partitions."""
-    df = spark.read.parquet(path)
-    if rule is not None:
-        df = df.filter(F.col("rule") == rule)
+    """IO5 read side: the newest whole version of a rule's forest (of every rule in ``RULES`` that
+    the store has). A filter on trees prunes their folders. Raises ``StoreError`` where no version
+    is whole."""
+    found = []
+    for r in [rule] if rule is not None else RULES:
+        store = _forest_store(spark, path, r)
+        try:
+            found.append(store.read("nodes", check=True))
+        except StoreError:
+            if rule is not None or (r == RULES[-1] and not found):
+                raise
+    df = found[0]
+    for other in found[1:]:
+        df = df.unionByName(other)
     if trees is not None:
-        df = df.filter(F.col("tree").isin(trees))
-    return df
+        keys = [f"k{hashlib.md5(t.encode()).hexdigest()}" for t in trees]
+        df = df.filter(F.col("folder").isin(keys) & F.col("tree").isin(list(trees)))
+    return df.drop("folder")
+
+
+def forest_info(spark: SparkSession, path: str, rule: str) -> dict:
+    """What the manifest says about a rule's forest: ``rule, params, labels``."""
+    return _forest_store(spark, path, rule).latest().info
+
+
+def _forest_store(spark: SparkSession, path: str, rule: str) -> TableStore:
+    if rule not in RULES:
+        raise ValueError(f"unknown rule {rule!r}")
+    return TableStore(spark, f"{path.rstrip('/')}/{rule}")

@@ -80,3 +80,40 @@ def test_repeated_rows_without_ids_count_once(spark):
         feats = P.prepare_table(own, min_df=5, stem=False, drop_accented=False)
         found.append({k: sorted(map(repr, t.collect())) for k, t in _tables(feats).items()})
     assert found[0] == found[1]
+
+
+LETTERS = ["a", "b", "c", "d", "e"]
+LOOK_ALIKES = ["01", "1", "1.0", "2024-01-01", ""]
+
+
+def _labelled(spark, labels):
+    """Rows whose label shows in their words, well enough for a forest to find."""
+    rows = []
+    for i in range(400):
+        k = i * 7 % 5
+        words = [f"mark{LETTERS[k]}", f"word{LETTERS[i % 3]}", "common"] + ([f"mark{LETTERS[(k + 1) % 5]}"] if i % 11 == 0 else [])
+        rows.append((i, " ".join(words) + f" row{LETTERS[i % 5]}{LETTERS[i // 5 % 5]}{LETTERS[i // 25 % 5]}{LETTERS[i // 125]}", labels[k]))
+    return spark.createDataFrame(rows, "doc_id long, text string, label string")
+
+
+@pytest.mark.parametrize("rule", ["c45", "mr"])
+def test_labels_that_look_like_numbers_change_nothing(spark, rule):
+    from sylvan.plans.job import JobParams, run_table_job
+    from sylvan.session import scratch_path
+    from sylvan.sources.files import forest_info, load_forest
+
+    params = JobParams(min_df=3, rule=rule, max_depth=2, stem=False, stop_words=False)
+    found = []
+    for labels in (LETTERS, LOOK_ALIKES):
+        store = scratch_path(spark, "job-test")
+        found.append(tuple(run_table_job(_labelled(spark, labels), store, params=params).first()))
+        nodes = load_forest(spark, f"{store}/forest", rule)
+        assert dict(nodes.dtypes)["tree"] == "string"
+        assert {r.tree for r in nodes.select("tree").distinct().collect()} == set(labels)
+        assert {r.label for r in nodes.filter("is_leaf").select("label").distinct().collect()} <= {*labels, "Other"}
+        info = forest_info(spark, f"{store}/forest", rule)
+        assert info["labels"] == sorted(labels) and info["rule"] == rule and info["params"]["max_depth"] == 2
+        one = load_forest(spark, f"{store}/forest", rule, trees=[labels[1]])
+        assert {r.tree for r in one.collect()} == {labels[1]} and one.count() < nodes.count()
+    assert found[0][2] > 0.8
+    assert abs(found[0][2] - found[1][2]) < 0.05  # vote ties go to the smaller label, so not always equal
