@@ -36,21 +36,37 @@ def reject_sets(df: DataFrame, drop_accented: bool = True, text: str = "text") -
     return no_alpha.unionByName(df.filter(T.has_accent(F.col(text))))
 
 
+#: Column that the cleaning adds on request: the row key, a name for rows whose ids are null or repeat.
+ROW_KEY = "row_key"
+
+
+def row_key(doc_id: Column, digest: Column, label: Column) -> Column:
+    """The identity of a row, null-safe: a digest of its id, its text's digest and its label."""
+
+    def part(tag: str, c: Column) -> Column:
+        return F.coalesce(F.concat(F.lit(tag), c), F.lit("-"))
+
+    return F.sha2(F.concat_ws("|", part("t", digest), part("i", doc_id.cast("string")), part("l", label)), 256)
+
+
 def dedupe_text_label(df: DataFrame, text: str = "text", label: str = "label", doc_id: str = "doc_id") -> DataFrame:
-    """S2's EXCEPT DISTINCT: one row per (text, label), the smallest id kept.
+    """S2's EXCEPT DISTINCT: one row per (text, label), the one with the smallest id (an id before
+    none). Adds ``row_key``; no two rows share one.
 
     Skew-safe: the group key is a 256-bit hash of the text plus the label, and the
     aggregate is ``min(doc_id)`` (partial aggregation combines a hot group map-side);
-    only ids are shuffled for it. The rows are hashed once, then meet the kept ids in a
-    semi-join on ``doc_id``. NULL texts form one group per label, as set semantics
+    only ids are shuffled for it. The rows meet the kept keys in a semi-join on the row key, so
+    ids may be null or repeat. NULL texts form one group per label, as set semantics
     treat NULLs as equal.
     """
-    keep = df.groupBy(F.sha2(F.col(text), 256).alias("_h"), F.col(label)).agg(F.min(doc_id).alias(doc_id))
-    # a sort-merge semi-join (it spills): the rows move once, hash-partitioned by doc_id, so
+    digest = F.sha2(F.col(text), 256)
+    keep = df.groupBy(digest.alias("_h"), F.col(label)).agg(F.min(doc_id).alias(doc_id))
+    keep = keep.select(row_key(F.col(doc_id), F.col("_h"), F.col(label)).alias(ROW_KEY))
+    # a sort-merge semi-join (it spills): the rows move once, hash-partitioned by their key, so
     # the regex work after it is spread over all tasks
-    rows = df.join(keep.select(doc_id).hint("merge"), doc_id, "left_semi")
-    # copies may share their id (the digest of a row without one); they lie in one partition by now
-    return rows.dropDuplicates([doc_id, text, label])
+    rows = df.withColumn(ROW_KEY, row_key(F.col(doc_id), digest, F.col(label)))
+    # rows equal in all three are neighbours by now: the aggregate streams along that order
+    return rows.join(keep.hint("merge"), ROW_KEY, "left_semi").dropDuplicates([ROW_KEY])
 
 
 def clean(
@@ -58,10 +74,12 @@ def clean(
     labels: Sequence[str] | None = None,
     drop_accented: bool = True,
     dedupe: bool = True,
+    with_key: bool = False,
 ) -> DataFrame:
-    """F1 -> (F2|F3 rejected) -> S2 dedupe. Returns ``doc_id, text, label``.
+    """F1 -> (F2|F3 rejected) -> S2 dedupe. Returns ``doc_id, text, label``, on request with ``row_key``
+    (needs the dedupe).
 
-    The kept rows are hash-partitioned by ``doc_id`` once: the regex cleaning that
+    The kept rows are hash-partitioned once: the regex cleaning that
     follows runs spread over all tasks whatever the input's file/row-group layout;
     the dedupe semi-join provides that exchange; without dedupe an explicit one does.
     """
@@ -71,7 +89,7 @@ def clean(
         out = dedupe_text_label(out)
     else:
         out = out.repartition(shuffle_partitions(df.sparkSession), "doc_id")
-    return out.select("doc_id", "text", "label")
+    return out.select("doc_id", "text", "label", *([ROW_KEY] if with_key else []))
 
 
 def stem_tokens(df: DataFrame) -> DataFrame:
@@ -110,7 +128,19 @@ def clean_tokens(
     stop_words: bool = False,
     stem: bool = False,
     stop_before_stem: bool = False,
+    with_key: bool = False,
 ) -> DataFrame:
-    """The whole cleaning as one composition (``doc_id, label, tokens``)."""
-    out = with_tokens(clean(df, labels, drop_accented), stop_words, stem, stop_before_stem)
-    return out.select("doc_id", "label", "tokens")
+    """The whole cleaning as one composition (``doc_id, label, tokens``, on request ``row_key``)."""
+    out = with_tokens(clean(df, labels, drop_accented, with_key=with_key), stop_words, stem, stop_before_stem)
+    return out.select("doc_id", "label", "tokens", *([ROW_KEY] if with_key else []))
+
+
+def named_by_key(df: DataFrame) -> DataFrame:
+    """Cleaned rows under their row key as the id (a string), so that no two share one."""
+    return df.withColumn("doc_id", F.col(ROW_KEY)).drop(ROW_KEY)
+
+
+def ids_are_unique(df: DataFrame) -> bool:
+    """Whether every row has an id of its own (one narrow aggregate; read it from a written table)."""
+    odd = df.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("doc_id is null or n > 1")
+    return not odd.limit(1).count()

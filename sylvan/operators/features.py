@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylvan.functions import text as T
+from sylvan.operators.clean import ROW_KEY, ids_are_unique, named_by_key
 from sylvan.operators.ordered import dense_index  # noqa: F401
 from sylvan.session import MAX_BROADCAST_BYTES, write_table
 
@@ -180,12 +181,16 @@ def build_features(
 ) -> Features:
     """From cleaned token rows to the training inputs of the forest.
 
-    The cleaned, split token rows and the training postings are written once (shared
+    The cleaned token rows and the training postings are written once (shared
     checkpoint folder): the regex cleaning then runs a single time, and the base rows,
-    vocabulary, term sets and test rows all read the written tables.
+    vocabulary, term sets and test rows all read the written tables. With a ``row_key``
+    column, rows whose ids are null or repeat are named by it (all rows, so ids have one type).
     """
-    marked = with_split(tokens_df) if split else tokens_df.withColumn("is_train", F.lit(True))
-    marked = write_table(marked, "tokens")
+    marked = write_table(tokens_df, "tokens")
+    if ROW_KEY in marked.columns:
+        # ids that are null or repeat cannot name rows: their keys then do
+        marked = marked.drop(ROW_KEY) if ids_are_unique(marked) else named_by_key(marked)
+    marked = with_split(marked) if split else marked.withColumn("is_train", F.lit(True))
     train = marked.filter("is_train").drop("is_train")
     test = marked.filter(~F.col("is_train")).drop("is_train") if split else train
     posts = write_table(

@@ -95,7 +95,7 @@ def run_table_job(
         if compute_features:
             made = P.prepare_table(raw, labels, drop_accented, params.min_df, **how)
             save_features(made, store, params.store_format, prepared)
-        feats = load_features(spark, store, raw.schema["doc_id"].dataType.simpleString(), prepared)
+        feats = load_features(spark, store, params=prepared)
         if compute_forest:
             nodes = P.train(spark, feats, rule=params.rule, max_depth=params.max_depth)
             save_forest(nodes, params.rule, forest_path, {**prepared, "max_depth": params.max_depth}, feats.labels)

@@ -45,8 +45,9 @@ def prepare_table(
     stop_words: bool = False,
     stop_before_stem: bool = False,
 ) -> X.Features:
-    """Features of any table with ``doc_id, text, label`` (labels None: all that occur)."""
-    toks = clean_tokens(raw, labels, drop_accented)
+    """Features of any table with ``doc_id, text, label`` (labels None: all that occur). Ids may be
+    null or repeat; rows are then named by their row key."""
+    toks = clean_tokens(raw, labels, drop_accented, with_key=True)
     names = X.tree_labels(raw.sparkSession, toks, labels)
     return X.build_features(
         raw.sparkSession, toks, names, min_df, stem=stem, stop_words=stop_words, stop_before_stem=stop_before_stem

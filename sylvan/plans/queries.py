@@ -92,6 +92,16 @@ def clean_except(spark, sf):
     return C.clean(labelled_text(spark, sf, LANG), PROFILES[LANG].labels, drop_accented=True).select("doc_id", "label")
 
 
+def clean_row_identity(spark, sf):
+    """S2 + X1 on ids that are null (every seventh) or shared by two documents: one row per (text,
+    label), each with a key of its own and in exactly one part."""
+    raw = labelled_text(spark, sf, LANG)
+    shared = F.when(F.col("doc_id") % 7 == 3, F.lit(None)).otherwise(F.floor(F.col("doc_id") / 2)).cast("bigint")
+    c = C.clean(raw.withColumn("doc_id", shared), PROFILES[LANG].labels, drop_accented=False, with_key=True)
+    named = X.with_split(c.withColumn("own_id", F.col("doc_id")).transform(C.named_by_key))
+    return named.select("own_id", "label", F.md5("text").alias("text_md5"), F.col("doc_id").alias("row_key"), "is_train")
+
+
 def clean_text(spark, sf):
     c = C.clean(labelled_text(spark, sf, LANG), PROFILES[LANG].labels, drop_accented=False)
     return c.select("doc_id", "label", T.clean_text(F.col("text")).alias("clean_text"))
@@ -453,6 +463,6 @@ QUERIES = {
         stem_vocabulary, forest_c45_stemmed_depth2, accuracy_mr_stemmed, job_compute_then_load,
         clean_topic_subset, clean_no_alpha_caught, clean_rejects_caught, token_stages_stemmed, token_stages_stop_first,
         doc_terms, route_two_levels, forest_job_defaults, accuracy_job_defaults, forest_role_c45_depth8, job_from_csv,
-        job_toxic_store,
+        job_toxic_store, clean_row_identity,
     ]
 }

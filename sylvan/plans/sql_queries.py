@@ -8,9 +8,11 @@ from sylvan.plans.sql_twins import (
     entropy_sql,
     forest_sql,
     gain_ratio_sql,
+    is_train_sql,
     majority_sql,
     mr_score_sql,
     q,
+    reject_sql,
     scoring_sql,
     stem_ctes,
     stop_filter_sql,
@@ -77,7 +79,16 @@ _ACC = (
     "FROM tst t LEFT JOIN voted v ON v.doc_id = t.doc_id"
 )
 
+_KEPT_IDS = f"""
+SELECT own_id, label, md5(text) AS text_md5, row_key, {is_train_sql("row_key")} AS is_train FROM (
+  SELECT own_id, label, text,
+         sha256('t' || sha256(text) || '|' || coalesce('i' || CAST(own_id AS VARCHAR), '-') || '|' || 'l' || label) AS row_key
+  FROM (SELECT min(CASE WHEN doc_id % 7 <> 3 THEN doc_id // 2 END) AS own_id, label, text
+        FROM ({_F1}) WHERE NOT {reject_sql("text", False)} GROUP BY label, text))
+"""
+
 SQL = {
+    "clean_row_identity": _KEPT_IDS,
     "clean_topic_filter": f"SELECT doc_id, label FROM ({_F1})",
     "clean_no_alpha": f"SELECT doc_id, label FROM ({_F1}) WHERE NOT regexp_matches(text, '[a-zA-Z]')",
     "clean_accented": f"SELECT doc_id, label FROM ({_F1}) WHERE regexp_matches(text, '{ACCENT_CLASS}')",

@@ -75,3 +75,48 @@ def test_stop_words_keep_order_and_duplicates(spark):
     from pyspark.ml.feature import StopWordsRemover
 
     assert SPARK_ENGLISH_STOP_WORDS == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_null_and_repeated_ids_follow_except_distinct(spark):
+    from sylvan.operators import features as X
+    from sylvan.operators.clean import ids_are_unique, named_by_key
+
+    rows = [
+        (None, "only here", "A"),
+        (None, "only there", "A"),
+        (None, "only here", "A"),  # equal in all: one stays
+        (1, "abc def", "A"),
+        (2, "abc def", "A"),  # a copy of 1
+        (2, "ghi", "A"),  # shares its id with a copy that went
+        (3, "xyz", "A"),
+        (3, "uvw", "A"),  # an id of two rows
+        (3, "xyz", "B"),
+        (None, "xyz", "B"),  # an id comes before none
+        (4, None, "A"),
+        (None, None, "A"),
+        (5, "", "B"),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    got = clean(df, ["A", "B"], with_key=True)
+    seen = sorted([(r.doc_id, r.text, r.label) for r in got.collect()], key=repr)
+    want = [(None, "only here", "A"), (None, "only there", "A"), (1, "abc def", "A"), (2, "ghi", "A"), (3, "xyz", "A"),
+            (3, "uvw", "A"), (3, "xyz", "B"), (4, None, "A")]
+    assert seen == sorted(want, key=repr)  # the empty text has no letter
+    assert not ids_are_unique(got) and ids_are_unique(named_by_key(got))
+    parts = X.with_split(named_by_key(got)).groupBy("is_train").count().collect()
+    assert sum(r["count"] for r in parts) == len(want) and all(r.is_train is not None for r in parts)
+
+
+def test_features_of_rows_without_usable_ids(spark):
+    from sylvan.plans import pipeline as P
+
+    words = ["red", "blue", "green", "grey", "pink"]
+    rows = [(i, f"{words[i % 5]} {words[i // 5 % 5]} {words[i // 25 % 5]} x{'abcde'[i // 125]}", "A" if i % 5 < 2 else "B") for i in range(400)]
+    plain = spark.createDataFrame(rows, SCHEMA)
+    found = []
+    for change in ("doc_id", "cast(null as bigint)", "doc_id % 3"):
+        feats = P.prepare_table(plain.withColumn("doc_id", F.expr(change)), ["A", "B"], min_df=2)
+        n = feats.base.count() + feats.test_docs.count()
+        assert n == len({r[1:] for r in rows}) and feats.terms.select("doc_id").distinct().count() == feats.base.count()
+        found.append(feats.base.schema["doc_id"].dataType.simpleString())
+    assert found == ["bigint", "string", "string"]

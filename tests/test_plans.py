@@ -107,8 +107,9 @@ def test_cleaning_moves_the_text_once(spark, no_auto_broadcast):
     from sylvan.sources.tables import labelled_text
 
     plan = _plan(clean(labelled_text(spark, SF001, "lang"), ["de", "en", "es", "fr"], drop_accented=False))
-    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(doc_id" in line]
-    assert len(exchanges) == 2  # the rows (with text) and the kept ids, both by doc_id
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(row_key" in line]
+    assert len(exchanges) == 2  # the rows (with text) and the kept keys, both by row key
+    assert plan.count("Exchange hashpartitioning") == 3 and plan.count("Sort [row_key") == 2  # + the groups' smallest ids
     assert "partial_min" in plan  # dedupe combines copies map-side
 
 
