@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from sylvan.functions import entropy as E
 from sylvan.functions import text as T
 from sylvan.operators import clean as C
+from sylvan.operators import dictionary as D
 from sylvan.operators import features as X
+from sylvan.operators import matrix as M
 from sylvan.operators import splits as S
 from sylvan.operators.forest import route, route_root
 from sylvan.operators.forest import tree_rules as render_rules
@@ -24,8 +26,6 @@ from sylvan.sources.tables import PROFILES, labelled_text
 
 LANG = "lang"
 MIN_DF = 50
-# the dense views use this fixed word list (one column per word)
-PIVOT_WORDS = ["and", "de", "der", "el", "et", "la", "le", "the", "und"]
 
 
 def _big(c: str) -> Column:
@@ -196,13 +196,30 @@ def matrix_summary(spark, sf):
     )
 
 
+def _matrix(spark, sf):
+    p = write_table(_train_postings(spark, sf), "postings")
+    return M.blocked_matrix(p, write_table(X.vocabulary(p, MIN_DF), "vocabulary"))
+
+
 def term_pivot(spark, sf):
-    return X.term_pivot(write_table(_train_postings(spark, sf), "postings"), PIVOT_WORDS)
+    """A2 + P7: the whole dense matrix, one row per document and block of words."""
+    blocks = M.dense_blocks(_matrix(spark, sf))
+    return blocks.select("doc_id", "label", _big("block"), F.array_join(F.col("vals").cast("array<string>"), " ").alias("vals"))
 
 
 def term_unpivot(spark, sf):
-    wide = X.term_pivot(write_table(_train_postings(spark, sf), "postings"), PIVOT_WORDS)
-    return X.term_unpivot(wide, PIVOT_WORDS).select("doc_id", "label", "term", _big("value"))
+    """Documents x vocabulary, zeros included."""
+    m = _matrix(spark, sf)
+    return M.unpivot(M.dense_blocks(m), m).select("doc_id", "label", "term", _big("value"))
+
+
+def label_codes(spark, sf):
+    """K1 on rows, in both directions: each row's label coded by the label dictionary, and decoded."""
+    rows = write_table(_cleaned(spark, sf).select("doc_id", "label"), "labelled")
+    names = D.dictionary(rows, "label", "label_index")
+    coded = D.encode(rows, names, "label", "label_index")
+    back = D.decode(coded.select("doc_id", "label_index"), names, "label_index", "label")
+    return back.select("doc_id", "label_index", F.col("label").alias("decoded_label"))
 
 
 # ---- root statistics and scores ------------------------------------------------------------
@@ -463,6 +480,6 @@ QUERIES = {
         stem_vocabulary, forest_c45_stemmed_depth2, accuracy_mr_stemmed, job_compute_then_load,
         clean_topic_subset, clean_no_alpha_caught, clean_rejects_caught, token_stages_stemmed, token_stages_stop_first,
         doc_terms, route_two_levels, forest_job_defaults, accuracy_job_defaults, forest_role_c45_depth8, job_from_csv,
-        job_toxic_store, clean_row_identity,
+        job_toxic_store, clean_row_identity, label_codes,
     ]
 }

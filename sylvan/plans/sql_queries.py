@@ -20,7 +20,6 @@ from sylvan.plans.sql_twins import (
     with_prep,
 )
 from sylvan.functions.text import ACCENT_CLASS, SPARK_ENGLISH_STOP_WORDS
-from sylvan.plans.queries import PIVOT_WORDS
 from sylvan.sources.tables import PROFILES
 
 _LANG_LABELS = ", ".join(q(x) for x in sorted(PROFILES["lang"].labels))
@@ -64,13 +63,11 @@ def _stem_stages(stop_first: bool) -> str:
 
 
 _STOP = ", ".join(q(x) for x in SPARK_ENGLISH_STOP_WORDS)
-_PIVOT_COLS = ", ".join(
-    f"CAST(count(CASE WHEN p.term = {q(w)} THEN 1 END) AS BIGINT) AS \"{w}\"" for w in PIVOT_WORDS
-)
-_PIVOT = f"""
-pv AS (SELECT b.doc_id, b.label, {_PIVOT_COLS}
-       FROM base b LEFT JOIN posts p ON p.doc_id = b.doc_id AND p.term IN ({", ".join(q(w) for w in PIVOT_WORDS)})
-       GROUP BY b.doc_id, b.label)"""
+# every training row with every vocabulary word, numbered in order
+_GRID = """
+tv AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS id FROM vocab),
+grid AS (SELECT b.doc_id, b.label, t.term, t.id, CASE WHEN d.term IS NULL THEN 0 ELSE 1 END AS value
+         FROM base b CROSS JOIN tv t LEFT JOIN dt d ON d.doc_id = b.doc_id AND d.term = t.term)"""
 
 _ACC = (
     "SELECT CAST(count(*) AS BIGINT) AS n_test, "
@@ -136,10 +133,14 @@ SQL = {
         "SELECT (SELECT CAST(count(*) AS BIGINT) FROM base) AS n_docs, (SELECT CAST(count(*) AS BIGINT) FROM vocab) AS n_terms, "
         "(SELECT CAST(count(*) AS BIGINT) FROM dt) AS n_postings"
     ),
-    "term_pivot": _with("," + _PIVOT + "\nSELECT * FROM pv"),
-    "term_unpivot": _with(
-        "," + _PIVOT + "\nSELECT doc_id, label, term, CAST(value AS BIGINT) AS value FROM pv "
-        f"UNPIVOT (value FOR term IN ({', '.join(chr(34) + w + chr(34) for w in PIVOT_WORDS)}))"
+    "term_pivot": _with(
+        "," + _GRID + "\nSELECT doc_id, label, CAST(id // 256 AS BIGINT) AS block, string_agg(CAST(value AS VARCHAR), ' ' ORDER BY id) AS vals "
+        "FROM grid GROUP BY doc_id, label, id // 256"
+    ),
+    "term_unpivot": _with("," + _GRID + "\nSELECT doc_id, label, term, CAST(value AS BIGINT) AS value FROM grid"),
+    "label_codes": _with(
+        ",\nli AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS i FROM (SELECT DISTINCT label FROM tok))\n"
+        "SELECT t.doc_id, CAST(li.i AS BIGINT) AS label_index, t.label AS decoded_label FROM tok t JOIN li ON li.label = t.label"
     ),
     "entropy": _root(f"SELECT tree, CAST(n AS BIGINT) AS n, CAST(k AS BIGINT) AS k, round({entropy_sql('k', 'n')}, 6) AS entropy FROM root"),
     "leaf_label": _root(f"SELECT tree, CAST(n AS BIGINT) AS n, CAST(k AS BIGINT) AS k, {majority_sql('n', 'k', 'tree')} AS label FROM root"),
