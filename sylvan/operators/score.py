@@ -1,7 +1,8 @@
 """Scoring: walk every tree for every row, resolve the votes, measure accuracy.
 
-The walk is a chain of joins with the node table, one per tree level; with the node
-table broadcast (checked row count) the whole chain is one map-only stage.
+The walk is an expression over the row's state array, level by level against constant
+arrays of the nodes: no join, one row per document throughout. Forests above the budget walk by a
+chain of joins, one per tree level.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.functions.text import OTHER
+from sylvan.operators import state as S
 from sylvan.operators.features import maybe_broadcast, trees_column
 
 
@@ -21,12 +23,73 @@ def tree_predict(
     """E1 for all trees: ``(doc_id, *keep, tree, pred)``.
 
     ``docs`` has ``doc_id`` and a term array (test rows are not cut to the vocabulary;
-    membership is all the walk asks). Step d joins the nodes of depth d only, so the side that
-    is joined stays small near the root whatever the size of the forest. A row that meets a
-    leaf takes its label along and joins no more nodes.
+    membership is all the walk asks). A row that meets a leaf takes its label along.
     """
-    nodes = nodes.select("tree", "node", "depth", "term", "is_leaf", F.col("label").alias("_leaf"))
     counts = {r["depth"]: r["c"] for r in nodes.groupBy("depth").agg(F.count(F.lit(1)).alias("c")).collect()}  # one row per level
+    if sum(counts.values()) > S.LITERAL_NODES:
+        return predict_by_joins(nodes, docs, labels, counts, terms_col, keep)
+    steps, _, names = level_steps(nodes, labels)
+    at = walk(S.start(labels), F.coalesce(F.col(terms_col), F.array().cast("array<string>")), steps)
+    rows = docs.select("doc_id", *keep, F.posexplode(at).alias("_tree", "_code"))
+    # a code that is not final: a node that the table lacks
+    pred = F.get(S.lit_array(names, "string"), (-1 - F.col("_code")).cast("int"))
+    tree = F.get(S.lit_array(labels, "string"), F.col("_tree"))
+    return rows.select("doc_id", *keep, tree.alias("tree"), F.coalesce(pred, F.lit(OTHER)).alias("pred"))
+
+
+def level_steps(nodes: DataFrame, labels: Sequence[str], upto: int | None = None) -> tuple[list[S.Step], list[list[tuple[str, str]]], list[str]]:
+    """A forest of at most ``LITERAL_NODES`` nodes as steps, the (tree, path) of each level's numbers, and
+    the leaf labels: label i has the final code ``-1 - i``."""
+    got = nodes.select("tree", "node", "depth", "term", "is_leaf", "label").collect()
+    names = sorted({r.label for r in got if r.is_leaf and r.label is not None} | {OTHER})
+    code = {x: -1 - i for i, x in enumerate(names)}
+    by_depth: dict[int, dict] = {}
+    for r in got:
+        by_depth.setdefault(r.depth, {})[r.tree, r.node] = r
+    place = [[(t, "") for t in labels]]  # the roots, one per tree
+    steps = []
+    for d in range(len(by_depth) if upto is None else upto):
+        here, nxt = by_depth.get(d, {}), []
+        step = S.Step()
+        for tree, path in place[-1]:
+            r = here.get((tree, path))
+            if r is None or r.is_leaf:
+                final = code[r.label if r is not None and r.label is not None else OTHER]
+                to = (final, final)
+            else:
+                to = (len(nxt), len(nxt) + 1)
+                nxt += [(tree, path + "L"), (tree, path + "R")]
+            step.terms.append(None if r is None else r.term)
+            step.with_term.append(to[0])
+            step.without.append(to[1])
+        steps.append(step)
+        place.append(nxt)
+    return steps, place, names
+
+
+def walk(at, terms, steps: Sequence[S.Step], element: str = "string"):
+    """The state after the steps."""
+    for step in steps:
+        at = S.advance(at, terms, step, element)
+    return at
+
+
+def route(nodes: DataFrame, rows: DataFrame, labels: Sequence[str], levels: int) -> DataFrame:
+    """``doc_id, tree, node``: where the rows of inner nodes sit after ``levels`` levels (rows that ended
+    in a leaf before are left out)."""
+    steps, place, _ = level_steps(nodes, labels, levels)
+    at = walk(S.start(labels), F.col("terms"), steps)
+    here = rows.select("doc_id", F.explode(S.under_way(at)).alias("_code"))
+    number = F.shiftright("_code", 1).cast("int")
+    name = lambda k: F.get(S.lit_array([p[k] for p in place[-1]], "string"), number)
+    return here.select("doc_id", name(0).alias("tree"), name(1).alias("node"))
+
+
+def predict_by_joins(
+    nodes: DataFrame, docs: DataFrame, labels: Sequence[str], counts: dict[int, int], terms_col: str, keep: Sequence[str]
+) -> DataFrame:
+    """``tree_predict`` for forests of any size: step d joins the nodes of depth d only."""
+    nodes = nodes.select("tree", "node", "depth", "term", "is_leaf", F.col("label").alias("_leaf"))
     state = docs.select(
         "doc_id",
         *keep,

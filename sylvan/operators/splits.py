@@ -1,7 +1,7 @@
 """Per-node term statistics, the two scoring rules and the best split per node.
 
 One statistics job serves every tree and every open node of a level: the keys
-are ``(tree, node, term)`` and partial aggregation combines hot terms map-side.
+are ``(node, term)`` and partial aggregation combines hot terms map-side.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from sylvan.functions import entropy as E
 from sylvan.operators.features import trees_column
 
 NODE_KEYS = ["tree", "node"]
+_TERM_BITS = 31  # of a (node, term) number
 
 
 def root_stats(terms: DataFrame, labels: Sequence[str]) -> DataFrame:
@@ -37,26 +38,23 @@ def spread_over_trees(counts: DataFrame, labels: Sequence[str]) -> DataFrame:
     return fan.select("tree", F.lit("").alias("node"), "term", "n1", k1.alias("k1"))
 
 
-def level_stats(assign: DataFrame, terms: DataFrame, open_nodes: DataFrame) -> DataFrame:
-    """A6 + A7 (+ J1) below the root: ``(tree, node, term, n1, k1)`` over the open nodes.
+def level_stats(rows: DataFrame) -> DataFrame:
+    """A6 + A7 (+ J1) below the root: ``(node, term, n1, k1)`` of the rows' ``terms`` (numbers) and states ``at``.
 
-    ``assign`` (doc_id, tree, node, y) and ``terms`` (doc_id, terms) are bucketed by
-    ``doc_id`` alike, so their join needs no exchange; a bucket's assignments (about
-    ``PAIRS_PER_BUCKET``) are its hash table, so it needs no sort either. ``open_nodes`` is a
-    node-level table (broadcast by the caller after a size check).
-    """
-    active = assign.join(open_nodes.select(*NODE_KEYS), NODE_KEYS, "left_semi")
-    rows = terms.select("doc_id", "terms").join(active.hint("shuffle_hash"), "doc_id")
-    rows = rows.select("tree", "node", "y", F.explode("terms").alias("term"))
-    return rows.groupBy("tree", "node", "term").agg(
-        F.count(F.lit(1)).alias("n1"), F.sum("y").cast("bigint").alias("k1")
-    )
+    Each row's words are exploded once and meet the row's own codes; what is shuffled, after the
+    partial (map-side) phase, is one number per (node, term)."""
+    each = rows.select(F.explode("terms").alias("term"), "at").select("term", F.explode("at").alias("code"))
+    y = F.col("code").bitwiseAND(F.lit(1).cast("bigint"))
+    key = F.shiftleft(F.shiftright("code", 1), _TERM_BITS).bitwiseOR(F.col("term").cast("bigint"))
+    sums = each.select(key.alias("key"), y.alias("y")).groupBy("key").agg(F.count(F.lit(1)).alias("n1"), F.sum("y").alias("k1"))
+    term = F.col("key").bitwiseAND(F.lit((1 << _TERM_BITS) - 1)).cast("int")
+    return sums.select(F.shiftright("key", _TERM_BITS).alias("node"), term.alias("term"), "n1", "k1")
 
 
-def scored_candidates(stats: DataFrame, open_nodes: DataFrame, rule: str) -> DataFrame:
+def scored_candidates(stats: DataFrame, open_nodes: DataFrame, rule: str, keys: Sequence[str] = NODE_KEYS) -> DataFrame:
     """Every term with a statistics row, with its ``score`` under ``rule`` ('c45' or 'mr'; NULL:
-    no candidate). Columns: tree, node, term, n1, k1, n, k, score, pseudo (0)."""
-    j = stats.join(open_nodes.select("tree", "node", "n", "k", "path_terms"), NODE_KEYS)
+    no candidate). Columns: keys, term, n1, k1, n, k, score, pseudo (0)."""
+    j = stats.join(open_nodes.select(*keys, "n", "k", "path_terms"), list(keys))
     if rule == "c45":
         out = j.withColumn("score", E.score_c45("n", "k", "n1", "k1")).withColumn("pseudo", F.lit(0))
         # the textbook rule needs both sides non-empty and a strictly positive gain ratio
@@ -80,17 +78,17 @@ def _rank(pseudo: Column, term: Column, n1: Column, k1: Column, score: Column) -
 _SPLIT = ["term", "n1", "k1", "score", "pseudo"]
 
 
-def best_splits(cands: DataFrame) -> DataFrame:
+def best_splits(cands: DataFrame, keys: Sequence[str] = NODE_KEYS) -> DataFrame:
     """The best candidate per node and ``n_present``, its number of statistics rows.
 
     ``min(struct)`` and a count in one aggregate with a partial (map-side) phase: a hot node
     never sends all its candidates to one task.
     """
     key = _rank(*[F.col(c) for c in ("pseudo", "term", "n1", "k1", "score")])
-    best = cands.groupBy(*NODE_KEYS).agg(
+    best = cands.groupBy(*keys).agg(
         F.min(F.when(F.col("score").isNotNull(), key)).alias("b"), F.count(F.lit(1)).alias("n_present")
     )
-    return best.select("tree", "node", *[F.col(f"b.{c}").alias(c) for c in _SPLIT], "n_present")
+    return best.select(*keys, *[F.col(f"b.{c}").alias(c) for c in _SPLIT], "n_present")
 
 
 def with_absent_terms(nodes: DataFrame, vocab_size: int) -> DataFrame:
@@ -103,7 +101,7 @@ def with_absent_terms(nodes: DataFrame, vocab_size: int) -> DataFrame:
     columns = nodes.withColumn("_zero", zero)
     score = E.score_mr("n", "k", "_zero", "_zero")
     absent = F.lit(vocab_size) - F.size("path_terms") - F.coalesce("n_present", F.lit(0)) > 0
-    pseudo = _rank(F.lit(1), F.lit(None).cast("string"), zero, zero, score)
+    pseudo = _rank(F.lit(1), F.lit(None).cast(nodes.schema["term"].dataType), zero, zero, score)
     real = _rank(*[F.col(c) for c in ("pseudo", "term", "n1", "k1", "score")])
     best = F.least(F.when(F.col("score").isNotNull(), real), F.when(absent & score.isNotNull(), pseudo))
     kept = [c for c in nodes.columns if c not in _SPLIT]

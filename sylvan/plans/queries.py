@@ -17,8 +17,8 @@ from sylvan.operators import dictionary as D
 from sylvan.operators import features as X
 from sylvan.operators import matrix as M
 from sylvan.operators import splits as S
-from sylvan.operators.forest import route, route_root
 from sylvan.operators.forest import tree_rules as render_rules
+from sylvan.operators.score import route
 from sylvan.plans import pipeline as P
 from sylvan.sources import files as IO
 from sylvan.session import write_table
@@ -335,18 +335,13 @@ def tree_rules(spark, sf):
 def route_level(spark, sf):
     """Where every training row sits in every tree after the root split (level 1)."""
     feats, nodes = _forest(spark, sf, "c45", 1)
-    splits = nodes.filter(~F.col("is_leaf")).select("tree", "node", "term", F.lit(True).alias("open_l"), F.lit(True).alias("open_r"))
-    splits = X.maybe_broadcast(splits, len(feats.labels))
-    return route_root(feats.terms, splits, feats.labels).select("doc_id", "tree", "node")
+    return route(nodes, feats.terms, feats.labels, 1)
 
 
 def route_two_levels(spark, sf):
-    """Where every training row sits after two levels, the second step by ``forest.route``."""
+    """Where every training row sits after two levels."""
     feats, nodes = _forest(spark, sf, "c45", 2)
-    opened = nodes.filter(~F.col("is_leaf")).select("tree", "node", "depth", "term", F.lit(True).alias("open_l"), F.lit(True).alias("open_r"))
-    first, second = (X.maybe_broadcast(opened.filter(F.col("depth") == d), 2 * len(feats.labels)) for d in (0, 1))
-    rows = write_table(route_root(feats.terms, first, feats.labels), "routed")
-    return route(rows, feats.terms, second).select("doc_id", "tree", "node")
+    return route(nodes, feats.terms, feats.labels, 2)
 
 
 def _scored(spark, sf):

@@ -71,8 +71,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 class TableScope:
     """Owns what is written or cached while it is open (IO8), whichever function writes it."""
 
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
+    def __init__(self, spark: SparkSession, parent: TableScope | None = None):
+        self.spark, self.parent = spark, parent
         self.items: list[Scratch] = []
         self.cached: list[DataFrame] = []
 
@@ -81,6 +81,14 @@ class TableScope:
         self.cached.append(df.persist())
         return self.cached[-1]
 
+    def result(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        """``df`` written for the scope around this one (or for the caller), so that it outlives this one."""
+        token = _SCOPE.set(self.parent)
+        try:
+            return write_table(df, name, **options)
+        finally:
+            _SCOPE.reset(token)
+
     def close(self) -> None:
         while self.cached:
             self.cached.pop().unpersist()
@@ -92,7 +100,7 @@ def table_scope(spark: SparkSession) -> Iterator[TableScope]:
     """A scope for written tables: when the block ends, normally or by an error, their files and
     cached copies are freed. Results must have been read, or written elsewhere, by then. Scopes
     nest: each frees its own."""
-    scope = TableScope(spark)
+    scope = TableScope(spark, _SCOPE.get())
     token = _SCOPE.set(scope)
     try:
         yield scope

@@ -167,3 +167,20 @@ def test_forest_store_roundtrip(spark, feats):
     only_en = load_forest(spark, path, rule="mr", trees=["en"])
     assert {r.tree for r in only_en.select("tree").distinct().collect()} == {"en"}
     assert only_en.filter(F.col("rule") != "mr").count() == 0
+
+
+def test_levels_above_the_budget_give_the_same_forest(spark, feats, monkeypatch):
+    """Joins in place of constant arrays, for growth and walk alike; and other chain lengths."""
+    from sylvan.operators import forest as W
+    from sylvan.operators import state as S
+    from sylvan.plans import pipeline as P
+
+    def run():
+        nodes = P.train(spark, feats, rule="c45", max_depth=3)
+        return sorted(tuple(r) for r in nodes.collect()), sorted(tuple(r) for r in P.evaluate(spark, feats, nodes)[0].collect())
+
+    want = run()
+    monkeypatch.setattr(W, "CHAIN_STEPS", 1)
+    assert run() == want
+    monkeypatch.setattr(S, "LITERAL_NODES", 0)
+    assert run() == want
