@@ -7,12 +7,15 @@ in the raw text, by a licence expression, which a shunting-yard parser turns int
 and evaluates.
 
 Null and empty texts have no words: counts 0, positions null, labels '' and score 0. Repeated
-rows each get their own result; an empty table gives an empty result.
+rows each get their own result; an empty table gives an empty result. Ties in the score keep the strongest
+evidence. Very long texts are read whole, in time in proportion to their length (an expression is read up to the
+first word that cannot belong to it). Extra columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -112,14 +115,16 @@ _LEAD = re.compile(_WRAP + rb"[:=]?" + _WRAP + rb"""["']*""" + _WRAP + rb"(?:(?:
 _FORM = re.compile(r"[A-Z][A-Za-z]*(?:-[A-Za-z]+)*-\d+\.\d+(?:\.\d+)*(?:-[A-Za-z]+)*\+?|LicenseRef-[A-Za-z0-9.-]+")
 
 
-def parse(tokens: list[str]) -> tuple[list[str], int]:
+def parse(tokens: Iterable[str]) -> tuple[list[str], int]:
     """Postfix form of the longest valid expression that ``tokens`` begins with, and its length.
 
     Shunting-yard: operands go to the output; an operator first moves those of higher or equal
     rank there; parentheses bound a part. A prefix counts as valid where an operand or a
-    closing parenthesis ends it with nothing left open.
+    closing parenthesis ends it with nothing left open. Tokens are taken one by one, up to the first that
+    no expression can go on with; a valid prefix is remembered by its lengths (outside parentheses no more
+    than one operator of each rank waits), so the time grows with the tokens taken.
     """
-    best: tuple[list[str], int] = ([], 0)
+    best: tuple[int, list[str], int] = (0, [], 0)
     out: list[str] = []
     ops: list[str] = []
     operand_next, depth = True, 0
@@ -147,8 +152,8 @@ def parse(tokens: list[str]) -> tuple[list[str], int]:
         else:
             break
         if not operand_next and not depth:
-            best = (out + ops[::-1], i + 1)
-    return best
+            best = (len(out), ops[::-1], i + 1)
+    return out[: best[0]] + best[1], best[2]
 
 
 def evaluate(postfix: list[str]) -> float:
@@ -170,14 +175,20 @@ def expression_at(raw: bytes, pos: int, known_only: bool) -> tuple[str, list[str
     # prose on the line after an empty tag is no identifier
     known_only = known_only or b"\n" in raw[start:pos] or b"\r" in raw[start:pos]
     tokens: list[str] = []
-    depth = 0
-    while m := (_WRAPPED if depth > 0 or not tokens or tokens[-1].lower() in PRECEDENCE else _TOKEN).match(raw, pos):
-        tokens.append(m[1].decode("ascii"))
-        depth += (m[1] == b"(") - (m[1] == b")")
-        pos = m.end()
-    if tokens:  # a full stop that ends the sentence is not part of an identifier
-        tokens[-1] = tokens[-1].rstrip(".:-")
-    postfix, n = parse(tokens)
+
+    def read() -> Iterator[str]:
+        """The tokens, as far as they are asked for; a full stop that ends a sentence ends them."""
+        at, depth = pos, 0
+        while m := (_WRAPPED if depth > 0 or not tokens or tokens[-1].lower() in PRECEDENCE else _TOKEN).match(raw, at):
+            tok = m[1].decode("ascii")
+            tokens.append(tok.rstrip(".:-"))
+            depth += (tok == "(") - (tok == ")")
+            at = m.end()
+            yield tokens[-1]
+            if tokens[-1] != tok:
+                return
+
+    postfix, n = parse(read())
     ids = [t for t in postfix if t not in PRECEDENCE]
     if not ids or known_only and ids[0].lower().rstrip("+") not in KNOWN and not _FORM.fullmatch(ids[0]):
         return None

@@ -74,3 +74,26 @@ def test_wrapped_expressions_and_other_identifiers():
         "available under COVID-19": [],
     }
     assert {text: L.scan(text.encode(), auto)["expressions"] for text in want} == want
+
+
+def test_time_grows_with_the_text():
+    import time
+
+    auto = L._automaton()
+    for unit in ("licensed under (a ", "MIT OR ", "SPDX-License-Identifier: (MIT OR ", "licensed under ((((", "released under MIT AND "):
+        took = []
+        for n in (100_000, 200_000):
+            text = ("licensed under " + unit * (n // len(unit))).encode()
+            begun = time.process_time()
+            L.scan(text, auto)
+            took.append(time.process_time() - begun)
+        assert took[1] < 3 * took[0] + 0.05 and took[1] < 3, (unit, took)
+
+
+def test_an_expression_ends_with_its_sentence():
+    auto = L._automaton()
+    found = lambda t: L.scan(t.encode(), auto)["expressions"]
+    assert found("Licensed under MIT. The rest is prose.") == ["MIT"]
+    assert found("licensed under (MIT licensed under Apache-2.0") == ["Apache-2.0"]
+    # the grammar takes any word as an operand; two in a row end the expression
+    assert found("licensed under MIT OR licensed under ISC") == ["MIT OR licensed", "ISC"]
