@@ -9,12 +9,15 @@ show alike is constant: template. A group of fewer than ``CONSTANT_PAGES`` + 1 p
 its pages, only tags, roles and names tell what is no article. Blocks of a page that hold constant nodes only go; of the
 varying slots, those in the article stay. A page's roles (navigation, advert, comments ...) are
 read from tags and class names, and the article is the ``article``/``main`` element or, without
-one, the whole body. A name or a form takes no article away: an element named like an extra stays
-if it holds most of the text that is not template, or the page's only article or main element.
+one, the whole body. Reader comments always go. Any other name or a form takes no article away: such an
+element stays if nothing else could be the article (no prose outside such elements; within an article or main
+element, no text at all), or if it holds the page's only article or main element.
 
 A null or empty page gives '' and 0. Pages without a host are a host of their own. Repeated
 pages agree with each other: they do not vote (only pages that differ from the reference do),
-so copies never make content look constant. An empty table gives an empty result.
+so copies never make content look constant. Very long pages are read whole; aligning the children of two
+elements takes the product of their numbers. Extra columns are not read, whatever their names. An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -73,7 +76,10 @@ PLAIN_WORDS = frozenset(
     "global google group header holder icon icons inline inner item items left link links list main mobile outer page panel post "
     "primary region right row secondary section site slot sticky text title top unit wp wrap wrapper x".split()
 )
-#: A named element stays if it holds at least half of the text and at least this many characters.
+#: Names of reader comments, and words that go with them.
+COMMENT_WORDS = frozenset("comment commentform commentlist comments disqus replies reply respond".split())
+COMMENT_CONTEXT = frozenset("article blog facebook news reader readers story thread user users".split())
+#: Characters that make prose: a named element is overruled only if no more than this lies elsewhere.
 LEAST_KEPT = 100
 # ------------------------------------------------------------------------------------------
 
@@ -247,7 +253,7 @@ def same_text(a: Node, b: Node) -> bool:
 
 @lru_cache(maxsize=20_000)
 def _kind(attrs: str) -> str:
-    """What an element's attributes say: "hidden" (or a role outside the article), "form", "named", "main" or ""."""
+    """What an element's attributes say: "hidden" (or a role outside the article), "comment", "named", "form", "main" or ""."""
     kind = ""
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
@@ -261,7 +267,9 @@ def _kind(attrs: str) -> str:
         elif name in ("class", "id"):
             for token in value.split():
                 words = set(_WORD.findall(token))
-                if words & DROPPED_WORDS and words <= DROPPED_WORDS | PLAIN_WORDS:
+                if words & COMMENT_WORDS and words <= COMMENT_WORDS | DROPPED_WORDS | PLAIN_WORDS | COMMENT_CONTEXT:
+                    kind = "comment"
+                elif kind != "comment" and words & DROPPED_WORDS and words <= DROPPED_WORDS | PLAIN_WORDS:
                     kind = "named"
     return kind
 
@@ -274,47 +282,68 @@ def is_dropped(node: Node, in_article: bool) -> bool:
 
 
 def is_named(node: Node) -> str:
-    """ "form" or "named" if a form or a name says that the element is no article text."""
+    """ "comment", "named" or "form" if a name or a form says that the element is no article text."""
     if node.tag in ("#text", "#blank", "html", "body"):
         return ""
     kind = _kind(node.attrs) if node.attrs else ""
-    return "named" if kind == "named" else "form" if node.tag == "form" or kind == "form" else ""
+    return kind if kind in ("comment", "named") else "form" if node.tag == "form" or kind == "form" else ""
 
 
 class Weights:
-    """Characters of text below an element that are neither template nor dropped for tag or role."""
+    """Characters of text below an element that are neither template nor dropped for tag or role: in all,
+    without reader comments, and outside any element that goes by a name or is a form."""
 
     def __init__(self, template: set[int]):
         self.template, self.kept = template, {}
 
-    def of(self, top: Node) -> int:
+    def of(self, top: Node) -> tuple[int, int, int]:
         if id(top) not in self.kept:
             stack = [(top, False)]
             while stack:
                 node, done = stack.pop()
                 if done:
-                    self.kept[id(node)] = sum(self.kept.get(id(k), 0) for k in node.kids)
+                    self.kept[id(node)] = self._sum(node)
                 elif node.tag == "#text":
-                    self.kept[id(node)] = 0 if id(node) in self.template else len(" ".join(node.text.split()))
+                    n = 0 if id(node) in self.template else len(" ".join(node.text.split()))
+                    self.kept[id(node)] = (n, n, n)
                 elif node.tag != "#blank" and (node is top or not is_dropped(node, True)):
                     stack.append((node, True))
                     stack.extend((k, False) for k in node.kids)
         return self.kept[id(top)]
 
+    def _sum(self, node: Node) -> tuple[int, int, int]:
+        whole = said = plain = 0
+        for k in node.kids:
+            if id(k) in self.kept:
+                a, b, c = self.kept[id(k)]
+                name = is_named(k)
+                whole += a
+                said += 0 if name == "comment" else b
+                plain += 0 if name else c
+        return whole, said, plain
+
     def goes(self, node: Node, whole: Node) -> bool:
-        """Whether a name or a form takes the element away from ``whole``."""
+        """Whether a name or a form takes the element away from ``whole``.
+
+        Comments always go. Any other name is overruled only where nothing else could be the article:
+        ``whole`` has no text outside such elements (for a whole page: less than prose), and most of
+        its text, comments aside, is here."""
         kind = is_named(node)
         if not kind:
             return False
-        own = self.of(node)
-        return 2 * own < self.of(whole) or own < (LEAST_KEPT if kind == "named" else 1)
+        if kind == "comment":
+            return True
+        own, (_, said, plain) = self.of(node)[1], self.of(whole)
+        if plain and (whole.tag != "#root" or plain >= LEAST_KEPT or own < LEAST_KEPT):
+            return True
+        return 2 * own < said or own < (LEAST_KEPT if kind == "named" else 1)
 
 
 def _holds_article(node: Node) -> bool:
     stack = list(node.kids)
     while stack:
         node = stack.pop()
-        if node.tag in ("article", "main") and is_named(node) != "named":
+        if node.tag in ("article", "main") and is_named(node) not in ("comment", "named"):
             return True
         stack.extend(node.kids)
     return False
@@ -328,9 +357,10 @@ def main_nodes(root: Node, weights: Weights | None = None) -> list[Node]:
     stack = [(root, False, False)]
     while stack:
         node, inside, named = stack.pop()
-        if node.tag[0] == "#" and node.tag != "#root" or is_dropped(node, inside):
+        name = is_named(node)
+        if node.tag[0] == "#" and node.tag != "#root" or is_dropped(node, inside) or name == "comment":
             continue
-        named = named or is_named(node) == "named" and weights.goes(node, root)
+        named = named or name == "named" and weights.goes(node, root)
         if node.tag == "article" and not inside:
             (named_articles if named else articles).append(node)
             inside = True
@@ -363,8 +393,9 @@ def _kept_nodes(main: Node, weights: Weights) -> Iterator[Node | None]:
             yield node
         elif node is main or not is_dropped(node, inside):
             # without an article element, one in a named container is kept with it
-            if node is not main and weights.goes(node, main) and not (main.tag == "#root" and _holds_article(node)):
-                continue
+            if node is not main and weights.goes(node, main):
+                if main.tag != "#root" or is_named(node) == "comment" or not _holds_article(node):
+                    continue
             if node.tag not in INLINE:
                 yield None
                 stack.append(None)

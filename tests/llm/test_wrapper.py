@@ -155,3 +155,40 @@ def test_template_that_the_reference_lacks(spark):
     copies[first] = pages[first]
     got = _texts(spark, copies)
     assert all("A long text" in got[i] and f"Seen {i}" in got[i] for i in range(20) if i != first)
+
+
+COMMENTS = " ".join(f"Reader {i} says that this is a very long answer to what was written above." for i in range(20))
+
+
+@pytest.mark.parametrize("page", [
+    '<article><p>{}</p><section id="comments">{c}</section></article>', '<main><p>{}</p><ol class="commentlist"><li>{c}</li></ol></main>',
+    '<main><p>{}</p><div class="article-comments"><p>{c}</p></div></main>', '<main><p>{}</p><div class="sidebar-widget-area">{c}</div></main>',
+    '<div class="post"><p>{}</p></div><div id="disqus_thread">{c}</div>', '<article><p>{}</p><div class="comment-list"><article>{c}</article></div></article>',
+    '<p>{}</p><div class="user-comments"><article class="entry">{c}</article></div>', '<div class="sidebar"><p>{}</p></div><div id="comments">{c}</div>',
+    '<main><p>{}</p><div class="related">{c}</div><form>{c}</form></main>',
+])
+def test_long_comments_under_an_article_go(page):
+    assert W.main_text(W.parse(page.format(LONG, c=COMMENTS)), set()) == LONG
+
+
+def test_forms_between_paragraphs_go():
+    page = "<p>First short one.</p><form><p>Sign up now for the letter</p></form><p>Second.</p>"
+    assert W.main_text(W.parse(page), set()) == "First short one. Second."
+    assert W.main_text(W.parse(f"<h1>Title</h1><form>{LONG}</form>"), set()) == f"Title {LONG}"
+    assert W.main_text(W.parse(f'<div id="comments"><p>{COMMENTS}</p></div>'), set()) == ""
+
+
+def test_hosts_whose_comments_are_longer_than_their_articles(spark):
+    layouts = [
+        "<body><nav>Home</nav><article><h1>T {n}</h1><p>Post of {n}.</p><section class='comments'>{c}</section></article></body>",
+        "<body><div class='page'><main><p>Post of {n}.</p><ol class='commentlist'>{c}</ol></main><footer>f</footer></div></body>",
+        "<body><div class='content'><p>Post of {n}.</p></div><div id='comments' class='comments-area'>{c}</div></body>",
+    ]
+    pages, want = [], {}
+    for i in range(60):
+        k = i % 3
+        said = "".join(f"<li><p>Reader {j} of {i * 31 + j} thinks {'so ' * (j % 7 + 3)}</p></li>" for j in range(i % 9 + 2))
+        n = f"n{i * 13}"
+        pages.append((i, f"http://host{k}.example/{i}", layouts[k].format(n=n, c=said)))
+        want[i] = f"T {n} Post of {n}." if k == 0 else f"Post of {n}."
+    assert _texts(spark, pages) == want
