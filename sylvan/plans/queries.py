@@ -22,7 +22,7 @@ from sylvan.operators.score import route
 from sylvan.plans import pipeline as P
 from sylvan.sources import files as IO
 from sylvan.session import write_table
-from sylvan.sources.tables import PROFILES, labelled_text
+from sylvan.sources.tables import PROFILES, labelled_text, read_table
 
 LANG = "lang"
 MIN_DF = 50
@@ -462,6 +462,26 @@ def io_json_roundtrip(spark, sf):
     return back.select("doc_id", "label", F.array_join("tokens", " ").alias("tokens"))
 
 
+def io_json_inferred(spark, sf):
+    """IO2: JSON lines whose columns (and types) differ from line to line, read with the inferred and
+    stored schema. The first read finds it, the second takes it from beside the data."""
+    from sylvan.session import scratch_path
+
+    d = read_table(spark, sf, "documents")
+    line = (
+        F.when(F.col("lang") == "en", F.to_json(F.struct("doc_id", F.col("n_chars").alias("n"), "lang")))
+        .when(F.col("lang") == "fr", F.to_json(F.struct("doc_id", (F.col("n_chars") / 2).alias("n"), F.struct("source").alias("extra"))))
+        .when(F.col("lang") == "de", F.to_json(F.struct("doc_id", F.array("source", "lang").alias("tags"))))
+        .otherwise(F.to_json(F.struct("doc_id", F.length("lang").alias("lang"))))
+    )
+    path = scratch_path(spark, "own-json")
+    d.select(line.alias("value")).write.text(path)
+    IO.read_json_inferred(spark, path)
+    t = IO.read_json_inferred(spark, path)
+    tags = F.array_join("tags", ",").alias("tags")
+    return t.select("doc_id", F.col("n").cast("double").alias("n"), "lang", F.col("extra.source").alias("source"), tags)
+
+
 QUERIES = {
     f.__name__: f
     for f in [
@@ -475,6 +495,6 @@ QUERIES = {
         stem_vocabulary, forest_c45_stemmed_depth2, accuracy_mr_stemmed, job_compute_then_load,
         clean_topic_subset, clean_no_alpha_caught, clean_rejects_caught, token_stages_stemmed, token_stages_stop_first,
         doc_terms, route_two_levels, forest_job_defaults, accuracy_job_defaults, forest_role_c45_depth8, job_from_csv,
-        job_toxic_store, clean_row_identity, label_codes,
+        job_toxic_store, clean_row_identity, label_codes, io_json_inferred,
     ]
 }

@@ -185,5 +185,10 @@ SQL = {
     "forest_c45_stemmed_depth2": forest_sql(NODE_OUT, "c45", 2, stem=True, stop_words=True),
     "accuracy_mr_stemmed": scoring_sql(_ACC, "mr", 3, stem=True, stop_words=True),
     "job_compute_then_load": scoring_sql(_ACC, "mr", 3, stem=True, stop_words=True),
+    "io_json_inferred": (
+        "SELECT doc_id, CASE lang WHEN 'en' THEN CAST(n_chars AS DOUBLE) WHEN 'fr' THEN n_chars / CAST(2 AS DOUBLE) END AS n, "
+        "CASE WHEN lang = 'en' THEN lang WHEN lang IN ('fr', 'de') THEN NULL ELSE CAST(length(lang) AS VARCHAR) END AS lang, "
+        "CASE WHEN lang = 'fr' THEN source END AS source, CASE WHEN lang = 'de' THEN source || ',' || lang END AS tags FROM documents"
+    ),
     "io_json_roundtrip": _with("SELECT doc_id, label, array_to_string(tokens, ' ') AS tokens FROM sp WHERE NOT is_train"),
 }

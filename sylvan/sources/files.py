@@ -1,12 +1,14 @@
 """File sources and sinks: CSV / JSON-lines / Parquet with explicit schemas, and the forest store.
 
-Scans take an explicit schema (no inference pass over the data). Written tables go to
+Scans take an explicit schema; JSON of unknown schema is inferred once and the schema stored. Written tables go to
 a fresh folder under the session's shared checkpoint folder unless a path is given.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +64,61 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType = TOKENS_SCHE
     return spark.read.schema(schema).json(path)
 
 
+SIDECAR = "_schema.json"  # Spark's readers skip names that begin with an underscore
+
+
+def read_json_inferred(spark: SparkSession, path: str) -> DataFrame:
+    """IO2: JSON lines of unknown schema under a folder, columns differing from line to line.
+
+    One distributed pass over all lines finds the schema (columns of any line, types wide enough for
+    all of them); it is stored beside the data together with the files' names and sizes. Later
+    scans take it from there, as long as the files are the same, and read with an explicit schema."""
+    folder = path.rstrip("/")
+    files = _listing(spark, folder)
+    stored = _read_text(spark, f"{folder}/{SIDECAR}")
+    said = json.loads(stored) if stored else {}
+    if said.get("files") == files:
+        schema = T.StructType.fromJson(said["schema"])
+    else:
+        schema = spark.read.option("samplingRatio", "1.0").json(folder).schema
+        _write_text(spark, f"{folder}/{SIDECAR}", json.dumps({"files": files, "schema": schema.jsonValue()}))
+    return spark.read.schema(schema).json(folder)
+
+
+def _fs(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _listing(spark: SparkSession, folder: str) -> str:
+    """A digest of the data files' names and sizes."""
+    fs, at = _fs(spark, folder)
+    names = sorted(f"{s.getPath().getName()} {s.getLen()}" for s in fs.listStatus(at) if s.getPath().getName()[0] not in "_.")
+    return hashlib.sha256("\n".join(names).encode()).hexdigest()
+
+
+def _read_text(spark: SparkSession, path: str) -> str | None:
+    fs, at = _fs(spark, path)
+    if not fs.exists(at):
+        return None
+    stream = fs.open(at)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Replaces a small file; a reader sees the old one, none, or the new one whole."""
+    fs, draft = _fs(spark, f"{path.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}")
+    stream = fs.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    _, at = _fs(spark, path)
+    fs.delete(at, False)
+    fs.rename(draft, at)
+
+
 def write(df: DataFrame, path: str, fmt: str = "parquet", **options) -> str:
     """IO4: overwrite a folder with the frame in ``fmt`` (parquet, json or csv)."""
     opts = dict(CSV_OPTIONS) if fmt == "csv" else {}

@@ -146,3 +146,28 @@ def test_parameters_of_a_loading_run_must_match(spark):
         run_job(spark, SF001, store, "lang", JobParams(min_df=10, max_depth=0, stem=True), compute_features=False)
     with pytest.raises(StoreError, match="ids are bigint"):
         load_features(spark, store, id_type="string")
+
+
+def test_inferred_json_schema_is_stored_and_renewed(spark, monkeypatch):
+    from sylvan.session import scratch_path
+    from sylvan.sources import files as IO
+
+    path = scratch_path(spark, "json-test")
+    lines = ['{"a": 1, "b": "x"}', '{"a": 2.5, "c": {"d": [1, 2]}}', '{"b": 7}', '{"e": null}']
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    got = IO.read_json_inferred(spark, path)
+    assert got.schema.simpleString() == "struct<a:double,b:string,c:struct<d:array<bigint>>,e:string>"
+    assert sorted((r.a, r.b) for r in got.filter("a is not null").collect()) == [(1.0, "x"), (2.5, None)]
+    reader = type(spark.read)
+    inferred = []
+    plain = reader.json
+
+    def watched(self, *a, **k):
+        inferred.append(a)
+        return plain(self, *a, **k)
+
+    monkeypatch.setattr(reader, "json", watched)
+    again = IO.read_json_inferred(spark, path)
+    assert again.schema == got.schema and len(inferred) == 1 and again.count() == 4  # one scan, none to infer
+    spark.createDataFrame([('{"z": true}',)], "value string").write.mode("append").text(path)
+    assert "z" in IO.read_json_inferred(spark, path).columns and len(inferred) == 3
