@@ -8,7 +8,8 @@ children's hashes, tagged by level. Column expressions only.
 Null counts as the empty text (one empty block). Rows with equal id and text are one entry of
 the document order and all get its result; equal ids with different texts follow each other by
 digest; null ids come first. The last document's next one is the first; a single document is
-its own next. An empty table gives an empty result.
+its own next. Very long texts are one row each, whole. Extra columns are not read, whatever their names. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from sylvan.session import write_table
 
 BLOCK_WORDS = 8
 #: Hex digits of a block hash that the likeness compares (equality is the root's, in full).
-TAG_DIGITS = 8
+TAG_DIGITS = 16
 
 
 def let(value: Column, body) -> Column:
@@ -67,20 +68,36 @@ def block_tags(tree_col: Column) -> Column:
     return F.array_distinct(F.transform(F.flatten(F.flatten(tree_col)), lambda h: F.substring(h, 1, TAG_DIGITS)))
 
 
-def likeness(root_a: Column, tags_a: Column, root_b: Column, tags_b: Column) -> Column:
-    """1 for equal roots, else the share of common blocks (2 x common / sum of both)."""
+def n_blocks(tree_col: Column) -> Column:
+    """The leaves of a tree, repeats included."""
+    return F.size(F.flatten(F.flatten(tree_col)))
+
+
+def likeness(a: tuple[Column, Column, Column], b: tuple[Column, Column, Column]) -> Column:
+    """Of two trees as (root, tags, leaves): 1 for equal roots, and for those alone.
+
+    Else the smaller of two shares (2 x common / sum of both): of the distinct blocks, and of the leaves, so
+    that repeats count; trees of the same blocks in another order stay one leaf's share below 1."""
+    (root_a, tags_a, n_a), (root_b, tags_b, n_b) = a, b
     common = F.size(F.array_intersect(tags_a, tags_b))
-    return F.when(root_a == root_b, F.lit(1.0)).otherwise(2.0 * common / (F.size(tags_a) + F.size(tags_b)))
+    blocks = 2.0 * common / (F.size(tags_a) + F.size(tags_b))
+    leaves = 2.0 * F.least(n_a, n_b) / (n_a + n_b)
+    return F.when(root_a == root_b, F.lit(1.0)).otherwise(F.least(blocks, leaves, 1.0 - 1.0 / (n_a + n_b)))
 
 
-def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, root, sections``: the whole tree, as sections of (hash, paragraphs (hash, blocks))."""
-    t = pick(df, doc_id=id_col, text=text_col).withColumn("tree", tree(F.col("text")))
+def sections_of(tree_col: Column) -> Column:
+    """The inner nodes of a tree: sections of (hash, paragraphs (hash, blocks))."""
     paragraph = lambda p: F.struct(_node("p", p).alias("hash"), p.alias("blocks"))
     section = lambda s: F.struct(
         _node("s", paragraph_hashes(s)).alias("hash"), F.transform(s, paragraph).alias("paragraphs")
     )
-    return t.select("doc_id", root(F.col("tree")).alias("root"), F.transform("tree", section).alias("sections"))
+    return F.transform(tree_col, section)
+
+
+def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, root, sections``: the whole tree, as sections of (hash, paragraphs (hash, blocks))."""
+    t = pick(df, doc_id=id_col, text=text_col).withColumn("tree", tree(F.col("text")))
+    return t.select("doc_id", root(F.col("tree")).alias("root"), sections_of(F.col("tree")).alias("sections"))
 
 
 def locate_edits(a: Column, b: Column) -> Column:
@@ -108,7 +125,8 @@ def locate_edits(a: Column, b: Column) -> Column:
 
 def compare_with_successor(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Each document against its edited text (second half replaced by the beginning of the next
-    document) and against the next document, in ascending id order.
+    document) and against the next document, in ascending id order; where the edit lies is found by
+    descending only differing sections (``n_edited_paragraphs``; ``first_edit``: section:paragraph from 0).
 
     The order is found on 32-byte keys. Texts are shuffled once by key (both readers share that
     exchange); the next document sends only the prefix that the edit takes, and its block tags.
@@ -135,6 +153,7 @@ def compare_with_successor(df: DataFrame, id_col: str = "doc_id", text_col: str
         F.substring(F.col("text"), F.lit(1), F.col("need")).alias("taken"),
         root(F.col("tree")).alias("next_root"),
         block_tags(F.col("tree")).alias("next_tags"),
+        n_blocks(F.col("tree")).alias("next_leaves"),
     )
     if repeated:  # one donor for each entry; without repeated rows there is nothing to drop
         given = given.dropDuplicates(["prev_k"])
@@ -142,25 +161,32 @@ def compare_with_successor(df: DataFrame, id_col: str = "doc_id", text_col: str
     n = F.length("text")
     kept = n - (n / 2).cast("int")
     both = both.select(
-        "doc_id", n.cast("bigint").alias("n_chars"), "next_doc_id", "next_root", "next_tags",
+        "doc_id", n.cast("bigint").alias("n_chars"), "next_doc_id", "next_root", "next_tags", "next_leaves",
         tree(F.col("text")).alias("tree"),
         F.concat(F.substring(F.col("text"), F.lit(1), kept), F.col("taken")).alias("edited"),
     )
     both = both.withColumn("edited_tree", tree(F.col("edited")))
+    edits = locate_edits(sections_of(F.col("tree")), sections_of(F.col("edited_tree")))
     both = both.select(
-        "doc_id", "n_chars", "next_doc_id", "next_root", "next_tags",
+        "doc_id", "n_chars", "next_doc_id", "next_root", "next_tags", "next_leaves",
         F.sha2("edited", 256).alias("edited_sha256"),
-        root(F.col("tree")).alias("fingerprint"), block_tags(F.col("tree")).alias("tags"),
+        root(F.col("tree")).alias("fingerprint"), block_tags(F.col("tree")).alias("tags"), n_blocks(F.col("tree")).alias("leaves"),
         root(F.col("edited_tree")).alias("edited_fingerprint"), block_tags(F.col("edited_tree")).alias("edited_tags"),
+        n_blocks(F.col("edited_tree")).alias("edited_leaves"),
+        let(edits, lambda e: F.struct(F.size(e).alias("n"), F.get(e, F.lit(0)).alias("first"))).alias("edits"),
     )
-    own = (F.col("fingerprint"), F.col("tags"))
+    side = lambda *names: tuple(F.col(n) for n in names)
+    own = side("fingerprint", "tags", "leaves")
+    first = F.concat(F.col("edits.first.section").cast("string"), F.lit(":"), F.col("edits.first.paragraph").cast("string"))
     return both.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
-        likeness(*own, F.col("edited_fingerprint"), F.col("edited_tags")).alias("near_edited"),
-        likeness(*own, F.col("next_root"), F.col("next_tags")).alias("near_next"),
+        likeness(own, side("edited_fingerprint", "edited_tags", "edited_leaves")).alias("near_edited"),
+        likeness(own, side("next_root", "next_tags", "next_leaves")).alias("near_next"),
         "next_doc_id",
+        F.col("edits.n").cast("bigint").alias("n_edited_paragraphs"),
+        first.alias("first_edit"),
     )

@@ -24,8 +24,18 @@ def _merkle() -> str:
 
     def like(b: str) -> str:
         shared = f"2::DOUBLE * len(list_intersect(o.tags, {b}.tags)) / (len(o.tags) + len({b}.tags))"
-        return f"CASE WHEN o.root = {b}.root THEN 1::DOUBLE ELSE {shared} END"
+        leaves = f"2::DOUBLE * least(o.n, {b}.n) / (o.n + {b}.n)"
+        return f"CASE WHEN o.root = {b}.root THEN 1::DOUBLE ELSE least({shared}, {leaves}, 1 - 1::DOUBLE / (o.n + {b}.n)) END"
 
+    longer = lambda a, b: f"greatest(coalesce(len({a}), 0), coalesce(len({b}), 0))"
+    inside = (
+        f"list_transform(list_filter(range({longer('o.ph[i + 1]', 'e.ph[i + 1]')}), "
+        "lambda j: o.ph[i + 1][j + 1] IS DISTINCT FROM e.ph[i + 1][j + 1]), lambda j: i || ':' || j)"
+    )
+    edits = (
+        f"flatten(list_transform(list_filter(range({longer('o.sh', 'e.sh')}), "
+        f"lambda i: o.sh[i + 1] IS DISTINCT FROM e.sh[i + 1]), lambda i: {inside}))"
+    )
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
 nx AS (
@@ -36,12 +46,16 @@ ed AS (SELECT *, substring(t, 1, n - n // 2) || substring(nt, 1, n // 2) AS edit
 x AS (SELECT doc_id, 'own' AS part, t AS txt FROM ed UNION ALL SELECT doc_id, 'edited', edited FROM ed
       UNION ALL SELECT doc_id, 'next', nt FROM ed),
 tr AS (SELECT doc_id, part, {tree} AS tree FROM x),
-h AS (SELECT doc_id, part, sha256('r' || array_to_string({sections}, '')) AS root,
-             list_distinct(list_transform(flatten(flatten(tree)), lambda b: substr(b, 1, 8))) AS tags FROM tr)
-SELECT ed.doc_id, CAST(ed.n AS BIGINT) AS n_chars, sha256(ed.edited) AS edited_sha256, o.root AS fingerprint,
-       e.root AS edited_fingerprint, {like("e")} AS near_edited, {like("s")} AS near_next, ed.next_doc_id
-FROM ed JOIN h o ON o.doc_id = ed.doc_id AND o.part = 'own' JOIN h e ON e.doc_id = ed.doc_id AND e.part = 'edited'
-JOIN h s ON s.doc_id = ed.doc_id AND s.part = 'next'
+h AS (SELECT doc_id, part, sha256('r' || array_to_string({sections}, '')) AS root, {sections} AS sh,
+             list_transform(tree, lambda s: {paragraphs}) AS ph, len(flatten(flatten(tree))) AS n,
+             list_distinct(list_transform(flatten(flatten(tree)), lambda b: substr(b, 1, 16))) AS tags FROM tr),
+l AS (SELECT ed.doc_id, ed.n, ed.edited, ed.next_doc_id, o.root AS own, e.root AS other, {like("e")} AS near_edited,
+             {like("s")} AS near_next, {edits} AS edits
+      FROM ed JOIN h o ON o.doc_id = ed.doc_id AND o.part = 'own' JOIN h e ON e.doc_id = ed.doc_id AND e.part = 'edited'
+      JOIN h s ON s.doc_id = ed.doc_id AND s.part = 'next')
+SELECT doc_id, CAST(n AS BIGINT) AS n_chars, sha256(edited) AS edited_sha256, own AS fingerprint, other AS edited_fingerprint,
+       near_edited, near_next, next_doc_id, CAST(len(edits) AS BIGINT) AS n_edited_paragraphs, edits[1] AS first_edit
+FROM l
 """
 
 

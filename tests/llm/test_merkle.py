@@ -28,8 +28,19 @@ def brute_root(tree):
 def brute_like(a, b):
     if a == b:
         return 1.0
-    x, y = ({h[:8] for s in brute_tree(t) for p in s for h in p} for t in (a, b))
-    return 2 * len(x & y) / (len(x) + len(y))
+    x, y = ([h[:16] for s in brute_tree(t) for p in s for h in p] for t in (a, b))
+    leaves = len(x) + len(y)
+    return min(2.0 * len(set(x) & set(y)) / (len(set(x)) + len(set(y))), 2.0 * min(len(x), len(y)) / leaves, 1.0 - 1.0 / leaves)
+
+
+def brute_edits(a, b):
+    """Paragraphs that differ, compared place by place."""
+    x, y = ([s.split("\n") for s in t.split("\n\n")] for t in (a, b))
+    out = []
+    for i in range(max(len(x), len(y))):
+        p, q = (z[i] if i < len(z) else [] for z in (x, y))
+        out += [f"{i}:{j}" for j in range(max(len(p), len(q))) if p[j : j + 1] != q[j : j + 1]]
+    return len(out), out[0] if out else None
 
 
 def brute(entries):
@@ -38,10 +49,20 @@ def brute(entries):
         nxt = entries[(k + 1) % len(entries)][1]
         half = len(t) // 2
         edited = t[: len(t) - half] + nxt[:half]
-        yield (i, len(t), sha(edited), brute_root(brute_tree(t)), brute_root(brute_tree(edited)), brute_like(t, edited), brute_like(t, nxt))
+        likes = brute_like(t, edited), brute_like(t, nxt)
+        yield (i, len(t), sha(edited), brute_root(brute_tree(t)), brute_root(brute_tree(edited)), *likes, *brute_edits(t, edited))
+
+
+COLS = (
+    "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "n_edited_paragraphs", "first_edit",
+)
 
 
-COLS = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+def test_likeness_is_one_for_equal_roots_alone(spark):
+    texts = ["a\n" * 1000, "a\n", "a\nb", "b\na", "a b", "a\n"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.near_next for r in merkle.compare_with_successor(df).collect()}
+    assert got[0] < 0.01 and got[2] == 0.75 and got[5] < 0.01 and all(x < 1 for x in got.values())
 
 
 def test_query_against_brute_force(spark):
