@@ -19,6 +19,14 @@ def pick(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*[df[c].alias(name) for name, c in cols.items()])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """``batch`` in consecutive pieces of about ``limit`` text bytes, so memory stays bounded."""
     sizes = batch.column(batch.schema.get_field_index(text)).cast(pa.large_binary())

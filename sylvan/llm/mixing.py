@@ -6,7 +6,8 @@ times plus once more with probability equal to the fraction, drawn from a hash o
 
 A null text has size 0; a null source is a source of its own, last in order. A document
 without an id draws from its text's digest. Repeated rows draw alike. Without any word all
-targets are 0 and nothing is taken. An empty table gives an empty result.
+targets are 0 and nothing is taken. Equal shares of the water-filling are ties without effect. Very long texts
+count whole. Extra columns keep their values, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sylvan.llm.common import pick
+from sylvan.llm.common import free_name, pick
 from sylvan.operators.features import maybe_broadcast
 from sylvan.operators.ordered import dense_index
 from sylvan.session import write_table
@@ -72,18 +73,21 @@ def source_targets(sizes: DataFrame) -> DataFrame:
 
 
 def with_copies(df: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                source_col: str = "source", seed: str = SEED) -> DataFrame:
-    """``df`` plus ``mix_copies``: how often the mix takes each row.
+                source_col: str = "source", seed: str = SEED, copies_col: str = "mix_copies") -> DataFrame:
+    """``df`` plus ``copies_col``, a new column: how often the mix takes each row.
 
     The targets hold one row per source; they are broadcast when that count is small, else
     joined by a shuffle whose hot sources AQE splits.
     """
-    small = targets.select(F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate"))
+    if copies_col.lower() in (c.lower() for c in df.columns):
+        raise ValueError(f"the table has a column {copies_col!r} of its own")
+    of, rate_of = free_name(df, "mix_source"), free_name(df, "mix_rate")
+    small = targets.select(F.col("source").alias(of), F.col("rate").alias(rate_of))
     small = maybe_broadcast(small, targets.count(), 256)
-    joined = df.join(small, df[source_col].eqNullSafe(small["_mix_source"]), "left")
-    rate = F.col("_mix_rate")
+    joined = df.join(small, df[source_col].eqNullSafe(small[of]), "left")
+    rate = F.col(rate_of)
     extra = F.when(draw(df[id_col], df[text_col], seed) < rate - F.floor(rate), 1).otherwise(0)
-    return joined.withColumn("mix_copies", (F.floor(rate) + extra).cast("int")).drop("_mix_source", "_mix_rate")
+    return joined.withColumn(copies_col, (F.floor(rate) + extra).cast("int")).drop(of, rate_of)
 
 
 def mix_plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -104,6 +108,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     """The mixed rows of ``df``: each repeated as often as its source's rate and its draw say."""
     sizes = df.select(F.col(source_col).alias("source"), n_words(F.col(text_col)).alias("size"))
     targets = write_table(source_targets(sizes), "mix-targets")
-    out = with_copies(df, targets, id_col, text_col, source_col).filter("mix_copies > 0")
-    numbered = out.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies"))))
+    copies, number = free_name(df, "mix_copies"), free_name(df, "mix_number")
+    out = with_copies(df, targets, id_col, text_col, source_col, copies_col=copies).filter(F.col(copies) > 0)
+    numbered = out.withColumn(number, F.explode(F.sequence(F.lit(1), F.col(copies))))
     return numbered.select(*df.columns)

@@ -16,7 +16,8 @@ pairs; the stars are merged by min-label rounds over written tables.
 Texts without words have fingerprint zero and link like any other. Copies share one
 fingerprint and are expanded only by the last join. A null text counts as empty; a null id is
 kept, but never names a component unless the whole component has no id; rows with equal ids
-are rows of their own. An empty table gives an empty result.
+are rows of their own. Very long texts are fingerprinted whole. Extra columns keep their values, whatever their
+names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sylvan.llm.common import T_to_arrow, map_text, pick
+from sylvan.llm.common import T_to_arrow, free_name, map_text, pick
 from sylvan.session import write_table
 
 SHINGLE = 4
@@ -314,8 +315,10 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     found = write_table(near_duplicates(rows, "place", "text"), "simhash-rows")
     hits = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id")
     first = write_table(hits.distinct(), "simhash-kept")
-    marked = df.withColumn("_sh_place", place)
-    kept = marked.join(first.hint("shuffle_hash"), marked["_sh_place"] == first["doc_id"], "left_semi")
+    name = free_name(df, "sh_place")
+    first = first.select(F.col("doc_id").alias("sh_kept"))
+    marked = df.withColumn(name, place)
+    kept = marked.join(first.hint("shuffle_hash"), marked[name] == first["sh_kept"], "left_semi")
     if hits.count() > first.count():  # rows equal in id and text
-        kept = kept.dropDuplicates(["_sh_place"])
+        kept = kept.dropDuplicates([name])
     return kept.select(*df.columns)

@@ -38,3 +38,16 @@ def test_stages_keep_columns_and_take_odd_tables(spark, docs, empty):
             at = write_table(stage(spark, at, "/nowhere"), f"test-{name}")
             assert at.columns == df.columns
         assert P.STAGES[-1][1](spark, at, "/nowhere").count() == at.count()
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named like the operators' own, in either case, come through with their values."""
+    from sylvan.llm import mixing, simhash
+
+    names = ["mix_copies", "mix_source", "mix_rate", "mix_number", "sh_place", "sh_kept", "_mix_source", "_sh_place", "MIX_COPIES_"]
+    rows = [(i, f"a text of its own with the number {i} and more words {i * 7}", "s", *[100 * k + i for k in range(len(names))]) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"`{n}` long" for n in names))
+    for stage in (simhash.keep_one, mixing.mix):
+        got = stage(df)
+        assert got.columns == df.columns
+        assert {tuple(r) for r in got.collect()} <= set(rows) and got.count() > 0
