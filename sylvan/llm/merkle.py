@@ -166,7 +166,9 @@ def compare_with_successor(df: DataFrame, id_col: str = "doc_id", text_col: str
         F.concat(F.substring(F.col("text"), F.lit(1), kept), F.col("taken")).alias("edited"),
     )
     both = both.withColumn("edited_tree", tree(F.col("edited")))
-    edits = locate_edits(sections_of(F.col("tree")), sections_of(F.col("edited_tree")))
+    # each side's inner nodes are hashed once, whatever looks at them
+    old, new = sections_of(F.col("tree")), sections_of(F.col("edited_tree"))
+    edits = let(old, lambda a: let(new, lambda b: locate_edits(a, b)))
     both = both.select(
         "doc_id", "n_chars", "next_doc_id", "next_root", "next_tags", "next_leaves",
         F.sha2("edited", 256).alias("edited_sha256"),
