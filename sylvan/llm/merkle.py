@@ -85,9 +85,9 @@ def likeness(a: tuple[Column, Column, Column], b: tuple[Column, Column, Column])
     return F.when(root_a == root_b, F.lit(1.0)).otherwise(F.least(blocks, leaves, 1.0 - 1.0 / (n_a + n_b)))
 
 
-def sections_of(tree_col: Column) -> Column:
-    """The inner nodes of a tree: sections of (hash, paragraphs (hash, blocks))."""
-    paragraph = lambda p: F.struct(_node("p", p).alias("hash"), p.alias("blocks"))
+def sections_of(tree_col: Column, blocks: bool = True) -> Column:
+    """The inner nodes of a tree: sections of (hash, paragraphs (hash[, blocks]))."""
+    paragraph = lambda p: F.struct(_node("p", p).alias("hash"), *([p.alias("blocks")] if blocks else []))
     section = lambda s: F.struct(
         _node("s", paragraph_hashes(s)).alias("hash"), F.transform(s, paragraph).alias("paragraphs")
     )
@@ -167,7 +167,7 @@ def compare_with_successor(df: DataFrame, id_col: str = "doc_id", text_col: str
     )
     both = both.withColumn("edited_tree", tree(F.col("edited")))
     # each side's inner nodes are hashed once, whatever looks at them
-    old, new = sections_of(F.col("tree")), sections_of(F.col("edited_tree"))
+    old, new = sections_of(F.col("tree"), blocks=False), sections_of(F.col("edited_tree"), blocks=False)
     edits = let(old, lambda a: let(new, lambda b: locate_edits(a, b)))
     both = both.select(
         "doc_id", "n_chars", "next_doc_id", "next_root", "next_tags", "next_leaves",
