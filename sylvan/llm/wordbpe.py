@@ -16,6 +16,8 @@ from functools import cache
 
 #: Memoised chunks of each of two generations (about 200 bytes each).
 MEMO_LIMIT = 200_000
+#: The same where the ids of one file are all that a worker remembers.
+IDS_LIMIT = 500_000
 
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-;=?@\[-`{}~]*)", re.ASCII)
 
@@ -48,6 +50,8 @@ class Memo(dict):
     """A bounded memo: when the young generation is full it becomes the old one, and the old one
     goes. What is asked for again moves back into the young one, so frequent keys stay."""
 
+    limit = MEMO_LIMIT
+
     def __init__(self):
         self.old: dict = {}
 
@@ -58,7 +62,7 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.solve(key)
-        if len(self) >= MEMO_LIMIT:
+        if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
         self[key] = value
@@ -95,6 +99,7 @@ class WordIds(Memo):
         super().__init__()
         self.tok = load(path)
         self.marks: dict[str, bytes] = {"": b""}  # runs of punctuation of a few characters
+        self.openings: dict[str, bytes] = {}  # first words of lines
         self.code = "H" if self.tok.get_vocab_size() <= 1 << 16 else "I"
 
     def whole(self, text: str) -> bytes:
@@ -106,7 +111,7 @@ class WordIds(Memo):
     def solve(self, chunk: str) -> bytes:
         m = _SIMPLE.fullmatch(chunk)
         if not m:
-            return self.whole(" " + chunk)
+            return self.lines(chunk)
         letters, marks = m[1], m[2]
         if not marks:
             return self.pretoken("Ġ" + letters if letters.isascii() else visible(" " + letters))
@@ -116,6 +121,24 @@ class WordIds(Memo):
             self.marks[marks] = self.pretoken(marks)
         return self[letters] + self.marks[marks]
 
+    def lines(self, chunk: str) -> bytes:
+        """A chunk with single line ends between other characters: a line end is a pre-token of
+        its own there, so what stands before it and each plain word after it are solved alone."""
+        head, *rest = chunk.split("\n")
+        plain = [_SIMPLE.fullmatch(r) for r in rest]
+        if not (head and rest and all(plain)) or head[-1].isspace():
+            return self.whole(" " + chunk)
+        return self[head] + b"".join(self.opening(m[1], m[2]) for m in plain)
+
+    def opening(self, letters: str, marks: str) -> bytes:
+        """Ids of a line end and the first word of its line."""
+        ids = self.openings.get(letters)
+        if ids is None:
+            ids = self.pretoken(visible("\n")) + self.pretoken(visible(letters))
+            if len(self.openings) < self.limit // 4:
+                self.openings[letters] = ids
+        return ids + (self.pretoken(marks) if marks else b"")
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text. A chunk begins at each single space; two white-space characters
         in a row across a border, or a special string, could change the split: such a text is
@@ -125,7 +148,9 @@ class WordIds(Memo):
         chunks = text.split(" ")
         if "" in chunks or "<|" in text or any(map(str.isspace, chunks)):
             return self.whole(text)
-        return self.whole(chunks[0]) + b"".join(map(self.__getitem__, chunks[1:]))
+        m = _SIMPLE.fullmatch(chunks[0])
+        first = self.pretoken(visible(m[1])) + (self.pretoken(m[2]) if m[2] else b"") if m else self.whole(chunks[0])
+        return first + b"".join(map(self.__getitem__, chunks[1:]))
 
 
 @cache
@@ -137,4 +162,6 @@ def word_counts(path: str) -> WordCounts:
 @cache
 def word_ids(path: str) -> WordIds:
     """The worker's own instance; it outlives a task."""
-    return WordIds(path)
+    ids = WordIds(path)
+    ids.limit = IDS_LIMIT
+    return ids

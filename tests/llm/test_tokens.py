@@ -35,9 +35,20 @@ def test_words_equal_the_whole_text(counts, word_ids, text):
     assert got == word_ids.tok.encode(text, add_special_tokens=False).ids
 
 
+LINES = st.lists(st.sampled_from(["Word", "été", "it", "s", "'", ".", "!?", "\n", "\n", " ", "\t", "<", "|", "12", "日"])).map("".join)
+
+
+@settings(max_examples=300, deadline=None)
+@given(LINES)
+def test_line_ends_part_words(word_ids, text):
+    got = np.frombuffer(word_ids.encode(text), word_ids.code).tolist()
+    assert got == word_ids.tok.encode(text, add_special_tokens=False).ids
+
+
 def test_words_equal_the_library_on_documents(counts, word_ids, sample, rows):
     texts = [r.text for r in sample.collect()] + [t or "" for _, t, _ in rows] + [
         "it's <|endoftext|> don't", "J̌ A̸", " x  y ", "a<|startoftext|>b", "x\n y", "x \n\n y", "12 3a",
+        "one two.\nThree four,\nfive!\nsix", "a b\t\nc d'\ns e\n\nf g\n", "\na b\r\nc é.\nÉtat",
     ]
     for t, a, b in zip(texts, counts.tok.encode_batch(texts, add_special_tokens=False), word_ids.tok.encode_batch(texts, add_special_tokens=False), strict=True):
         assert counts.count(t.encode()) == len(a.ids)
