@@ -1,16 +1,23 @@
 """WARC fixity audit by Merkle trees over records and ordered offset ranges.
 
 An archive is a folder of segment files (Parquet) that hold the records' bytes in stream order. What
-is audited is read from them: ``pos`` (byte offset in the whole stream), ``length`` and ``digest``, hashed anew. A leaf range covers ``RANGE_BYTES`` of offsets, each level above covers
-``FANOUT`` ranges of the one below, up to one root. A node's digest covers its children's
-numbers and digests in order. Two replicas are compared from the root down: only children of
-differing nodes are looked at, and in the end the records of differing leaf ranges. There
-``audit`` compares what lies at the same offset, ``audit_records`` finds each record wherever it lies:
-a lost, added or longer record moves what follows, and equal ranges hold equal records at equal
-offsets, so leaving them out changes no count of copies.
+is audited is read from them: ``pos`` (byte offset in the whole stream), ``length`` and ``digest``,
+hashed anew. Two replicas are compared from the root of their trees down: only children of
+differing nodes are looked at, and in the end the records of differing leaf ranges.
+
+``audit_records`` finds each record wherever it lies. A lost, added or longer record moves the
+offsets of all that follows, so ranges start anew at records whose own name (digest of id and URL,
+not of the payload) ends in a zero, one in ``FANOUT``: a stretch runs from one such border to the next, and
+its ranges cover ``RANGE_BYTES`` of the offsets from its start. Names with more zeros part
+the levels above, so nodes of both replicas meet by name. A lost record alters the ranges of one
+stretch, or of two if it was a border; equal ranges hold equal records, so leaving them out changes
+no count of copies. ``audit`` is for replicas that must agree byte for byte: its leaf
+ranges cover ``RANGE_BYTES`` of the whole stream's offsets, each level above ``FANOUT`` ranges of the
+one below, and it compares what lies at the same offset.
 
 Null pages are empty payloads. Repeated records are records of their own, at their own
-offsets. Empty archives have no node: two of them are equal. DataFrame expressions only.
+offsets, and open no stretch. Very long records are ranges of their own. Empty archives have no
+node: two of them are equal. Extra columns are left out, whatever their names. DataFrame expressions only.
 """
 
 from __future__ import annotations
@@ -24,6 +31,7 @@ from sylvan.session import shuffle_partitions, write_table
 
 RANGE_BYTES = 64 << 10
 FANOUT = 16
+LEVELS = 8  # of stretches; a border of level n ends in n + 1 zeros
 SEGMENT_BYTES = 1 << 30  # a WARC file of the stream; segment files hold less on average
 
 
@@ -62,10 +70,31 @@ def copy_segments(segments: DataFrame, change) -> DataFrame:
 
 
 def read_archive(segments: DataFrame) -> DataFrame:
-    """Reads and hashes the records of segment files: ``page_id, url, pos, length, digest``."""
+    """Reads and hashes the records of segment files: ``page_id, url, pos, length, digest``, the
+    ``names`` of the stretches that a record lies in, one per level, and the ``start`` of the lowest."""
     length = F.octet_length("record").cast("bigint").alias("length")
-    index = segments.select("page_id", "url", length, F.sha2("record", 256).alias("digest"), PID, POS)
-    return running_sums(index, {"pos": F.col("length")}).select("page_id", "url", "pos", "length", "digest")
+    named = F.concat_ws("\n", F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.coalesce("url", F.lit("")))
+    key = F.substring(F.sha2(named, 256), 1, 16).alias("key")
+    index = segments.select("page_id", "url", length, F.sha2("record", 256).alias("digest"), key, PID, POS)
+    # a record opens a stretch only as the first of its name: repeated records do not
+    ends = index.groupBy(F.col(PID).alias("part")).agg(F.max_by("key", POS).alias("last"))
+    along = Window.orderBy("part")  # one row per written partition, here and below
+    ends = ends.select("part", F.lag("last").over(along).alias("before"))
+    rows = index.join(F.broadcast(ends), F.col(PID) == F.col("part")).drop("part")
+    order = Window.partitionBy(PID).orderBy(POS)
+    opens = ~F.col("key").eqNullSafe(F.coalesce(F.lag("key").over(order), "before"))
+    rows = running_sums(rows.withColumn("opens", opens), {"pos": F.col("length")})
+    marks = [F.when(F.col("opens") & F.col("key").endswith("0" * (n + 1)), F.struct("pos", "key")) for n in range(LEVELS)]
+    rows = rows.select("*", *[m.alias(f"m{n}") for n, m in enumerate(marks)])
+    lasts = rows.groupBy(F.col(PID).alias("part")).agg(*[F.max(f"m{n}").alias(f"l{n}") for n in range(LEVELS)])
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    lasts = lasts.select("part", *[F.max(f"l{n}").over(earlier).alias(f"c{n}") for n in range(LEVELS)])
+    sofar = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    none = F.struct(F.lit(0).cast("bigint").alias("pos"), F.lit("").alias("key"))
+    rows = rows.join(F.broadcast(lasts), F.col(PID) == F.col("part"))
+    rows = rows.select("*", *[F.coalesce(F.max(f"m{n}").over(sofar), f"c{n}", none).alias(f"s{n}") for n in range(LEVELS)])
+    names = F.array(*[F.col(f"s{n}")["key"] for n in range(LEVELS)]).alias("names")
+    return rows.select("page_id", "url", "pos", "length", "digest", F.col("s0")["pos"].alias("start"), names)
 
 
 def write_archive(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -119,6 +148,55 @@ def _bad_ranges(a: DataFrame, b: DataFrame) -> DataFrame:
     return bad.select(F.col("at").alias("range"))
 
 
+def in_range() -> list[Column]:
+    """The range of a record: the lowest stretch that it lies in (``name``) and its place there (``sub``)."""
+    sub = F.floor((F.col("pos") - F.col("start")) / RANGE_BYTES).cast("bigint")
+    return [F.col("names")[0].alias("name"), sub.alias("sub")]
+
+
+def range_tree(records: DataFrame, rounds: int, top: int) -> list[DataFrame]:
+    """Written node tables ``name, sub, at, names, digest, up_name, up_sub`` from the ranges to the
+    root: ``rounds`` levels join the ranges of a long stretch, ``top`` levels the stretches."""
+    ups = [(F.col("names")[0], F.floor(F.col("sub") / FANOUT).cast("bigint"))] * rounds
+    ups += [(F.col("names")[n], F.lit(0).cast("bigint")) for n in range(1, top + 1)]
+    ups += [(F.lit(""), F.lit(0).cast("bigint"))]
+    inside = F.struct((F.col("pos") - F.col("start")).alias("at"), "digest")
+    nodes = records.select("*", *in_range()).groupBy("name", "sub")
+    nodes = nodes.agg(F.min("pos").alias("at"), F.min("names").alias("names"), digest_of(F.collect_list(inside)).alias("digest"))
+    levels = []
+    for up_name, up_sub in ups:
+        nodes = write_table(nodes.withColumns({"up_name": up_name, "up_sub": up_sub}), "merkle-level")
+        levels.append(nodes)
+        child = F.array_sort(F.collect_list(F.struct("at", "name", "sub", "digest")))
+        lines = F.transform(child, lambda c: F.concat_ws(":", c["name"], c["sub"].cast("string"), c["digest"]))
+        nodes = nodes.groupBy(F.col("up_name").alias("name"), F.col("up_sub").alias("sub"))
+        nodes = nodes.agg(F.min("at").alias("at"), F.min("names").alias("names"), F.sha2(F.array_join(lines, "\n"), 256).alias("digest"))
+    root = nodes.withColumns({"up_name": F.lit(""), "up_sub": F.lit(0).cast("bigint")})
+    return [*levels, write_table(root, "merkle-level")]
+
+
+def descend(a: DataFrame, b: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """The ranges (``name, sub``) in which two archives differ, and for every level from the root
+    down the nodes that were compared (``name, sub, differs``): children of differing nodes only."""
+    sizes = [x.agg(F.count(F.lit(1)), F.max(in_range()[1])).first() for x in (a, b)]
+    n, longest = (max(x[i] or 0 for x in sizes) for i in (0, 1))
+    rounds, top = 0, 0
+    while FANOUT**rounds <= longest:
+        rounds += 1
+    while top < LEVELS - 1 and FANOUT ** (top + 2) <= n:
+        top += 1
+    trees = [range_tree(x, rounds, top)[::-1] for x in (a, b)]
+    bad, visited = None, []
+    for nodes in zip(*trees, strict=True):
+        x, y = (t if bad is None else t.join(bad, (F.col("up_name") == F.col("b_name")) & (F.col("up_sub") == F.col("b_sub")), "left_semi") for t in nodes)
+        other = y.select("name", "sub", F.col("digest").alias("other"))
+        differs = ~F.col("digest").eqNullSafe(F.col("other"))
+        both = x.join(other, ["name", "sub"], "full_outer").select("name", "sub", differs.alias("differs"))
+        visited.append(write_table(both, "merkle-visited"))
+        bad = visited[-1].filter("differs").select(F.col("name").alias("b_name"), F.col("sub").alias("b_sub"))
+    return bad.select(F.col("b_name").alias("name"), F.col("b_sub").alias("sub")), visited
+
+
 def audit(a: DataFrame, b: DataFrame) -> DataFrame:
     """``pos, status`` of every place in which the replicas ``(pos, length, digest)`` differ:
     ``corrupt`` (other bytes), ``missing`` (only in a) or ``extra`` (only in b)."""
@@ -131,14 +209,15 @@ def audit(a: DataFrame, b: DataFrame) -> DataFrame:
     return both.select(F.coalesce("pos", "b_pos").alias("pos"), status.alias("status"))
 
 
-def audit_records(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``page_id, url, pos, b_pos, status`` of every record in which the replicas ``(page_id, url, pos,
-    length, digest)`` differ, wherever it lies: ``corrupt`` (other bytes), ``missing`` (only in a) or
-    ``extra`` (only in b; ``pos`` is null). Of equal records the last ones are the surplus."""
-    ranges = _bad_ranges(a, b)
-    leaf = F.floor(F.col("pos") / RANGE_BYTES).cast("bigint") == F.col("range")
+def audit_records(a: DataFrame, b: DataFrame, ranges: DataFrame | None = None) -> DataFrame:
+    """``page_id, url, pos, b_pos, status`` of every record in which two replicas (of ``read_archive``)
+    differ, wherever it lies: ``corrupt`` (other bytes), ``missing`` (only in a) or
+    ``extra`` (only in b; ``pos`` is null). Of equal records the last ones are the surplus.
+    ``ranges``: what ``descend`` found, if it is at hand."""
+    if ranges is None:
+        ranges, _ = descend(a, b)
     cols = ["page_id", "url", "digest", "pos"]
-    ra, rb = (x.select(*cols, F.lit(n).alias("in_a")).join(ranges, leaf, "left_semi") for x, n in ((a, 1), (b, 0)))
+    ra, rb = (x.select(*cols, *in_range(), F.lit(n).alias("in_a")).join(ranges, ["name", "sub"], "left_semi") for x, n in ((a, 1), (b, 0)))
     both = ra.unionByName(rb)
     counts = both.groupBy("page_id", "url", "digest").agg(F.sum("in_a").alias("na"), F.count(F.lit(1)).alias("n"))
     # counted before rows meet: only records with other numbers of copies are numbered

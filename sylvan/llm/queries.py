@@ -60,15 +60,18 @@ def damaged(pages: DataFrame) -> DataFrame:
 
 
 def op6_warc_fixity(spark, sf) -> DataFrame:
-    """Audits a damaged replica of the archive of all pages; one row per record, with its place.
+    """Audits a damaged replica of the archive of all pages; one row per record, with its place and
+    where its range begins, and whether the descent found that the replicas differ in that range.
     Both are segment files of their own, read and hashed; lost records move all that follows them."""
     segments = fixity.write_segments(read_table(spark, sf, "pages"))
     lost = F.coalesce(F.pmod("page_id", F.lit(389)) == 5, F.lit(False))
     copied = fixity.copy_segments(segments, lambda pages: damaged(pages).filter(~lost))
     archive = write_table(fixity.read_archive(segments), "warc-a")
     replica = write_table(fixity.read_archive(copied), "warc-b")
-    found = fixity.audit_records(archive, replica).filter("pos is not null").select(F.col("pos").alias("found_pos"), "status")
-    rows = archive.join(found, F.col("pos") == F.col("found_pos"), "left")
+    ranges, _ = fixity.descend(archive, replica)
+    found = fixity.audit_records(archive, replica, ranges).filter("pos is not null").select(F.col("pos").alias("found_pos"), "status")
+    rows = archive.select("*", *fixity.in_range()).join(ranges.withColumn("differs", F.lit(True)), ["name", "sub"], "left")
+    rows = rows.join(found, F.col("pos") == F.col("found_pos"), "left")
     segment = F.floor(F.col("pos") / fixity.SEGMENT_BYTES).cast("bigint")
     return rows.select(
         "page_id",
@@ -78,6 +81,8 @@ def op6_warc_fixity(spark, sf) -> DataFrame:
         "length",
         F.col("digest").alias("sha256"),
         F.coalesce("status", F.lit("ok")).alias("status"),
+        (F.col("start") + F.col("sub") * fixity.RANGE_BYTES).alias("range_start"),
+        F.coalesce("differs", F.lit(False)).alias("range_differs"),
     )
 
 

@@ -116,16 +116,32 @@ def _fixity() -> str:
         head = f" || {crlf} || ".join(lines)
         return f"{head} || {crlf} || {crlf} || coalesce({html}, '') || {crlf} || {crlf}"
 
+    def replica(name: str, source: str) -> str:
+        """Offsets, stretches and ranges of one replica; ``{name}_range`` lists what each range holds."""
+        along = "OVER (ORDER BY page_id, url, place ROWS BETWEEN UNBOUNDED PRECEDING AND {})"
+        border = "opens AND ends_with(key, '0')"
+        return f"""
+{name}_at AS (SELECT *, coalesce(sum(length) {along.format("1 PRECEDING")}, 0) AS pos,
+         key IS DISTINCT FROM lag(key) OVER (ORDER BY page_id, url, place) AS opens FROM ({source})),
+{name} AS (SELECT *, coalesce(max(CASE WHEN {border} THEN pos END) {along.format("CURRENT ROW")}, 0) AS start,
+         coalesce(last_value(CASE WHEN {border} THEN key END IGNORE NULLS) {along.format("CURRENT ROW")}, '') AS name FROM {name}_at),
+{name}_range AS (SELECT name, (pos - start) // 65536 AS sub, string_agg((pos - start) || ':' || digest, '|' ORDER BY pos) AS holds
+         FROM {name} GROUP BY ALL)"""
+
     changed = "substring(html, 1, length(html) // 2) || '~' || substring(html, length(html) // 2 + 2)"
+    key = "substring(sha256(coalesce(CAST(page_id AS VARCHAR), '') || chr(10) || coalesce(url, '')), 1, 16)"
     return f"""
-WITH r AS (SELECT page_id, url, {record("html")} AS rec,
+WITH r AS (SELECT page_id, url, {key} AS key, {record("html")} AS rec,
              {record(f"(CASE WHEN page_id % 97 = 13 THEN {changed} ELSE html END)")} AS held FROM pages),
-p AS (SELECT page_id, url, CAST(strlen(rec) AS BIGINT) AS length, sha256(rec) AS sha256, sha256(held) AS other FROM r),
-o AS (SELECT *, coalesce(sum(length) OVER (ORDER BY page_id, url, sha256 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-        AS pos FROM p)
+p AS (SELECT page_id, url, key, CAST(strlen(rec) AS BIGINT) AS length, sha256(rec) AS sha256, CAST(strlen(held) AS BIGINT) AS other_length,
+             sha256(held) AS other FROM r),
+{replica("a", "SELECT *, sha256 AS place, sha256 AS digest FROM p")},
+{replica("b", "SELECT page_id, url, key, sha256 AS place, other_length AS length, other AS digest FROM p WHERE page_id % 389 <> 5")}
 SELECT page_id, url, CAST(pos // 1073741824 AS BIGINT) AS segment, CAST(pos % 1073741824 AS BIGINT) AS "offset", length, sha256,
-       CASE WHEN page_id % 389 = 5 THEN 'missing' WHEN sha256 <> other THEN 'corrupt' ELSE 'ok' END AS status
-FROM o
+       CASE WHEN page_id % 389 = 5 THEN 'missing' WHEN sha256 <> other THEN 'corrupt' ELSE 'ok' END AS status,
+       CAST(start + (pos - start) // 65536 * 65536 AS BIGINT) AS range_start, x.holds IS DISTINCT FROM y.holds AS range_differs
+FROM a JOIN a_range x ON x.name = a.name AND x.sub = (a.pos - a.start) // 65536
+LEFT JOIN b_range y ON y.name = x.name AND y.sub = x.sub
 """
 
 

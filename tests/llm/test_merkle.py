@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sylvan.llm import fixity, merkle
 from sylvan.llm.queries import damaged, op3_merkle_fingerprint, op6_warc_fixity
+from sylvan.session import write_table
 
 
 def sha(s):
@@ -161,6 +162,65 @@ def test_shifted_records_are_found(spark):
     assert fixity.audit_records(a, a).count() == 0
 
 
+SCHEMA = "page_id long, url string, html string"
+
+
+def _ranges(records):
+    """Brute force: what each range of an archive holds, by the name of its stretch and its place there."""
+    out, name, start, last = {}, "", 0, None
+    for r in sorted(records.collect(), key=lambda r: r.pos):
+        key = sha(f"{'' if r.page_id is None else r.page_id}\n{r.url or ''}")[:16]
+        if key != last and key.endswith("0"):
+            name, start = key, r.pos
+        last = key
+        assert (r.names[0], r.start) == (name, start)
+        out.setdefault((name, (r.pos - start) // fixity.RANGE_BYTES), []).append((r.pos - start, r.digest))
+    return out
+
+
+def _check(a, b):
+    bad, visited = fixity.descend(a, b)
+    bad = {(r.name, r["sub"]) for r in bad.collect()}
+    x, y = _ranges(a), _ranges(b)
+    assert bad == {k for k in x.keys() | y.keys() if x.get(k) != y.get(k)}
+    return bad, [v.count() for v in visited], len(x)
+
+
+def test_descent_visits_what_differs_only(spark):
+    """A lost first record moves every offset, yet alters the ranges of one or two stretches."""
+    pages = spark.range(6000).selectExpr("id page_id", "concat('u', id) url", "repeat(concat('page ', id, ' '), 200) html")
+    segments = fixity.write_segments(pages)
+    a = write_table(fixity.read_archive(segments), "a")
+    for lost in (0, 3000):
+        copied = fixity.copy_segments(segments, lambda p, lost=lost: p.filter(f"page_id <> {lost}"))
+        b = write_table(fixity.read_archive(copied), "b")
+        bad, visited, n = _check(a, b)
+        assert 1 <= len(bad) <= 4 and n > 300
+        assert sum(visited) < n // 3, visited
+        assert [(r.page_id, r.status) for r in fixity.audit_records(a, b).collect()] == [(lost, "missing")]
+    bad, visited, _ = _check(a, a)
+    assert not bad and visited[0] == 1 and sum(visited) == 1
+
+
+def test_descent_of_a_lost_border_copies_long_and_odd_rows(spark):
+    """Lost borders join stretches; copies open none, so one stretch of copies has many ranges; a
+    page above RANGE_BYTES, null pages and no page at all."""
+    keys = [i for i in range(200) if sha(f"{i}\nu")[:16].endswith("0")]
+    pages = [(i, "u", f"page {i} " * 100) for i in range(200)] + [(keys[0], "u", "copy " * 500)] * 700 + [(250, "u", "long " * 60_000), (None, None, None)]
+    held = [p for p in pages if p[0] != keys[1] or p[2] is None]
+    held.remove((keys[0], "u", "copy " * 500))
+    segments = fixity.write_segments(spark.createDataFrame(pages, SCHEMA))
+    a = write_table(fixity.read_archive(segments), "a")
+    b = write_table(fixity.write_archive(spark.createDataFrame(held, SCHEMA)), "b")
+    _check(a, b)
+    got = sorted((r.page_id, r.status) for r in fixity.audit_records(a, b).collect())
+    assert got == [(keys[0], "missing"), (keys[1], "missing")]
+    none = write_table(fixity.write_archive(spark.createDataFrame([], SCHEMA)), "none")
+    assert fixity.audit_records(none, none).count() == 0
+    assert fixity.audit_records(a, none).filter("status = 'missing'").count() == len(pages)
+    assert fixity.audit_records(none, a).filter("status = 'extra'").count() == len(pages)
+
+
 def test_damaged_keeps_rows(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     assert damaged(pages).count() == pages.count()
