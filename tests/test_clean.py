@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from sylvan.functions import text as T
+from sylvan.operators import clean as C
 from sylvan.operators.clean import clean, reject_sets, with_tokens
 
 SCHEMA = "doc_id bigint, text string, label string"
@@ -120,3 +122,20 @@ def test_features_of_rows_without_usable_ids(spark):
         assert n == len({r[1:] for r in rows}) and feats.terms.select("doc_id").distinct().count() == feats.base.count()
         found.append(feats.base.schema["doc_id"].dataType.simpleString())
     assert found == ["bigint", "string", "string"]
+
+
+def test_symbols_are_matched_as_an_intersection(spark):
+    """The negated class with a class inside falls out of Java's compiled code on long texts."""
+    odd = "".join(map(chr, [*range(1, 0x250), 0x85, 0xA0, 0x1680, 0x2028, 0x212A, 0x3000, 0x4E2D, 0x1F600]))
+    df = spark.createDataFrame([(odd,), (None,), ("",), ("a-b\tc\x0bd e!",)], "text string")
+    col = T.strip_symbols(F.col("text"))
+    assert "&&" in str(col) and T.SYMBOL_CLASS not in str(col)
+    for got, was in df.select(col, F.regexp_replace("text", T.SYMBOL_CLASS, "")).collect():
+        assert got == was
+
+
+def test_stemming_reads_rows_that_are_cleaned_once(spark):
+    rows = [(1, "Running cats, running!", "A"), (2, "", "A"), (3, None, "B"), (4, "the cats", "B")]
+    df = C.with_tokens(spark.createDataFrame(rows, "doc_id bigint, text string, label string"), stem=True)
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.doc_id: list(r.tokens) for r in df.collect()} == {1: ["run", "cat", "run"], 2: [], 3: [], 4: ["the", "cat"]}

@@ -1,8 +1,11 @@
 """Postings, vocabulary cut, training base, split, dense views and dense index."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from sylvan.operators import features as X
+from sylvan.session import write_table
 
 TOK = "doc_id bigint, label string, tokens array<string>"
 
@@ -84,3 +87,26 @@ def test_random_split_is_a_partition_of_the_rows(spark):
     train, test = X.random_split(df)
     a, b = {r.doc_id for r in train.collect()}, {r.doc_id for r in test.collect()}
     assert not (a & b) and len(a | b) == 1000 and 700 < len(a) < 900
+
+
+def _aggregates(df):
+    """The aggregates of the physical plan, the one nearest to the scan last."""
+    return re.findall(r"(\w+)Aggregate\(", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_base_rows_come_out_of_a_hash_aggregate(spark):
+    rows = [(1, "A", "x"), (1, "A", "y"), (2, "B", "x"), (None, "A", "x"), (None, "A", "z"), (3, "A", "x"), (3, "B", "y")]
+    posts = write_table(spark.createDataFrame(rows, "doc_id bigint, label string, term string"), "posts")
+    base = X.doc_base(posts)
+    assert _aggregates(base)[-1] == "Hash"  # the postings are not sorted
+    got = {r.doc_id: r.label for r in base.collect()}
+    assert base.count() == 4 and got[1] == "A" and got[2] == "B" and got[None] == "A" and got[3] in ("A", "B")
+
+
+def test_stems_of_rows_with_unique_ids_merge_without_a_sort(spark):
+    rows = [(1, "A", ["run", "runs", "running", "the"]), (2, "B", ["runs", "cats", "cat"]), (3, "B", [])]
+    toks = write_table(spark.createDataFrame(rows, TOK), "toks")
+    got = X.postings(toks, stem=True, stop_words=True, unique_ids=True)
+    assert "Sort" not in _aggregates(got) and _aggregates(got)
+    want = X.postings(toks, stem=True, stop_words=True)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) == [(1, "A", "run"), (2, "B", "cat"), (2, "B", "run")]
