@@ -110,3 +110,46 @@ def test_stems_of_rows_with_unique_ids_merge_without_a_sort(spark):
     assert "Sort" not in _aggregates(got) and _aggregates(got)
     want = X.postings(toks, stem=True, stop_words=True)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) == [(1, "A", "run"), (2, "B", "cat"), (2, "B", "run")]
+
+
+def _odd_rows(spark):
+    made = [(1, "a", ["w", "é", "w", "x"]), (2, "b", ["zz", "the", " "]), (3, "a", []), (4, None, ["x", None, "w"]), (5, "b", None), (6, "b", [" "]), (7, "a", ["the"])]
+    return spark.createDataFrame(made, "doc_id long, label string, tokens array<string>")
+
+
+def test_term_sets_are_made_where_the_rows_are(spark, monkeypatch):
+    from sylvan.operators import dictionary as D
+
+    for stop in (False, True):
+        rows = _odd_rows(spark)
+        posts = X.postings(rows, stop_words=stop)
+        vocab = spark.createDataFrame([("x",), ("w",), ("é",), ("the",)], "term string")
+        sets = X.doc_terms(posts, vocab, 4, X.rows_with_words(rows, stop))
+        plan = sets._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and "Exchange" not in plan and "Generate" not in plan
+        want = {(r.doc_id, r.label, tuple(r.terms)) for r in X.doc_terms(posts, vocab).collect()}
+        if stop:  # a stop word of the vocabulary is no word of these rows
+            vocab, want = vocab.filter("term <> 'the'"), {(i, c, tuple(t for t in ts if t != "the")) for i, c, ts in want}
+            sets = X.doc_terms(posts, vocab, 3, X.rows_with_words(rows, stop))
+        assert {(r.doc_id, r.label, tuple(r.terms)) for r in sets.collect()} == want
+        assert (1, "a", ("w", "x", "é")) in want and {i for i, _, _ in want} == ({1, 2, 4} if stop else {1, 2, 4, 7})
+    monkeypatch.setattr(D, "MAX_BROADCAST_BYTES", 10)  # above the budget: joined
+    joined = X.doc_terms(posts, vocab, 3, X.rows_with_words(rows, True))
+    assert {(r.doc_id, r.label, tuple(r.terms)) for r in joined.collect()} == want
+
+
+def test_rows_are_numbered_without_gathering_them(spark, monkeypatch):
+    from sylvan.operators import dictionary as D
+    from sylvan.operators import forest as W
+
+    rows = spark.createDataFrame([(1, "a", ["x", "w"]), (2, "b", []), (3, None, ["é"]), (4, "a", None)], "doc_id long, label string, terms array<string>")
+    vocab = spark.createDataFrame([("é",), ("x",), ("w",), ("v",)], "term string")
+    plans, write = [], W.write_table
+    monkeypatch.setattr(W, "write_table", lambda df, *a: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df, *a))
+    got, words, n = W.number_terms(rows, None, vocab, 4)
+    assert "Join" not in plans[0] and "Exchange" not in plans[0]
+    assert n == 4 and {r.term: r.term_id for r in words.collect()} == {"v": 0, "w": 1, "x": 2, "é": 3}
+    want = {1: [1, 2], 2: [], 3: [3], 4: []}
+    assert {r.doc_id: r.terms for r in got.collect()} == want and got.schema["terms"].dataType.simpleString() == "array<int>"
+    monkeypatch.setattr(D, "MAX_BROADCAST_BYTES", 10)
+    assert {r.doc_id: r.terms for r in W.number_terms(rows, 3, vocab, 4)[0].collect()} == want
