@@ -93,8 +93,9 @@ def run_table_job(
     forest_path = f"{store.rstrip('/')}/forest"
     with table_scope(spark):  # every table on the way goes when the job ends or fails
         if compute_features:
-            made = P.prepare_table(raw, labels, drop_accented, params.min_df, **how)
-            save_features(made, store, params.store_format, prepared)
+            with table_scope(spark):  # the prepared tables go as soon as they are stored
+                made = P.prepare_table(raw, labels, drop_accented, params.min_df, **how)
+                save_features(made, store, params.store_format, prepared)
         feats = load_features(spark, store, params=prepared)
         if compute_forest:
             nodes = P.train(spark, feats, rule=params.rule, max_depth=params.max_depth)

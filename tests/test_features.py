@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from sylvan.operators import features as X
@@ -153,3 +154,16 @@ def test_rows_are_numbered_without_gathering_them(spark, monkeypatch):
     assert {r.doc_id: r.terms for r in got.collect()} == want and got.schema["terms"].dataType.simpleString() == "array<int>"
     monkeypatch.setattr(D, "MAX_BROADCAST_BYTES", 10)
     assert {r.doc_id: r.terms for r in W.number_terms(rows, 3, vocab, 4)[0].collect()} == want
+
+
+@pytest.mark.parametrize("most", [0, 1, 4, 9, 1000])
+def test_stems_of_frequent_and_rare_words(spark, monkeypatch, most):
+    """Whichever part of the stem map is broadcast, every word gets its stem once."""
+    rows = [(i, "a", ["running", "dogs"] + (["cats"] if i % 2 else []) + (["happy", "runs", ""] if i % 5 == 0 else []) + [f"w{'abcdefgh'[i % 8]}s"]) for i in range(40)]
+    toks = spark.createDataFrame(rows, TOK).repartition(3)
+    want = sorted(map(tuple, X.postings(toks, stem=True, unique_ids=True).collect()))
+    assert {t for _, _, t in want} >= {"run", "dog", "cat", "happi", "wa"}
+    monkeypatch.setattr(X, "MAX_BROADCAST_BYTES", most * X.STEM_ROW_BYTES)
+    posts = X.postings(toks, stem=True, unique_ids=True)
+    assert sorted(map(tuple, posts.collect())) == want
+    assert ("LeftAnti" in posts._jdf.queryExecution().toString()) == (most in (4, 9))

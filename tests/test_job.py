@@ -117,3 +117,44 @@ def test_labels_that_look_like_numbers_change_nothing(spark, rule):
         assert {r.tree for r in one.collect()} == {labels[1]} and one.count() < nodes.count()
     assert found[0][2] > 0.8
     assert abs(found[0][2] - found[1][2]) < 0.05  # vote ties go to the smaller label, so not always equal
+
+
+def test_prepared_tables_go_once_stored_and_text_is_packed(spark, tmp_path, monkeypatch):
+    import glob
+
+    from sylvan.plans import pipeline as P
+    from sylvan.plans.job import JobParams, run_table_job
+    from sylvan.session import checkpoint_dir
+
+    def scratch():
+        return set(glob.glob(f"{checkpoint_dir(spark).removeprefix('file:')}/sylvan-*"))
+
+    before, train, seen = scratch(), P.train, []
+
+    def watched(*args, **how):
+        seen.append(scratch() - before)
+        return train(*args, **how)
+
+    monkeypatch.setattr(P, "train", watched)
+    params = JobParams(min_df=3, max_depth=2, store_format="json")
+    got = run_table_job(_labelled(spark, LETTERS), str(tmp_path / "job"), params=params).first()
+    assert got.n_test > 0 and seen == [set()]
+    names = [p.name for p in (tmp_path / "job" / "features").glob("*/*/part-*")]
+    assert names and all(n.endswith(".json.gz") for n in names)
+    again = run_table_job(
+        _labelled(spark, LETTERS), str(tmp_path / "job"), params=params, compute_features=False, compute_forest=False
+    ).first()
+    assert tuple(again) == tuple(got)
+
+
+def test_own_packed_csv_with_line_ends(spark, tmp_path):
+    from sylvan.sources import files as IO
+
+    rows = [(1, 'one\n"two"\r\nthree, ', "a"), (2, "", "b"), (3, None, "b"), (4, "é", "a")]
+    own = spark.createDataFrame(rows, "Number long, Text string, Topic string").select("Text", "Number", "Topic")
+    found = []
+    for how in ({}, {"compression": "gzip"}):
+        path = IO.write(own, str(tmp_path / f"own{len(found)}"), "csv", quoteAll="true", **how)
+        back = IO.read_labelled(spark, path, "csv", "Text", "Topic", "Number", "bigint", multiLine="true")
+        found.append(sorted(map(tuple, back.collect())))
+    assert found[0] == found[1] and [r[0] for r in found[1]] == [1, 2, 3, 4]
